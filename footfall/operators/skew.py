@@ -16,10 +16,11 @@ from pyspark.sql import types as T
 
 _SLICE = "_slice"
 
-# A key is hot from this share of the rows on, so that there are at most 1 / share hot keys.
-HOT_SHARE = 0.005
+# A key is hot from this share of the rows on, so that there are at most 1 / share hot keys to broadcast.
+HOT_SHARE = 0.001
 # Below this many rows a key fits in one task whatever its share.
 HOT_ROWS = 1_000_000
+# Keys the sketch tracks while it scans: ten times those it may report.
 _TRACKED = 10_000
 
 
@@ -37,24 +38,31 @@ class HotKeys:
         return spark.createDataFrame(list(self.slices), schema)
 
 
-def hot_keys(df: DataFrame, key: str, *, share: float = HOT_SHARE, min_rows: int = HOT_ROWS) -> HotKeys:
-    """The heavy keys of ``df``. Which keys are found affects the balance of a join only, never its result."""
+def hot_keys(df: DataFrame, key: str, *, share: float | None = None, min_rows: int | None = None) -> HotKeys:
+    """The keys of ``df`` that would outgrow an average shuffle partition on their own.
+
+    One pass over one column with a sketch of fixed size. Which keys it finds affects the balance of a join
+    only, never its result. The slices of all keys together are about twice the number of partitions.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = HOT_SHARE if share is None else share
+    min_rows = HOT_ROWS if min_rows is None else min_rows
     limit = ceil(1 / share)
-    spark = df.sparkSession
-    top = df.agg(
+    found = df.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.expr(f"approx_top_k({key}, {limit}, {max(_TRACKED, limit)})").alias("top"),
+        F.expr(f"approx_top_k(`{key}`, {limit}, {max(_TRACKED, limit)})").alias("top"),
     ).first()
-    total = top["rows"] or 0
+    total = found["rows"]
     if total < min_rows:
         return HotKeys()
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    hot = [
-        (entry["item"], max(2, ceil(2 * partitions * entry["count"] / total)))
-        for entry in top["top"] or []
-        if entry["item"] is not None and entry["count"] >= max(min_rows, share * total)
-    ]
-    return HotKeys(tuple(hot[:limit]))
+    least = max(min_rows, share * total, total / partitions)
+    return HotKeys(
+        tuple(
+            (entry["item"], max(2, ceil(2 * partitions * entry["count"] / total)))
+            for entry in found["top"] or []
+            if entry["item"] is not None and entry["count"] >= least
+        )
+    )
 
 
 def join(left: DataFrame, right: DataFrame, key: str, how: str, hot: HotKeys | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions.clock import moment
-from footfall.functions.values import fill_blanks
+from footfall.functions.values import fill_blanks, is_blank
 from footfall.operators import skew
 from footfall.operators.dedup import latest_per_key
 from footfall.operators.joins import join_device, join_geo, join_location, new_events_only
@@ -62,14 +62,14 @@ def _with_pages(browser: DataFrame, location: DataFrame, fact: DataFrame | None,
             events = new_events_only(events, fact)
         return join_location(events, location, dedup=False)
 
-    rows = fill_blanks(browser.select(*BROWSER.columns, "inserted_at"))
-    named = latest_per_key(rows.filter(F.col("event_id") != ""), "event_id").drop("inserted_at")
+    rows = browser.select(*BROWSER.columns, "inserted_at")
+    named = fill_blanks(latest_per_key(rows.filter(F.col("event_id") != ""), "event_id").drop("inserted_at"))
     if fact is not None:
         named = new_events_only(named, fact, skew.HotKeys())
     named = join_location(named, location, hot=skew.HotKeys())
 
     # Events without an id cannot be told apart: all are kept, and they meet at most one page row.
-    nameless = rows.filter(F.col("event_id") == "").drop("inserted_at")
+    nameless = fill_blanks(rows.filter(is_blank(rows, "event_id")).drop("inserted_at"))
     if fact is not None:
         loaded = fact.filter(F.col("event_id") == "").select("event_id").limit(1)
         nameless = nameless.join(F.broadcast(loaded), "event_id", "left_anti")

@@ -1,7 +1,7 @@
 """Report queries over the fact. Each takes the fact, the clock where it looks back, and dashboard filters.
 
-Distinct counts are exact. The same reports over the stored states, with estimated distinct counts, are
-``rollups.merge`` on the report's keys; reports that only count events accept the state itself.
+Distinct counts are exact over the fact. The dataset reports also accept the stored states in its place: then
+they merge partials instead of reading events, and their distinct counts are estimates.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions.clock import before, event_day, event_hour, moment, since
 from footfall.functions.values import percent, ratio
-from footfall.operators import skew
+from footfall.operators import rollups, skew
 from footfall.operators.aggregates import count_by, having, sort_multi, sum_measure, top_k
 from footfall.operators.filters import dashboard_filters, filter_in_list, filter_nonempty, filter_since
 
@@ -24,21 +24,40 @@ FUNNEL_PAGES = ("/home", "/product_a", "/product_b", "/checkout")
 
 
 def _events_and_users(rows: DataFrame, keys: Sequence[str], events: str = "events", users: str = "users"):
+    """Events and distinct users per group: counted in a fact, merged from a state."""
+    if "total_events" in rows.columns:
+        merged = rollups.merge(rows.select(*keys, "total_events", "unique_users"), keys)
+        return merged.withColumnsRenamed({"total_events": events, "unique_users": users})
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(events), F.count_distinct(USER).alias(users))
 
 
+def _with_hour(rows: DataFrame) -> DataFrame:
+    return rows if "event_hour" in rows.columns else rows.withColumn("event_hour", event_hour())
+
+
+def _with_day(rows: DataFrame) -> DataFrame:
+    return rows if "date" in rows.columns else rows.withColumn("date", event_day())
+
+
+def _recent_hours(rows: DataFrame, as_of, hours: int) -> DataFrame:
+    """Rows of the full hours that began within the last ``hours``."""
+    cutoff = before(as_of, hours=hours)
+    narrowed = rows if "event_hour" in rows.columns else since(rows, cutoff)
+    return since(_with_hour(narrowed), cutoff, "event_hour")
+
+
 # Datasets
 
 
 def ds_hourly_events(fact, as_of=None, filters=None):
-    rows = dashboard_filters(fact, filters).withColumn("event_hour", event_hour())
+    rows = _with_hour(dashboard_filters(fact, filters))
     keys = ["event_hour", "event_type", "geo_country", "utm_source"]
     counted = _events_and_users(rows, keys, "total_events", "unique_users")
     return sort_multi(counted, {"event_hour": "desc"})
 
 
 def ds_traffic_sources(fact, as_of=None, filters=None):
-    rows = dashboard_filters(fact, filters).withColumn("date", event_day())
+    rows = _with_day(dashboard_filters(fact, filters))
     keys = ["date", "utm_source", "utm_medium", "utm_campaign"]
     counted = _events_and_users(rows, keys, "total_events", "unique_users")
     return sort_multi(counted, {"date": "desc", "total_events": "desc"})
@@ -51,10 +70,7 @@ def traffic_stats(fact, as_of=None, filters=None):
 
 
 def events_last_24h(fact, as_of=None, filters=None):
-    """Per hour and type since the first full hour of the last 24, as the hourly grain sees it."""
-    cutoff = before(as_of, hours=24)
-    rows = since(dashboard_filters(fact, filters), cutoff).withColumn("event_hour", event_hour())
-    recent = rows.filter(F.col("event_hour") >= cutoff)
+    recent = _recent_hours(dashboard_filters(fact, filters), as_of, 24)
     return sort_multi(_events_and_users(recent, ["event_hour", "event_type"]), {"event_hour": "desc"})
 
 
@@ -270,9 +286,7 @@ def activity_heatmap(hourly, as_of=None):
 
 def active_users_48h(fact, as_of=None, filters=None):
     """Per hour of the last 48: the dataset's user counts summed, and the true distinct users beside it."""
-    cutoff = before(as_of, hours=48)
-    rows = since(dashboard_filters(fact, filters), cutoff).withColumn("event_hour", event_hour())
-    recent = rows.filter(F.col("event_hour") >= cutoff)
+    recent = _recent_hours(dashboard_filters(fact, filters), as_of, 48)
     # One pass: distinct users of each dataset group, then their sum and the distinct users of the hour.
     pairs = recent.select("event_hour", "event_type", "geo_country", "utm_source", USER).distinct()
     return pairs.groupBy("event_hour").agg(

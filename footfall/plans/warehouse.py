@@ -282,6 +282,8 @@ class Warehouse:
                 rows = latest_per_key(self.read(table), key, version) if version else self.read(table)
                 tables.truncate_reload(rows.sort(key), self.path(table), LAYOUTS[table].schema)
                 rewritten.append(self.path(table))
+        if self.stored("load_log"):
+            tables.truncate_reload(self.read("load_log").coalesce(1), self.path("load_log"), schemas.LOAD_LOG_SCHEMA)
         return rewritten
 
     def _merge_month(self, table: str, month: str, ready: list[str], unfinished: list[str]) -> None:

@@ -11,7 +11,7 @@ from footfall.plans import dims
 from footfall.plans import fact as fact_plan
 from footfall.plans.warehouse import STAGING_TABLES
 from footfall.registry import inputs, oracle
-from footfall.registry.book import Book
+from footfall.registry.book import Book, close
 from footfall.registry.oracle import BROWSER_COLUMNS, DEVICE_COLUMNS, GEO_COLUMNS, LOCATION_COLUMNS, half_up
 from footfall.schemas import BROWSER, DEVICE, FACT_COLUMNS, GEO, HOURLY_KEYS, LOCATION
 from footfall.sources import fixtures
@@ -197,11 +197,6 @@ def uniq_exact(spark, sf_dir):
     return agg.uniq_exact(inputs.fact(spark, sf_dir), ["utm_source"], columns)
 
 
-def _within(estimate: str, exact: str):
-    """Whether an estimate lies within 5 % of the exact count, or within one of a small count."""
-    return F.abs(F.col(estimate) - F.col(exact)) <= F.greatest(F.lit(1.0), F.lit(0.05) * F.col(exact))
-
-
 @query("SELECT utm_source, true as users_close, true as clicks_close FROM fact_events GROUP BY utm_source")
 def uniq_approx(spark, sf_dir):
     """Estimates lie within their error bound of the exact counts."""
@@ -210,8 +205,8 @@ def uniq_approx(spark, sf_dir):
     exact = agg.uniq_exact(fact, ["utm_source"], {"exact_users": "user_domain_id", "exact_clicks": "click_id"})
     return approx.join(exact, "utm_source").select(
         "utm_source",
-        _within("users", "exact_users").alias("users_close"),
-        _within("clicks", "exact_clicks").alias("clicks_close"),
+        close("users", "exact_users").alias("users_close"),
+        close("clicks", "exact_clicks").alias("clicks_close"),
     )
 
 
@@ -255,7 +250,7 @@ def rollup_state(spark, sf_dir):
     state = rollups.hourly_state(fact).withColumn("users", F.hll_sketch_estimate("unique_users"))
     exact = rollups.agg_events_hourly(fact).select(*HOURLY_KEYS, F.col("unique_users").alias("exact_users"))
     both = state.join(exact, HOURLY_KEYS)
-    return both.select(*HOURLY_KEYS, "total_events", _within("users", "exact_users").alias("users_close"))
+    return both.select(*HOURLY_KEYS, "total_events", close("users", "exact_users").alias("users_close"))
 
 
 @query(
@@ -272,8 +267,8 @@ def rollup_merge(spark, sf_dir):
     return both.select(
         *keys,
         "total_events",
-        _within("unique_users", "exact_users").alias("users_close"),
-        _within("unique_clicks", "exact_clicks").alias("clicks_close"),
+        close("unique_users", "exact_users").alias("users_close"),
+        close("unique_clicks", "exact_clicks").alias("clicks_close"),
     )
 
 
