@@ -7,6 +7,7 @@ so nothing is counted twice or lost. The load log names the loads that are store
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from uuid import uuid4
@@ -23,6 +24,12 @@ from footfall.plans import dims
 from footfall.plans.fact import fact_events, lacks_side, repair_fact
 from footfall.sources import tables
 
+# A month of finished loads is worth merging in a regular run from this many files on.
+SMALL_FILES = 100
+
+# Folder of notes: months whose fact was repaired and whose states are still to be rebuilt.
+_REPAIRED = "_repaired_months"
+
 # Load id of rows that upkeep has merged; their loads are complete and never run again.
 MERGED = "merged"
 
@@ -74,6 +81,16 @@ DWH_TABLES = ("fact_events", "dim_users", "dim_geo", "agg_events_hourly", "agg_t
 STATE_KEYS = {"agg_events_hourly": schemas.HOURLY_KEYS, "agg_traffic_sources": schemas.TRAFFIC_KEYS}
 
 
+_ID = re.compile(r"[A-Za-z0-9_.-]+")
+
+
+def _checked_id(value: str) -> str:
+    """Load and batch ids are folder names, so only characters that need no escaping."""
+    if not _ID.fullmatch(value):
+        raise ValueError(f"not usable as an id: {value!r}")
+    return value
+
+
 class Warehouse:
     """The tables below one root folder."""
 
@@ -94,21 +111,21 @@ class Warehouse:
 
     def stage(self, feed: schemas.Feed, records: DataFrame, batch_id: str, as_of=None) -> None:
         """Add one batch of records to a staging table; the same batch again replaces itself."""
-        rows = records if "inserted_at" in records.columns else tables.stamp_insert_time(records, as_of)
-        rows = rows.withColumn("inserted_on", F.to_date("inserted_at")).withColumn("batch_id", F.lit(batch_id))
-        if "event_month" in feed.partitions:
-            rows = tables.with_month(rows)
-        conformed = tables.conform(rows, feed.stored_schema)
-        tables.write_by_partition(conformed, self.path(feed.table), feed.partitions, feed.sort)
+        rows = self._staged_rows(feed, records, batch_id, as_of)
+        tables.write_by_partition(rows, self.path(feed.table), feed.partitions, feed.sort)
 
     def backfill(self, feed: schemas.Feed, records: DataFrame, as_of=None) -> None:
         """Replace a staging table by ``records``, as a batch no load has covered."""
-        batch_id = f"backfill-{uuid4().hex[:12]}"
+        rows = self._staged_rows(feed, records, f"backfill-{uuid4().hex[:12]}", as_of)
+        tables.truncate_reload(rows, self.path(feed.table), feed.stored_schema, feed.partitions, feed.sort)
+
+    def _staged_rows(self, feed: schemas.Feed, records: DataFrame, batch_id: str, as_of) -> DataFrame:
         rows = records if "inserted_at" in records.columns else tables.stamp_insert_time(records, as_of)
-        rows = rows.withColumn("inserted_on", F.to_date("inserted_at")).withColumn("batch_id", F.lit(batch_id))
+        rows = rows.withColumn("inserted_on", F.to_date("inserted_at"))
+        rows = rows.withColumn("batch_id", F.lit(_checked_id(batch_id)))
         if "event_month" in feed.partitions:
             rows = tables.with_month(rows)
-        tables.truncate_reload(rows, self.path(feed.table), feed.stored_schema, feed.partitions, feed.sort)
+        return tables.conform(rows, feed.stored_schema)
 
     # Loads
 
@@ -119,7 +136,7 @@ class Warehouse:
 
     def load(self, load_id: str, *, dedup: bool = True, as_of=None) -> int:
         """Bring the staged events the fact lacks into the fact and both states; the number of rows added."""
-        if load_id == MERGED:
+        if _checked_id(load_id) == MERGED:
             raise ValueError(f"{MERGED} is reserved")
         if self.committed([load_id]):
             return 0
@@ -183,6 +200,15 @@ class Warehouse:
         ordered = rows.select(*layout.schema.fieldNames())
         tables.write_by_partition(ordered, self.path(table), layout.partitions, layout.sort)
 
+    def refresh(self, load_id: str, *, dedup: bool = True, as_of=None) -> DataFrame:
+        """One whole run: load, dimensions, compaction, summary, and only then the staging clear-out."""
+        self.recover()
+        self.load(load_id, dedup=dedup, as_of=as_of)
+        self.rebuild_dims()
+        self.compact(max_files=SMALL_FILES)
+        self.retention_delete(as_of)
+        return self.dwh_summary()
+
     # Dimensions
 
     def rebuild_dims(self) -> None:
@@ -199,12 +225,15 @@ class Warehouse:
     # Upkeep
 
     def recover(self) -> None:
-        """After a crash: put back any folder whose replacement never arrived."""
+        """After a crash: put back any folder whose replacement never arrived, and redo states left behind."""
         for table in LAYOUTS:
             for base in (self.root, self.path(table), f"{self.path(table)}/*"):
                 for retired in tables.subfolders(self.spark, base, f"{tables.RETIRED}/*"):
                     parent, name = retired.rsplit(f"/{tables.RETIRED}/", 1)
                     tables.recover(self.spark, f"{parent}/{name}")
+        for note in tables.subfolders(self.spark, f"{self.root}/{_REPAIRED}"):
+            self._rebuild_states(int(note.rsplit("/", 1)[1]))
+            tables.delete(self.spark, note)
 
     def expire(self, table: str, column: str, cutoff, *, partition_bound=None) -> int:
         """Delete rows whose ``column`` lies before ``cutoff``; the number deleted.
@@ -332,8 +361,12 @@ class Warehouse:
             staged = tables.staging_path(folder)
             whole = rows.filter(~open_rows).unionByName(renewed)
             tables.write_clustered(whole, staged, ("load_id",), LAYOUTS["fact_events"].sort)
+            # Noted first, so that a failure before the states are rebuilt is made good by ``recover``.
+            note = f"{self.root}/{_REPAIRED}/{row['event_month']}"
+            tables.make_folder(self.spark, note)
             tables.swap_in(self.spark, staged, folder)
             self._rebuild_states(row["event_month"])
+            tables.delete(self.spark, note)
         tables.delete(self.spark, looked_up)
         return sum(row["n"] for row in months)
 

@@ -36,6 +36,11 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     fs, src = _fs(spark, source)
     _, dst = _fs(spark, target)
