@@ -36,15 +36,26 @@ def join_location(events: DataFrame, location: DataFrame, *, dedup: bool = True,
     return _enrich(events, location, LOCATION, dedup, hot)
 
 
-def new_events_only(events: DataFrame, fact: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+def new_events_only(
+    events: DataFrame, fact: DataFrame, hot: HotKeys | None = None, few_ids: DataFrame | None = None
+) -> DataFrame:
     """Events whose id is not in the fact yet.
 
-    The fact is first reduced to the ids of this batch. A batch below the broadcast threshold is then probed
-    without shuffling the fact; a larger one meets it in a shuffle join.
+    ``few_ids`` are the ids of ``events`` where the caller has checked that they are few enough to broadcast:
+    then one column of the fact is scanned and nothing of it is shuffled but the ids already loaded. Without
+    it the fact's ids are shuffled, repeated ones once per task.
     """
-    batch_ids = events.select("event_id").distinct()
-    loaded = fact.select("event_id").join(batch_ids, "event_id", "left_semi").distinct()
-    return join(events, loaded, "event_id", "left_anti", hot)
+    loaded = fact.select("event_id")
+    if few_ids is not None:
+        loaded = loaded.join(F.broadcast(few_ids), "event_id", "left_semi")
+    return join(events, loaded.distinct(), "event_id", "left_anti", hot)
+
+
+def matching(rows: DataFrame, keys: DataFrame, key: str, *, few: bool) -> DataFrame:
+    """The rows whose key is among ``keys``, which are broadcast where the caller knows them to be ``few``."""
+    if few:
+        return rows.join(F.broadcast(keys), key, "left_semi")
+    return join(rows, keys, key, "left_semi")
 
 
 def orphans_browser(browser: DataFrame, fact: DataFrame) -> DataFrame:

@@ -20,10 +20,14 @@ from footfall import schemas
 from footfall.functions.clock import before, event_month, moment
 from footfall.operators import rollups
 from footfall.operators.dedup import latest_per_key
+from footfall.operators.joins import matching
 from footfall.plans import dims
 from footfall.plans.fact import fact_events, lacks_side, repair_fact
 from footfall.sources import tables
 
+# Ids of this many rows are broadcast: tens of megabytes.
+BROADCAST_ROWS = 500_000
+
 # A month of finished loads is worth merging in a regular run from this many files on.
 SMALL_FILES = 100
 
@@ -155,18 +159,20 @@ class Warehouse:
         """First half of a load: the new fact rows, replacing any a failed attempt left; the batches covered.
 
         Batches of finished loads are not read again. Once there is a fact, the other feeds are narrowed to
-        the keys of this load before they are deduplicated, which broadcasts the keys where they are few.
+        the keys of this load before they are deduplicated. The keys of a load of at most BROADCAST_ROWS rows
+        are broadcast, so that neither the fact nor a feed is shuffled for them; those of a larger one are not.
         """
         self._discard("fact_events", load_id)
         batches = self.open_batches()
         browser, *sides = [self.read(table) for table in STAGING_TABLES]
         browser = browser.filter(F.col("batch_id").isin(batches))
-        others = None
+        others, few = None, False
         if self.stored("fact_events"):
             others = self.read("fact_events").filter(F.col("load_id") != load_id)
-            feeds = list(schemas.FEEDS.values())[1:]
-            sides = [s.join(browser.select(f.key).distinct(), f.key, "left_semi") for s, f in zip(sides, feeds)]
-        new = fact_events(browser, *sides, others, dedup=dedup, as_of=as_of)
+            few = browser.count() <= BROADCAST_ROWS
+            keys = [feed.key for feed in list(schemas.FEEDS.values())[1:]]
+            sides = [matching(s, browser.select(k).distinct(), k, few=few) for s, k in zip(sides, keys)]
+        new = fact_events(browser, *sides, others, dedup=dedup, few=few, as_of=as_of)
         self._write("fact_events", tables.with_month(new).withColumn("load_id", F.lit(load_id)))
         return batches
 

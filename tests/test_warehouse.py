@@ -54,6 +54,21 @@ def test_loads_in_parts_equal_one_load(wh, small_dir, full):
     assert (fact_rows(wh), hourly(wh)) == full
 
 
+def test_loads_too_large_to_broadcast(wh, small_dir, full, monkeypatch):
+    monkeypatch.setattr(wh_module, "BROADCAST_ROWS", 0)
+    two_loads(wh, small_dir)
+    assert (fact_rows(wh), hourly(wh)) == full
+
+
+def test_loads_that_keep_every_match(wh, small_dir, full):
+    first, second = fixtures.two_batches(wh.spark, small_dir)
+    stage_feeds(wh, small_dir, browser=first)
+    wh.load("one", dedup=False, as_of=CLOCK)
+    wh.stage(BROWSER, second, "second")
+    assert wh.load("two", dedup=False, as_of=CLOCK) == 480
+    assert (fact_rows(wh), hourly(wh)) == full
+
+
 def test_a_repeated_load_adds_nothing(wh, small_dir, full):
     two_loads(wh, small_dir)
     assert wh.load("two", as_of=CLOCK) == 0
