@@ -8,7 +8,7 @@ so nothing is counted twice or lost. The load log names the loads that are store
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from uuid import uuid4
 
@@ -77,6 +77,10 @@ LAYOUTS: dict[str, Layout] = {
         "date",
         schemas.WAREHOUSE_TTL_DAYS,
     ),
+    "dim_users_state": Layout(
+        schemas.DIM_USERS_STATE_SCHEMA, schemas.FACT_PARTITIONS, tuple(schemas.USER_KEYS)
+    ),
+    "dim_geo_state": Layout(schemas.DIM_GEO_STATE_SCHEMA, schemas.FACT_PARTITIONS, tuple(schemas.GEO_KEYS)),
     "load_log": Layout(schemas.LOAD_LOG_SCHEMA),
 }
 
@@ -85,6 +89,28 @@ DWH_TABLES = ("fact_events", "dim_users", "dim_geo", "agg_events_hourly", "agg_t
 STATE_KEYS = {"agg_events_hourly": schemas.HOURLY_KEYS, "agg_traffic_sources": schemas.TRAFFIC_KEYS}
 
 
+@dataclass(frozen=True)
+class State:
+    """A table of partials: how fact rows become partials, and partials of one month one row per key."""
+
+    build: Callable[[DataFrame], DataFrame]
+    collapse: Callable[[DataFrame], DataFrame]
+
+
+STATES: dict[str, State] = {
+    "agg_events_hourly": State(
+        lambda fact: tables.with_month(rollups.hourly_state(fact), "event_hour"),
+        lambda partials: rollups.collapse(partials, schemas.HOURLY_KEYS),
+    ),
+    "agg_traffic_sources": State(
+        lambda fact: tables.with_month(rollups.traffic_state(fact), "date"),
+        lambda partials: rollups.collapse(partials, schemas.TRAFFIC_KEYS),
+    ),
+    "dim_users_state": State(dims.users_state, dims.collapse_users),
+    "dim_geo_state": State(dims.geo_state, dims.collapse_geo),
+}
+
+
 _ID = re.compile(r"[A-Za-z0-9_.-]+")
 
 
@@ -179,10 +205,9 @@ class Warehouse:
     def finish_load(self, load_id: str, batches: Sequence[str], *, as_of=None) -> int:
         """Second half: the states of the load's stored fact rows, then the entry in the load log."""
         mine = self.read("fact_events").filter(F.col("load_id") == load_id)
-        for table in STATE_KEYS:
+        for table, state in STATES.items():
             self._discard(table, load_id)
-        self._write("agg_events_hourly", self._state(rollups.hourly_state(mine), "event_hour", load_id))
-        self._write("agg_traffic_sources", self._state(rollups.traffic_state(mine), "date", load_id))
+            self._write(table, state.build(mine).withColumn("load_id", F.lit(load_id)))
         rows = mine.count()
         entry = self.spark.range(1).select(
             F.lit(load_id).alias("load_id"),
@@ -198,9 +223,6 @@ class Warehouse:
         for folder in tables.subfolders(self.spark, self.path(table), f"event_month=*/load_id={load_id}"):
             tables.delete(self.spark, folder)
 
-    def _state(self, state: DataFrame, time_column: str, load_id: str) -> DataFrame:
-        return tables.with_month(state, time_column).withColumn("load_id", F.lit(load_id))
-
     def _write(self, table: str, rows: DataFrame) -> None:
         layout = LAYOUTS[table]
         ordered = rows.select(*layout.schema.fieldNames())
@@ -218,10 +240,18 @@ class Warehouse:
     # Dimensions
 
     def rebuild_dims(self) -> None:
-        fact = self.read("fact_events")
-        for table, rows in (("dim_users", dims.dim_users(fact)), ("dim_geo", dims.dim_geo(fact))):
+        """Replace both dimensions by the merged partials of all loads."""
+        users, places = dims.users_from(self._done("dim_users_state")), dims.geo_from(self._done("dim_geo_state"))
+        for table, rows in (("dim_users", users), ("dim_geo", places)):
             tables.truncate_reload(rows, self.path(table), LAYOUTS[table].schema)
 
+    def _done(self, table: str) -> DataFrame:
+        """Rows of finished loads."""
+        ids = self.read("load_log").select("load_id").distinct().unionByName(
+            self.spark.range(1).select(F.lit(MERGED).alias("load_id"))
+        )
+        return self.read(table).join(ids, "load_id", "left_semi")
+
     def register_views(self) -> None:
         """Name every stored table for SQL."""
         for table in LAYOUTS:
@@ -241,16 +271,14 @@ class Warehouse:
             self._rebuild_states(int(note.rsplit("/", 1)[1]))
             tables.delete(self.spark, note)
 
-    def expire(self, table: str, column: str, cutoff, *, partition_bound=None) -> int:
-        """Delete rows whose ``column`` lies before ``cutoff``; the number deleted.
+    def _expire(self, table: str, column: str, cutoff, bound) -> list:
+        """Delete rows whose ``column`` lies before ``cutoff``; a row per partition that lost some.
 
         Partitions that are wholly expired are dropped; only those the cutoff falls into are rewritten.
-        ``partition_bound`` is a condition on partition columns that no expired row fails.
+        ``bound`` is a condition on partition columns that no expired row fails.
         """
         layout = LAYOUTS[table]
-        df = self.read(table)
-        if partition_bound is not None:
-            df = df.filter(partition_bound)
+        df = self.read(table).filter(bound)
         expired = F.col(column) < cutoff
         # One row per partition folder: bounded by the calendar and the batches kept.
         touched = (
@@ -269,7 +297,7 @@ class Warehouse:
             staged = tables.staging_path(folder)
             tables.write_clustered(kept, staged, (), [c for c in layout.sort if c in plain.fieldNames()])
             tables.swap_in(self.spark, staged, folder)
-        return sum(row["expired"] for row in touched)
+        return touched
 
     def _folder(self, table: str, row, partitions: Sequence[str]) -> str:
         def text(value) -> str:
@@ -281,10 +309,14 @@ class Warehouse:
         """Clear staging rows inserted more than ``days`` ago; rows deleted per table."""
         cutoff = before(as_of, days=days)
         bound = F.col("inserted_on") <= F.to_date(cutoff)
-        return {t: self.expire(t, "inserted_at", cutoff, partition_bound=bound) for t in STAGING_TABLES}
+        touched = {t: self._expire(t, "inserted_at", cutoff, bound) for t in STAGING_TABLES}
+        return {table: sum(row["expired"] for row in rows) for table, rows in touched.items()}
 
     def ttl_expire(self, as_of=None) -> dict[str, int]:
-        """Apply each table's time-to-live; rows deleted per table."""
+        """Apply each table's time-to-live; rows deleted per table.
+
+        The partials of the dimensions are rebuilt for the months that lost events.
+        """
         deleted = {}
         for table, layout in LAYOUTS.items():
             if layout.expires_by is None:
@@ -294,23 +326,29 @@ class Warehouse:
                 bound = F.col("event_month") <= event_month(cutoff)
             else:
                 bound = F.col("inserted_on") <= F.to_date(cutoff)
-            deleted[table] = self.expire(table, layout.expires_by, cutoff, partition_bound=bound)
+            touched = self._expire(table, layout.expires_by, cutoff, bound)
+            deleted[table] = sum(row["expired"] for row in touched)
+            if table == "fact_events":
+                for month in sorted({row["event_month"] for row in touched}):
+                    self._rebuild_states(month, ("dim_users_state", "dim_geo_state"))
         return deleted
 
     def compact(self, max_files: int = 1) -> list[str]:
         """Merge the many small files of finished loads; the folders rewritten.
 
-        Only months with more than ``max_files`` files are touched. States are merged to one row per group,
-        dimensions to the latest row per key. A load that is not in the load log stays as it is.
+        A month is rewritten once its finished loads have more than ``max_files`` files and half as many again
+        as their size calls for, so that a large month is not copied for a few new files. States are merged to
+        one row per group, dimensions to the latest row per key. A load that is not in the load log stays.
         """
         rewritten = []
-        for table in ("fact_events", *STATE_KEYS):
+        for table in ("fact_events", *STATES):
             for month in tables.subfolders(self.spark, self.path(table), "event_month=*"):
                 loads = {f.rsplit("load_id=", 1)[1]: f for f in tables.subfolders(self.spark, month, "load_id=*")}
                 ready = self.committed(list(loads)) | ({MERGED} & set(loads))
-                files = sum(tables.data_files(self.spark, loads[load_id]) for load_id in ready)
-                if files > max_files:
-                    self._merge_month(table, month, sorted(ready), sorted(set(loads) - ready))
+                sizes = [tables.data_files(self.spark, loads[load_id]) for load_id in ready]
+                files, target = sum(n for n, _ in sizes), tables.files_for(sum(size for _, size in sizes))
+                if files > max(max_files, 1.5 * target):
+                    self._merge_month(table, month, sorted(ready), sorted(set(loads) - ready), target)
                     rewritten.append(month)
         for table, key, version in (("dim_users", "user_domain_id", "last_seen"), ("dim_geo", "geo_id", None)):
             if self.stored(table):
@@ -321,16 +359,16 @@ class Warehouse:
             tables.truncate_reload(self.read("load_log").coalesce(1), self.path("load_log"), schemas.LOAD_LOG_SCHEMA)
         return rewritten
 
-    def _merge_month(self, table: str, month: str, ready: list[str], unfinished: list[str]) -> None:
-        """Replace one month folder by a copy with its finished loads merged."""
+    def _merge_month(self, table: str, month: str, ready: list[str], unfinished: list[str], files: int) -> None:
+        """Replace one month folder by a copy with its finished loads merged into ``files`` files."""
         layout = LAYOUTS[table]
         rows = self._month(table, month)
         finished = rows.filter(F.col("load_id").isin(ready))
-        if table in STATE_KEYS:
-            finished = rollups.collapse(finished, STATE_KEYS[table])
+        if table in STATES:
+            finished = STATES[table].collapse(finished)
         merged = finished.withColumn("load_id", F.lit(MERGED)).select(*rows.columns)
         staged = tables.staging_path(month)
-        tables.write_clustered(merged, staged, ("load_id",), layout.sort)
+        tables.write_clustered(merged, staged, ("load_id",), layout.sort, files)
         if unfinished:
             kept = rows.filter(F.col("load_id").isin(unfinished))
             tables.write_by_partition(kept, staged, ("load_id",), layout.sort)
@@ -366,7 +404,8 @@ class Warehouse:
             renewed = result.filter(F.col("event_month") == row["event_month"]).select(*rows.columns)
             staged = tables.staging_path(folder)
             whole = rows.filter(~open_rows).unionByName(renewed)
-            tables.write_clustered(whole, staged, ("load_id",), LAYOUTS["fact_events"].sort)
+            files = tables.files_for(tables.data_files(self.spark, folder)[1])
+            tables.write_clustered(whole, staged, ("load_id",), LAYOUTS["fact_events"].sort, files)
             # Noted first, so that a failure before the states are rebuilt is made good by ``recover``.
             note = f"{self.root}/{_REPAIRED}/{row['event_month']}"
             tables.make_folder(self.spark, note)
@@ -376,17 +415,17 @@ class Warehouse:
         tables.delete(self.spark, looked_up)
         return sum(row["n"] for row in months)
 
-    def _rebuild_states(self, month: int) -> None:
+    def _rebuild_states(self, month: int, states: Sequence[str] = tuple(STATES)) -> None:
         """States of one month from its finished loads; an unfinished load writes its own when it finishes."""
         rows = self._month("fact_events", f"{self.path('fact_events')}/event_month={month}")
         present = [row["load_id"] for row in rows.select("load_id").distinct().collect()]
         done = self.committed(present) | {MERGED}
         finished = rows.filter(F.col("load_id").isin(list(done)))
-        for table, state in (("agg_events_hourly", rollups.hourly_state), ("agg_traffic_sources", rollups.traffic_state)):
+        for table in states:
             folder = f"{self.path(table)}/event_month={month}"
             staged = tables.staging_path(folder)
-            merged = state(finished).withColumn("load_id", F.lit(MERGED))
-            tables.write_clustered(merged, staged, ("load_id",), STATE_KEYS[table])
+            partials = STATES[table].build(finished).drop("event_month").withColumn("load_id", F.lit(MERGED))
+            tables.write_clustered(partials, staged, ("load_id",), LAYOUTS[table].sort)
             tables.swap_in(self.spark, staged, folder)
 
 

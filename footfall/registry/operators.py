@@ -295,6 +295,17 @@ def dim_geo(spark, sf_dir):
     return dims.dim_geo(inputs.fact(spark, sf_dir))
 
 
+@query("SELECT * FROM dim_users")
+def dim_users_from_state(spark, sf_dir):
+    """The dimension from the partials of every load."""
+    return dims.users_from(inputs.warehouse(spark, sf_dir).read("dim_users_state"))
+
+
+@query("SELECT * FROM dim_geo")
+def dim_geo_from_state(spark, sf_dir):
+    return dims.geo_from(inputs.warehouse(spark, sf_dir).read("dim_geo_state"))
+
+
 @query(
     f"""SELECT click_id, {DEVICE_COLUMNS}, inserted_at FROM device_dup
     QUALIFY row_number() OVER (PARTITION BY click_id ORDER BY inserted_at DESC) = 1"""

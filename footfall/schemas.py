@@ -190,6 +190,27 @@ TRAFFIC_STATE_SCHEMA = _struct(
     load_id="string",
 )
 
+# Keys of the dimensions, and the attributes each takes from its earliest event.
+USER_KEYS = ["user_domain_id"]
+USER_ATTRIBUTES = ["user_custom_id", "device_type", "os_name"]
+GEO_KEYS = ["geo_country", "geo_region_name"]
+GEO_ATTRIBUTES = ["geo_latitude", "geo_longitude", "geo_timezone"]
+
+
+def _dim_state(keys: list[str], attributes: list[str]) -> T.StructType:
+    earliest = _struct(event_timestamp="timestamp", event_id="string", **{c: "string" for c in attributes})
+    times = _struct(first_seen="timestamp", last_seen="timestamp", total_events="long")
+    return T.StructType(
+        _struct(**{c: "string" for c in keys}).fields
+        + [T.StructField("first", earliest)]
+        + times.fields
+        + _struct(event_month="int", load_id="string").fields
+    )
+
+
+DIM_USERS_STATE_SCHEMA = _dim_state(USER_KEYS, USER_ATTRIBUTES)
+DIM_GEO_STATE_SCHEMA = _dim_state(GEO_KEYS, GEO_ATTRIBUTES)
+
 # One row per load whose fact rows and both states are stored in full, with the browser batches it covers.
 LOAD_LOG_SCHEMA = _struct(load_id="string", rows="long", committed_at="timestamp").add(
     "batches", T.ArrayType(T.StringType())

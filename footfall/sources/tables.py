@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,9 @@ from footfall.functions.values import fill_blanks
 STAGED = "_staged"
 RETIRED = "_retired"
 
+# Size of a data file after compaction.
+FILE_BYTES = 128 << 20
+
 
 def _fs(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -56,16 +60,22 @@ def subfolders(spark: SparkSession, path: str, pattern: str = "*") -> list[str]:
     return sorted(s.getPath().toString() for s in found if s.isDirectory())
 
 
-def data_files(spark: SparkSession, folder: str) -> int:
-    """Data files in ``folder``, at any depth of partition folders."""
+def data_files(spark: SparkSession, folder: str) -> tuple[int, int]:
+    """Number and bytes of the data files in ``folder``, at any depth of partition folders."""
     fs, p = _fs(spark, folder)
-    total = 0
+    files = size = 0
     for status in fs.listStatus(p):
         name = status.getPath().getName()
         if name.startswith(("_", ".")):
             continue
-        total += data_files(spark, status.getPath().toString()) if status.isDirectory() else 1
-    return total
+        below = data_files(spark, status.getPath().toString()) if status.isDirectory() else (1, status.getLen())
+        files, size = files + below[0], size + below[1]
+    return files, size
+
+
+def files_for(size: int) -> int:
+    """How many files ``size`` bytes are best kept in."""
+    return max(1, ceil(size / FILE_BYTES))
 
 
 def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -111,13 +121,17 @@ def write_by_partition(df: DataFrame, path: str, partitions: Sequence[str], sort
     )
 
 
-def write_clustered(df: DataFrame, path: str, partitions: Sequence[str], sort: Sequence[str]) -> None:
+def write_clustered(
+    df: DataFrame, path: str, partitions: Sequence[str], sort: Sequence[str], files: int | None = None
+) -> None:
     """Rewrite with every file covering one narrow range of the sort columns.
 
-    A range exchange, not one task per month: a month of any size spreads over as many files as it needs.
+    A range exchange, not one task per month: a month of any size spreads over ``files`` files, or over as
+    many as AQE sees fit.
     """
     keys = [*partitions, *sort]
-    writer = df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite")
+    ranged = df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
+    writer = ranged.sortWithinPartitions(*keys).write.mode("overwrite")
     if partitions:
         writer = writer.partitionBy(*partitions)
     writer.parquet(path)

@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from footfall.operators import rollups
+from footfall.plans import dims
 from footfall.plans import warehouse as wh_module
 from footfall.plans.fact import fact_events
 from footfall.plans.warehouse import Warehouse
@@ -40,6 +41,17 @@ def full(spark, small_dir):
     return fact_rows(wh), hourly(wh)
 
 
+def dimensions(wh):
+    """Both dimensions as kept from partials, after checking them against the fact."""
+    wh.rebuild_dims()
+    fact = wh.read("fact_events")
+    kept = []
+    for table, whole in (("dim_users", dims.dim_users(fact)), ("dim_geo", dims.dim_geo(fact))):
+        kept.append(as_set(wh.read(table), *whole.columns))
+        assert kept[-1] == as_set(whole, *whole.columns)
+    return kept
+
+
 def two_loads(wh, small_dir):
     first, second = fixtures.two_batches(wh.spark, small_dir)
     stage_feeds(wh, small_dir, browser=first)
@@ -52,6 +64,7 @@ def two_loads(wh, small_dir):
 def test_loads_in_parts_equal_one_load(wh, small_dir, full):
     two_loads(wh, small_dir)
     assert (fact_rows(wh), hourly(wh)) == full
+    assert [len(rows) for rows in dimensions(wh)] == [15, 15]
 
 
 def test_loads_too_large_to_broadcast(wh, small_dir, full, monkeypatch):
@@ -93,6 +106,8 @@ def test_failure_between_fact_and_states_is_made_good(wh, small_dir, full):
     wh.stage(BROWSER, second, "second")
     wh.load_fact("two", as_of=CLOCK)  # and then the job dies
     wh.compact()  # must leave the unfinished load alone
+    wh.rebuild_dims()
+    assert wh.read("dim_users").agg(F.sum("total_events")).first()[0] < 520
     assert wh.load("two", as_of=CLOCK) == 480
     assert (fact_rows(wh), hourly(wh)) == full
 
@@ -106,6 +121,7 @@ def test_failure_between_the_two_states_is_made_good(wh, small_dir, full, monkey
     assert wh.load("all", as_of=CLOCK) == 1000
     assert (fact_rows(wh), hourly(wh)) == full
     assert total(wh.read("agg_traffic_sources")) == 1000
+    dimensions(wh)
 
 
 def test_compaction_keeps_every_row_and_merges_states(wh, small_dir, full):
@@ -116,6 +132,8 @@ def test_compaction_keeps_every_row_and_merges_states(wh, small_dir, full):
     assert wh.compact()
     assert (fact_rows(wh), hourly(wh)) == full
     assert as_set(wh.read("dim_users"), *wh.read("dim_users").columns) == users
+    assert dimensions(wh)[0] == users
+    assert wh.read("dim_users_state").count() == len(users)
     assert wh.read("agg_traffic_sources").count() <= before["agg_traffic_sources"]
     keys = wh.read("agg_events_hourly").groupBy(*HOURLY_KEYS).count()
     assert keys.filter("count > 1").count() == 0
@@ -123,7 +141,23 @@ def test_compaction_keeps_every_row_and_merges_states(wh, small_dir, full):
     assert wh.load("two", as_of=CLOCK) == 0
     assert wh.load("four", as_of=CLOCK) == 0
     for month in tables.subfolders(wh.spark, wh.path("fact_events"), "event_month=*"):
-        assert tables.data_files(wh.spark, month) == 1
+        assert tables.data_files(wh.spark, month)[0] == 1
+
+
+def test_a_month_is_not_copied_for_a_few_new_files(wh, small_dir, monkeypatch):
+    two_loads(wh, small_dir)
+    files, size = tables.data_files(wh.spark, tables.subfolders(wh.spark, wh.path("fact_events"), "event_month=*")[0])
+    monkeypatch.setattr(tables, "FILE_BYTES", size // 8)
+    assert tables.files_for(size) >= 8 > files
+    assert not [f for f in wh.compact() if "fact_events" in f]
+
+
+def test_a_compacted_month_has_files_of_the_wanted_size(wh, small_dir, full, monkeypatch):
+    two_loads(wh, small_dir)
+    month = tables.subfolders(wh.spark, wh.path("fact_events"), "event_month=*")[0]
+    wh._merge_month("fact_events", month, ["one", "two"], [], 4)
+    assert tables.data_files(wh.spark, month)[0] == 4
+    assert fact_rows(wh) == full[0]
 
 
 def test_repair_after_late_rows(wh, small_dir, full):
@@ -133,6 +167,7 @@ def test_repair_after_late_rows(wh, small_dir, full):
     wh.stage(DEVICE, late, "late")
     assert wh.repair(CLOCK, days=31) == 84
     assert (fact_rows(wh), hourly(wh)) == full
+    dimensions(wh)
     assert wh.repair(CLOCK, days=31) == 0
 
 
@@ -184,7 +219,8 @@ def test_retention_rewrites_the_boundary_day(wh):
 def test_time_to_live_of_fact_and_states(wh):
     days = ["2023-01-10", "2023-01-20", "2023-06-01", "2024-01-05"]
     browser = [event(str(i), ts=f"{day} 10:00:00") for i, day in enumerate(days)]
-    for feed, frame in zip(FEEDS.values(), feeds(wh.spark, browser)):
+    device = [{"click_id": "c1", "user_domain_id": "u"}]
+    for feed, frame in zip(FEEDS.values(), feeds(wh.spark, browser, device)):
         wh.stage(feed, frame, "b")
     wh.load("l", as_of=CLOCK)
     deleted = wh.ttl_expire("2024-01-15 00:00:00")
@@ -192,6 +228,8 @@ def test_time_to_live_of_fact_and_states(wh):
     assert as_set(wh.read("fact_events"), "event_id") == [("1",), ("2",), ("3",)]
     assert deleted["events_browser_raw"] == 3
     assert deleted["events_device_raw"] == 0
+    ((user, _, first_seen, _, events, *_),) = dimensions(wh)[0]
+    assert (user, first_seen, events) == ("u", moment("2023-01-20 10:00:00"), 3)
 
 
 def test_refresh_runs_everything_in_order(wh, small_dir):
