@@ -24,6 +24,7 @@ from footfall.operators.joins import matching
 from footfall.plans import dims
 from footfall.plans.fact import fact_events, lacks_side, repair_fact
 from footfall.sources import tables
+from footfall.workspace import side_by_side
 
 # Ids of this many rows are broadcast: tens of megabytes.
 BROADCAST_ROWS = 500_000
@@ -205,9 +206,12 @@ class Warehouse:
     def finish_load(self, load_id: str, batches: Sequence[str], *, as_of=None) -> int:
         """Second half: the states of the load's stored fact rows, then the entry in the load log."""
         mine = self.read("fact_events").filter(F.col("load_id") == load_id)
-        for table, state in STATES.items():
+
+        def write_state(table: str) -> None:
             self._discard(table, load_id)
-            self._write(table, state.build(mine).withColumn("load_id", F.lit(load_id)))
+            self._write(table, STATES[table].build(mine).withColumn("load_id", F.lit(load_id)))
+
+        side_by_side(write_state, STATES)
         rows = mine.count()
         entry = self.spark.range(1).select(
             F.lit(load_id).alias("load_id"),
@@ -241,9 +245,11 @@ class Warehouse:
 
     def rebuild_dims(self) -> None:
         """Replace both dimensions by the merged partials of all loads."""
-        users, places = dims.users_from(self._done("dim_users_state")), dims.geo_from(self._done("dim_geo_state"))
-        for table, rows in (("dim_users", users), ("dim_geo", places)):
-            tables.truncate_reload(rows, self.path(table), LAYOUTS[table].schema)
+        merged = {
+            "dim_users": dims.users_from(self._done("dim_users_state")),
+            "dim_geo": dims.geo_from(self._done("dim_geo_state")),
+        }
+        side_by_side(lambda t: tables.truncate_reload(merged[t], self.path(t), LAYOUTS[t].schema), merged)
 
     def _done(self, table: str) -> DataFrame:
         """Rows of finished loads."""
@@ -309,29 +315,30 @@ class Warehouse:
         """Clear staging rows inserted more than ``days`` ago; rows deleted per table."""
         cutoff = before(as_of, days=days)
         bound = F.col("inserted_on") <= F.to_date(cutoff)
-        touched = {t: self._expire(t, "inserted_at", cutoff, bound) for t in STAGING_TABLES}
-        return {table: sum(row["expired"] for row in rows) for table, rows in touched.items()}
+        touched = side_by_side(lambda t: self._expire(t, "inserted_at", cutoff, bound), STAGING_TABLES)
+        return {table: sum(row["expired"] for row in rows) for table, rows in zip(STAGING_TABLES, touched)}
 
     def ttl_expire(self, as_of=None) -> dict[str, int]:
         """Apply each table's time-to-live; rows deleted per table.
 
         The partials of the dimensions are rebuilt for the months that lost events.
         """
-        deleted = {}
-        for table, layout in LAYOUTS.items():
-            if layout.expires_by is None:
-                continue
+
+        def expire(table: str) -> int:
+            layout = LAYOUTS[table]
             cutoff = before(as_of, days=layout.expires_after_days)
             if "event_month" in layout.partitions:
                 bound = F.col("event_month") <= event_month(cutoff)
             else:
                 bound = F.col("inserted_on") <= F.to_date(cutoff)
             touched = self._expire(table, layout.expires_by, cutoff, bound)
-            deleted[table] = sum(row["expired"] for row in touched)
             if table == "fact_events":
                 for month in sorted({row["event_month"] for row in touched}):
                     self._rebuild_states(month, ("dim_users_state", "dim_geo_state"))
-        return deleted
+            return sum(row["expired"] for row in touched)
+
+        expiring = [table for table, layout in LAYOUTS.items() if layout.expires_by]
+        return dict(zip(expiring, side_by_side(expire, expiring)))
 
     def compact(self, max_files: int = 1) -> list[str]:
         """Merge the many small files of finished loads; the folders rewritten.
@@ -340,18 +347,15 @@ class Warehouse:
         as their size calls for, so that a large month is not copied for a few new files. States are merged to
         one row per group, dimensions to the latest row per key. A load that is not in the load log stays.
         """
-        rewritten = []
-        for table in ("fact_events", *STATES):
-            for month in tables.subfolders(self.spark, self.path(table), "event_month=*"):
-                loads = {f.rsplit("load_id=", 1)[1]: f for f in tables.subfolders(self.spark, month, "load_id=*")}
-                ready = self.committed(list(loads)) | ({MERGED} & set(loads))
-                sizes = [tables.data_files(self.spark, loads[load_id]) for load_id in ready]
-                files, target = sum(n for n, _ in sizes), tables.files_for(sum(size for _, size in sizes))
-                if files > max(max_files, 1.5 * target):
-                    self._merge_month(table, month, sorted(ready), sorted(set(loads) - ready), target)
-                    rewritten.append(month)
+        months = [
+            (table, month)
+            for table in ("fact_events", *STATES)
+            for month in tables.subfolders(self.spark, self.path(table), "event_month=*")
+        ]
+        merged = side_by_side(lambda m: self._compact_month(*m, max_files), months)
+        rewritten = [month for (_, month), done in zip(months, merged) if done]
         for table, key, version in (("dim_users", "user_domain_id", "last_seen"), ("dim_geo", "geo_id", None)):
-            if self.stored(table):
+            if self.stored(table) and self._scattered([self.path(table)], max_files):
                 rows = latest_per_key(self.read(table), key, version) if version else self.read(table)
                 tables.truncate_reload(rows.sort(key), self.path(table), LAYOUTS[table].schema)
                 rewritten.append(self.path(table))
@@ -359,6 +363,21 @@ class Warehouse:
             tables.truncate_reload(self.read("load_log").coalesce(1), self.path("load_log"), schemas.LOAD_LOG_SCHEMA)
         return rewritten
 
+    def _compact_month(self, table: str, month: str, max_files: int) -> bool:
+        loads = {f.rsplit("load_id=", 1)[1]: f for f in tables.subfolders(self.spark, month, "load_id=*")}
+        ready = self.committed(list(loads)) | ({MERGED} & set(loads))
+        folders = [loads[load_id] for load_id in ready]
+        target = self._scattered(folders, max_files)
+        if target:
+            self._merge_month(table, month, sorted(ready), sorted(set(loads) - ready), target)
+        return target > 0
+
+    def _scattered(self, folders: Sequence[str], max_files: int) -> int:
+        """The number of files the folders' data should be kept in, or 0 where it is not worth a rewrite."""
+        sizes = [tables.data_files(self.spark, folder) for folder in folders]
+        files, target = sum(n for n, _ in sizes), tables.files_for(sum(size for _, size in sizes))
+        return target if files > max(max_files, 1.5 * target) else 0
+
     def _merge_month(self, table: str, month: str, ready: list[str], unfinished: list[str], files: int) -> None:
         """Replace one month folder by a copy with its finished loads merged into ``files`` files."""
         layout = LAYOUTS[table]
@@ -421,13 +440,16 @@ class Warehouse:
         present = [row["load_id"] for row in rows.select("load_id").distinct().collect()]
         done = self.committed(present) | {MERGED}
         finished = rows.filter(F.col("load_id").isin(list(done)))
-        for table in states:
+
+        def rebuild(table: str) -> None:
             folder = f"{self.path(table)}/event_month={month}"
             staged = tables.staging_path(folder)
             partials = STATES[table].build(finished).drop("event_month").withColumn("load_id", F.lit(MERGED))
             tables.write_clustered(partials, staged, ("load_id",), LAYOUTS[table].sort)
             tables.swap_in(self.spark, staged, folder)
 
+        side_by_side(rebuild, states)
+
 
 def table_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
     """Rows per table."""

@@ -7,7 +7,6 @@ long as the test tables do not change. A query's own output is never reused.
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,7 +15,7 @@ from footfall.plans.warehouse import LAYOUTS, Warehouse
 from footfall.schemas import FEEDS, Feed
 from footfall.sources import fixtures
 from footfall.sources.messages import publish_lines
-from footfall.workspace import fresh_folder
+from footfall.workspace import fresh_folder, side_by_side
 
 _MADE: dict[tuple, object] = {}
 
@@ -38,12 +37,6 @@ def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], object
     return _MADE[key]
 
 
-def _for_each_feed(work: Callable[[Feed], None]) -> None:
-    """The four feeds side by side: on small inputs one job at a time leaves most cores idle."""
-    with ThreadPoolExecutor(len(FEEDS)) as pool:
-        list(pool.map(work, FEEDS.values()))
-
-
 def new_warehouse(spark: SparkSession, purpose: str) -> Warehouse:
     return Warehouse(spark, fresh_folder(spark, purpose))
 
@@ -55,7 +48,7 @@ def stage_feeds(wh: Warehouse, sf_dir: str, batch_id: str = "first", **replaced:
         rows = replaced.get(feed.name)
         wh.stage(feed, fixtures.FEED_BUILDERS[feed.name](wh.spark, sf_dir) if rows is None else rows, batch_id)
 
-    _for_each_feed(stage)
+    side_by_side(stage, FEEDS.values())
     return wh
 
 
@@ -100,8 +93,9 @@ def topics(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     def make() -> dict[str, str]:
         root = fresh_folder(spark, "topics")
         paths = {feed.name: f"{root}/{feed.topic}" for feed in FEEDS.values()}
-        _for_each_feed(
-            lambda feed: publish_lines(fixtures.FEED_BUILDERS[feed.name](spark, sf_dir), feed, paths[feed.name])
+        side_by_side(
+            lambda feed: publish_lines(fixtures.FEED_BUILDERS[feed.name](spark, sf_dir), feed, paths[feed.name]),
+            FEEDS.values(),
         )
         return paths
 
@@ -114,7 +108,7 @@ def bad_topics(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     def make() -> dict[str, str]:
         root = fresh_folder(spark, "bad-topics")
         paths = {feed.name: f"{root}/{feed.topic}" for feed in FEEDS.values()}
-        _for_each_feed(lambda feed: fixtures.bad_json(spark, sf_dir, feed).write.text(paths[feed.name]))
+        side_by_side(lambda feed: fixtures.bad_json(spark, sf_dir, feed).write.text(paths[feed.name]), FEEDS.values())
         return paths
 
     return _once(spark, sf_dir, "bad-topics", make)

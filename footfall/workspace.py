@@ -7,6 +7,9 @@ import shutil
 import tempfile
 import uuid
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import SparkSession
 
 _LOCAL_ROOTS: dict[str, str] = {}
@@ -33,3 +36,9 @@ def application_root(spark: SparkSession) -> str:
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
     """A folder no earlier job has used."""
     return f"{application_root(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def side_by_side(work: Callable, items: Iterable, at_once: int = 4) -> list:
+    """``work`` on every item, a few Spark jobs at a time: one job's last tasks leave cores the next can use."""
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(work, items))

@@ -275,7 +275,7 @@ def test_unusable_load_ids(wh, bad):
         wh.load(bad)
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
 @given(cuts=st.lists(st.integers(0, 3), min_size=1000, max_size=1000))
 def test_states_merge_the_same_however_events_are_split(spark, small_dir, cuts):
     feeds_ = [build(spark, small_dir) for build in fixtures.FEED_BUILDERS.values()]
