@@ -7,7 +7,7 @@ from feeds import as_set, event, feeds, staged
 from pyspark.sql import functions as F
 
 from footfall.operators import skew
-from footfall.operators.joins import join_device, new_events_only, orphan_count
+from footfall.operators.joins import join_device, matching, new_events_only, orphan_count, orphans_device
 from footfall.plans.fact import fact_events, repair_fact
 from footfall.schemas import BROWSER, DEVICE, FACT_COLUMNS
 from footfall.sources import fixtures
@@ -155,3 +155,24 @@ def test_fan_out_keeps_every_match(spark):
 def test_orphan_count_is_zero_not_null_on_empty_input(spark):
     browser, *_ = feeds(spark)
     assert orphan_count(browser, browser, "event_id").first()["count"] == 0
+
+
+def test_narrowing_a_skewed_feed_to_a_loads_keys(spark, low_threshold):
+    rows = spark.range(3000).select(
+        "id", F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 700).cast("string")).alias("click_id")
+    )
+    assert skew.hot_keys(rows, "click_id")
+    keys = rows.filter("click_id = 'hot' or id < 50").select("click_id").distinct()
+    few, many = (as_set(matching(rows, keys, "click_id", few=f), "id") for f in (True, False))
+    assert few == many
+    assert len(few) > 1000
+
+
+def test_orphans_of_one_click_are_all_found(spark, low_threshold):
+    device, fact = (
+        staged(spark, DEVICE, [{"click_id": c}]).crossJoin(spark.range(n)).select("click_id", "id")
+        for c, n in (("lost", 1000), ("known", 10))
+    )
+    rows = device.unionByName(fact)
+    assert orphans_device(rows, fact).count() == 1000
+    assert orphan_count(rows, fact, "click_id").first()["count"] == 1000
