@@ -15,7 +15,7 @@ from footfall.functions.clock import before, event_day, event_hour, moment, sinc
 from footfall.functions.values import percent, ratio
 from footfall.operators import rollups, skew
 from footfall.operators.aggregates import count_by, having, sort_multi, sum_measure, top_k
-from footfall.operators.filters import dashboard_filters, filter_in_list, filter_nonempty, filter_since
+from footfall.operators.filters import dashboard_filters, filter_in_list, filter_nonempty
 
 USER = "user_domain_id"
 
@@ -271,17 +271,24 @@ def daily_cohort(fact, as_of=None, filters=None):
 # Live monitoring
 
 
-def activity_24h(hourly, as_of=None):
+def _event_count(rows: DataFrame, name: str = "events"):
+    """The number of events: of a fact's rows, or of the events a state's rows stand for."""
+    counted = F.sum("total_events") if "total_events" in rows.columns else F.count(F.lit(1))
+    return counted.alias(name)
+
+
+def activity_24h(hourly, as_of=None, filters=None):
     """Events per hour of the last 24 hours and their total, from the hourly state."""
-    recent = filter_since(hourly, as_of, hours=24, column="event_hour")
-    per_hour = recent.groupBy("event_hour").agg(F.sum("total_events").alias("events"))
+    recent = _recent_hours(dashboard_filters(hourly, filters), as_of, 24)
+    per_hour = recent.groupBy("event_hour").agg(_event_count(recent))
     with_total = per_hour.rollup("event_hour").agg(F.sum("events").alias("events"))
     return with_total.filter(F.col("events").isNotNull())
 
 
-def activity_heatmap(hourly, as_of=None):
+def activity_heatmap(hourly, as_of=None, filters=None):
     """Events per hour of day and type, from the hourly state."""
-    return sum_measure(hourly, [F.hour("event_hour").alias("hour"), "event_type"], {"events": "total_events"})
+    rows = _with_hour(dashboard_filters(hourly, filters))
+    return rows.groupBy(F.hour("event_hour").alias("hour"), "event_type").agg(_event_count(rows))
 
 
 def active_users_48h(fact, as_of=None, filters=None):

@@ -156,7 +156,7 @@ def stamp_insert_time(spark, sf_dir):
 @query()
 def peek_topic(spark, sf_dir):
     """Ten messages as they come; which ones is not defined."""
-    return messages.read_lines(spark, inputs.topics(spark, sf_dir)["browser"]).limit(10)
+    return messages.peek(messages.read_lines(spark, inputs.topics(spark, sf_dir)["browser"]))
 
 
 @query(

@@ -38,6 +38,11 @@ def read_lines(spark: SparkSession, path: str, *, stream: bool = False, files_pe
     return reader.text(path)
 
 
+def peek(lines: DataFrame, n: int = 10) -> DataFrame:
+    """Some ``n`` messages, to look at."""
+    return lines.limit(n)
+
+
 def parse_lines(lines: DataFrame, feed: Feed) -> DataFrame:
     """One row per line: the feed's columns, the raw ``value``, and why it cannot be loaded (``problem``)."""
     schema = T.StructType([*feed.schema.fields, T.StructField(_CORRUPT, T.StringType())])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions.values import merged_estimate, ratio, sketch
 from footfall.operators import skew
-from footfall.operators.aggregates import top_k
+from footfall.operators.aggregates import min_max, top_k
 from footfall.operators.filters import dashboard_filters
 from footfall.plans import reports
 from footfall.plans.fact import fact_events
@@ -79,6 +79,21 @@ def test_filters_apply_to_reports(spark, small_dir):
     assert mobile == fact.filter("device_type = 'Mobile'").count() < fact.count()
 
 
+def test_activity_is_the_same_from_fact_and_state(spark, small_dir):
+    wh = inputs.warehouse(spark, small_dir)
+    fact, state = wh.read("fact_events"), wh.read("agg_events_hourly")
+    chosen = {"event_type": ["view", "click"]}
+    for report in (reports.activity_24h, reports.activity_heatmap):
+        columns = report(fact).columns
+        got = [sorted(map(str, report(rows, CLOCK, chosen).select(*columns).collect())) for rows in (fact, state)]
+        assert got[0] == got[1] != []
+
+
+def test_latest_moment_of_a_table(spark, small_dir):
+    fact = inputs.fact(spark, small_dir)
+    assert min_max(fact, [], "event_timestamp").first()[1] == fact.agg(F.max("event_timestamp")).first()[0]
+
+
 def test_reports_over_an_empty_fact(spark):
     fact = fact_events(*feeds(spark))
     assert reports.total_events(fact).first()[0] == 0
