@@ -81,7 +81,8 @@ def files_for(size: int) -> int:
 def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The stored table, or an empty one where nothing has been written yet."""
     if not exists(spark, path):
-        return spark.createDataFrame([], schema)
+        nothing = spark.range(1).filter(F.lit(False))
+        return nothing.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
     return spark.read.schema(schema).parquet(path)
 
 
