@@ -1,0 +1,350 @@
+"""Line deduplication by an edit join over segments.
+
+A line of n characters falls into ``max_edits`` + 1 segments. A line within ``max_edits`` edits of it holds at least one
+segment unchanged, near its own place, so each line is indexed by its segments, with its length and the segment's
+number, and probes the index with those of its substrings that a segment of an equal or shorter line could be. What
+meets is compared by a banded, bit-parallel edit distance. Equal lines are one entry, whatever their number.
+"""
+
+from __future__ import annotations
+
+import hashlib
+from collections.abc import Iterator
+from functools import lru_cache
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from footfall.llm.common import own_name, stored
+
+#: Shorter lines are one another's copies only if they are equal.
+MIN_CHARS = 24
+MAX_EDITS = 2
+#: Bits of the filter that tells which lines take part in a pair; its size is fixed, so it may be sent to all tasks.
+FILTER_BITS = 1 << 23
+
+
+def segments(n: int, max_edits: int) -> list[tuple[int, int]]:
+    """Start and length of the segments of a line of ``n`` characters; the last ones are the longer by one."""
+    parts = max_edits + 1
+    short, longer = n // parts, n % parts
+    out, at = [], 0
+    for i in range(parts):
+        size = short + (i >= parts - longer)
+        out.append((at, size))
+        at += size
+    return out
+
+
+def places(n: int, length: int, number: int, start: int, size: int, max_edits: int) -> range:
+    """Where in a line of ``n`` characters the segment ``number`` of a line of ``length`` <= n can stand unchanged.
+
+    Of ``number`` segments to the left at least that many edits are spent when none of them is unchanged, and the same
+    holds seen from the right end, which leaves few places.
+    """
+    more = n - length
+    low = max(0, start - number, start + more - (max_edits - number))
+    high = min(n - size, start + number, start + more + (max_edits - number))
+    return range(low, high + 1)
+
+
+def within(a: str, b: str, max_edits: int) -> bool:
+    """Whether the edit distance of ``a`` and ``b`` is at most ``max_edits``.
+
+    Equal ends go first. Of the rest, a word of 2 * max_edits + 1 bits holds one diagonal band of the table: bit i says
+    that the differences down the band rise there. Each character shifts the band by one.
+    """
+    if len(a) > len(b):
+        a, b = b, a
+    if len(b) - len(a) > max_edits:
+        return False
+    if a == b:
+        return True
+    low, high = 0, len(a)
+    while low < high:  # the longest common beginning, by halves
+        mid = (low + high + 1) // 2
+        if a[:mid] == b[:mid]:
+            low = mid
+        else:
+            high = mid - 1
+    a, b = a[low:], b[low:]
+    low, high = 0, len(a)
+    while low < high:
+        mid = (low + high + 1) // 2
+        if a[len(a) - mid :] == b[len(b) - mid :]:
+            low = mid
+        else:
+            high = mid - 1
+    a, b = a[: len(a) - low], b[: len(b) - low]
+    if not a:
+        return True
+    return _band(a, b, max_edits)
+
+
+def _band(a: str, b: str, k: int) -> bool:
+    """Bit-parallel states of at most 0..k edits over the band of diagonals -k..k (a is the shorter).
+
+    Bit d of ``reach[e]`` after i characters of ``a`` says that they meet i + d - k characters of ``b`` in at most e edits.
+    """
+    full = (1 << 2 * k + 1) - 1
+    n = len(b)
+    reach = []
+    for e in range(k + 1):
+        reach.append(((1 << k + e + 1) - 1) & ~((1 << k) - 1) & full)  # the first e characters of b left out
+    for i, c in enumerate(a):
+        equal = 0
+        for d in range(2 * k + 1):
+            j = i + d - k
+            if 0 <= j < n and b[j] == c:
+                equal |= 1 << d
+        after = []
+        for e in range(k + 1):
+            bits = reach[e] & equal  # the same character on both sides
+            if e:
+                bits |= reach[e - 1]  # one character replaced
+                bits |= reach[e - 1] >> 1  # one of a left out
+                bits |= after[e - 1] << 1  # one of b left out
+            after.append(bits & full)
+        if not after[k]:
+            return False
+        reach = after
+    d = n - len(a) + k
+    return bool(reach[k] >> d & 1)
+
+
+def line_key(line: str) -> int:
+    """128 bits that stand for a line."""
+    return xxhash.xxh3_128_intdigest(line.encode("utf-8"))
+
+
+def _lines(text: str | None) -> list[str]:
+    return [x.strip() for x in text.split("\n")] if text else []
+
+
+def _signature(line: str) -> int:
+    """For each of 31 classes of characters whether it holds an odd number, in bits 1 to 31: an edit changes two at most."""
+    codes = np.frombuffer(line.encode("utf-32-le"), np.uint32) * np.uint32(2654435761)
+    odd = np.bincount((codes >> np.uint32(16)) % np.uint32(31), minlength=31) & 1
+    return int(odd @ _CLASSES)
+
+
+_CLASSES = np.array([1 << i + 1 for i in range(30)] + [-(1 << 31)], np.int64)
+
+
+def _identified(docs: DataFrame) -> DataFrame:
+    """Rows of one id and one text are one document: ``doc_id`` with the hash ``th`` of the text."""
+    return docs.select("doc_id", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("th"), "text")
+
+
+def _occurrences(docs: DataFrame) -> DataFrame:
+    """``k1``, ``k2`` (the line), ``doc_id``, ``th``, ``line_no`` of every line with a character that isn't white space."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, number, keys = [], [], []
+            for r, text in enumerate(batch.column("text").to_pylist()):
+                for i, line in enumerate(_lines(text)):
+                    if line:
+                        own.append(r)
+                        number.append(i)
+                        keys.append(line_key(line))
+            k1 = np.array([k >> 64 for k in keys], np.uint64).view(np.int64)
+            k2 = np.array([k & (1 << 64) - 1 for k in keys], np.uint64).view(np.int64)
+            rows = pa.array(own, pa.int64())
+            columns = [pa.array(k1), pa.array(k2), batch.column("doc_id").take(rows), batch.column("th").take(rows), pa.array(number, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=["k1", "k2", "doc_id", "th", "line_no"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return _identified(docs).mapInArrow(run, f"k1 long, k2 long, doc_id {kind}, th long, line_no int")
+
+
+def _entries(docs: DataFrame, max_edits: int, min_chars: int, probes: bool) -> DataFrame:
+    """Entries of every line in the index, and with ``probes`` those it looks up as well.
+
+    ``h`` stands for length, number and text of a segment, ``k1`` for the line; ``sig`` holds its classes of characters
+    and in bit 0 whether the entry is only a probe.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # what this task gave already; forgetting gives it again, which changes nothing
+        digest = xxhash.xxh64_intdigest
+        of_index = lru_cache(4096)(lambda n: [(at, at + size, n * 64 + i) for i, (at, size) in enumerate(segments(n, max_edits))])
+
+        @lru_cache(4096)
+        def of_probe(n: int) -> list[tuple[int, int, int]]:
+            return [
+                (p, p + size, length * 64 + i)
+                for length in range(max(min_chars, n - max_edits), n + 1)
+                for i, (at, size) in enumerate(segments(length, max_edits))
+                for p in places(n, length, i, at, size, max_edits)
+                if length != n or p != at
+            ]
+
+        for batch in batches:
+            h, k1, sig = [], [], []
+            for text in batch.column("text").to_pylist():
+                for line in _lines(text):
+                    n = len(line)
+                    if n < min_chars:
+                        continue
+                    key = line_key(line) >> 64
+                    if key in seen:
+                        continue
+                    if len(seen) > 200_000:
+                        seen.clear()
+                    seen.add(key)
+                    bits, raw = _signature(line), line.encode("utf-32-le")
+                    own = [digest(raw[4 * a : 4 * b], seed) for a, b, seed in of_index(n)]
+                    h += own
+                    k1 += [key] * len(own)
+                    sig += [bits] * len(own)
+                    if probes:
+                        own = [digest(raw[4 * a : 4 * b], seed) for a, b, seed in of_probe(n)]
+                        h += own
+                        k1 += [key] * len(own)
+                        sig += [bits | 1] * len(own)
+                    if len(h) > 200_000:
+                        yield _entry_batch(h, k1, sig)
+                        h, k1, sig = [], [], []
+            yield _entry_batch(h, k1, sig)
+
+    return docs.select("text").mapInArrow(run, "h long, k1 long, sig int")
+
+
+def _entry_batch(h: list, k1: list, sig: list) -> pa.RecordBatch:
+    longs = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (h, k1)]
+    return pa.RecordBatch.from_arrays([*longs, pa.array(np.array(sig, np.int32))], names=["h", "k1", "sig"])
+
+
+def _candidates(docs: DataFrame, max_edits: int, min_chars: int) -> DataFrame:
+    """``a``, ``b``: lines that share a segment at a possible place and whose classes of characters allow the distance."""
+    index, probes = _entries(docs, max_edits, min_chars, False).alias("i"), _entries(docs, max_edits, min_chars, True).alias("p")
+    apart = F.bit_count(F.col("i.sig").bitwiseXOR(F.col("p.sig")).bitwiseAND(F.lit(-2)).cast("long").bitwiseAND(F.lit((1 << 32) - 1)))
+    only_probe = F.col("p.sig").bitwiseAND(F.lit(1)) == 1
+    met = index.join(
+        probes,
+        (F.col("i.h") == F.col("p.h")) & (F.col("i.k1") != F.col("p.k1")) & (apart <= 2 * max_edits) & (only_probe | (F.col("i.k1") < F.col("p.k1"))),
+    )
+    return met.select(F.least("i.k1", "p.k1").alias("a"), F.greatest("i.k1", "p.k1").alias("b")).distinct()
+
+
+def _filter(keys: DataFrame) -> np.ndarray:
+    """A bitmap of ``FILTER_BITS`` bits with those of ``keys`` set. It only spares lines a way: more keys, more ways."""
+    at = F.pmod("key", F.lit(FILTER_BITS))
+    words = keys.groupBy(F.floor(at / 32).cast("int").alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (at % 32).cast("int"))).alias("bits"))
+    out = np.zeros(FILTER_BITS // 32, np.uint32)
+    for word, bits in words.collect():  # at most FILTER_BITS / 32 rows
+        out[word] = bits
+    return out
+
+
+def _texts(docs: DataFrame, wanted: np.ndarray, min_chars: int) -> DataFrame:
+    """``k1``, ``k2``, ``line`` of the lines the bitmap lets through."""
+    sent = docs.sparkSession.sparkContext.broadcast(wanted)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap, seen = sent.value, set()
+        for batch in batches:
+            k1, k2, found = [], [], []
+            for text in batch.column("text").to_pylist():
+                for line in _lines(text):
+                    if len(line) >= min_chars:
+                        key = line_key(line)
+                        at = (key >> 64) % FILTER_BITS
+                        if bitmap[at >> 5] >> np.uint32(at & 31) & 1 and key not in seen:
+                            if len(seen) > 200_000:
+                                seen.clear()
+                            seen.add(key)
+                            k1.append(key >> 64)
+                            k2.append(key & (1 << 64) - 1)
+                            found.append(line)
+            longs = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (k1, k2)]
+            yield pa.RecordBatch.from_arrays([*longs, pa.array(found, pa.string())], names=["k1", "k2", "line"])
+
+    return docs.select("text").mapInArrow(run, "k1 long, k2 long, line string")
+
+
+def links(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+    """``a1``, ``a2``, ``b1``, ``b2``: every pair of different lines of at least ``min_chars`` within ``max_edits`` edits, once."""
+    pairs = stored(_candidates(docs, max_edits, min_chars), "line-pairs")
+    keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    texts = _texts(docs, _filter(keys), min_chars).join(keys, F.col("k1") == F.col("key"), "left_semi").dropDuplicates(["k1", "k2"])
+    texts = stored(texts, "line-texts")
+    a = texts.select(F.col("k1").alias("a"), F.col("k2").alias("a2"), F.col("line").alias("left"))
+    b = texts.select(F.col("k1").alias("b"), F.col("k2").alias("b2"), F.col("line").alias("right"))
+
+    @F.pandas_udf("boolean")
+    def near(left: pd.Series, right: pd.Series) -> pd.Series:
+        return pd.Series([within(x, y, max_edits) for x, y in zip(left, right)])
+
+    met = pairs.join(a, "a").join(b, "b").where(near("left", "right"))
+    return stored(met.select(F.col("a").alias("a1"), "a2", F.col("b").alias("b1"), "b2"), "line-links")
+
+
+def kept_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+    """``doc_id``, ``th`` (hash of the text), ``keep``: the numbers of the lines that stay, for texts that keep any.
+
+    A line stays if no line before it, in the order of doc_id (null first), hash of the text and line number, is equal
+    to it or, from ``min_chars`` characters on, within ``max_edits`` edits of it. White space around a line doesn't count.
+    """
+    at = F.struct("doc_id", "th", "line_no")
+    first = stored(_occurrences(docs).groupBy("k1", "k2").agg(F.min(at).alias("at")), "line-firsts")
+    found = links(docs, max_edits, min_chars)
+    of = lambda x: first.select(F.col("k1").alias(f"{x}1"), F.col("k2").alias(f"{x}2"), F.col("at").alias(f"{x}_at"))
+    placed = found.join(of("a"), ["a1", "a2"]).join(of("b"), ["b1", "b2"])
+    later = F.struct("a_at", "a1", "a2") > F.struct("b_at", "b1", "b2")
+    gone = placed.select(F.when(later, F.col("a1")).otherwise(F.col("b1")).alias("k1"), F.when(later, F.col("a2")).otherwise(F.col("b2")).alias("k2"))
+    stay = first.join(gone.distinct(), ["k1", "k2"], "left_anti")
+    return stay.groupBy(F.col("at.doc_id").alias("doc_id"), F.col("at.th").alias("th")).agg(F.collect_list("at.line_no").alias("keep"))
+
+
+def _joined(docs: DataFrame, max_edits: int, min_chars: int, names: tuple[str, str]) -> DataFrame:
+    keep, th = names
+    found = kept_lines(docs, max_edits, min_chars).select(F.col("doc_id").alias("id"), F.col("th").alias("hash"), F.col("keep").alias(keep))
+    rows = docs.withColumn(th, F.xxhash64(F.coalesce(F.col("text"), F.lit("")))).alias("rows")
+    found = found.alias("found")
+    met = F.col("rows.doc_id").eqNullSafe(F.col("found.id")) & (F.col(f"rows.{th}") == F.col("found.hash"))
+    return rows.join(found, met, "left").select("rows.*", f"found.{keep}")
+
+
+def _rest(text: str, keep: set[int]) -> tuple[str, int, int]:
+    """What is left of a text, its lines and how many stay. Blank lines stay unless nothing else does."""
+    lines = text.split("\n")
+    filled = [bool(x.strip()) for x in lines]
+    if not any(i in keep for i, x in enumerate(filled) if x):
+        return "", sum(filled), 0
+    left = [x for i, x in enumerate(lines) if not filled[i] or i in keep]
+    return "\n".join(left), sum(filled), sum(i in keep for i, x in enumerate(filled) if x)
+
+
+def dedup(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+    """``docs`` with later copies of lines taken out of ``text``; every row stays, a text without a line left is empty.
+
+    Null texts stay null. Rows of equal id and text are one document and keep the same lines. An empty table gives none.
+    """
+    keep, th = own_name("keep"), own_name("th")
+
+    @F.pandas_udf("string")
+    def rest(texts: pd.Series, kept: pd.Series) -> pd.Series:
+        return pd.Series([_rest(t, set() if k is None else set(k))[0] if isinstance(t, str) else None for t, k in zip(texts, kept)])
+
+    return _joined(docs, max_edits, min_chars, (keep, th)).withColumn("text", rest("text", keep)).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def report(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+    """``doc_id``, ``n_lines`` (not blank), ``n_kept``, ``kept_sha256`` (of what is left of the text) of every row."""
+
+    @F.pandas_udf("n_lines long, n_kept long, kept_sha256 string")
+    def told(texts: pd.Series, kept: pd.Series) -> pd.DataFrame:
+        rows = []
+        for t, k in zip(texts, kept):
+            left, n, stay = _rest(t if isinstance(t, str) else "", set() if k is None else set(k))
+            rows.append((n, stay, hashlib.sha256(left.encode("utf-8")).hexdigest()))
+        return pd.DataFrame(rows, columns=["n_lines", "n_kept", "kept_sha256"])
+
+    rows = _joined(docs.select("doc_id", "text"), max_edits, min_chars, ("keep", "row_th"))
+    return rows.select("doc_id", told("text", "keep").alias("told")).select("doc_id", "told.*")
