@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import lines, mixing, pieces, quality, simhash, toxicity
+from footfall.llm import lines, mixing, pieces, quality, rules, simhash, toxicity
 from footfall.llm.common import held_out, ship, table
 
 
@@ -38,6 +38,11 @@ def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return rules.judged(docs, rules.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -60,6 +65,6 @@ def _with_package(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: _with_package(f) for f in (op1_mix, op3_quality, op4_lines, op6_pieces, op9_simhash, op10_toxicity)
+    f.__name__: _with_package(f) for f in (op1_mix, op3_quality, op4_lines, op6_pieces, op8_rules, op9_simhash, op10_toxicity)
 }
 ORACLES: dict[str, str] = {"op1_mix": mixing.ORACLE}
