@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import lines, mixing, pieces, quality, rules, simhash, toxicity
+from footfall.llm import lines, mixing, pieces, pii, quality, rules, simhash, toxicity
 from footfall.llm.common import held_out, ship, table
 
 
@@ -23,6 +23,10 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.train(docs, table(spark, sf_dir, "labels"))
@@ -65,6 +69,6 @@ def _with_package(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: _with_package(f) for f in (op1_mix, op3_quality, op4_lines, op6_pieces, op8_rules, op9_simhash, op10_toxicity)
+    f.__name__: _with_package(f) for f in (op1_mix, op2_pii, op3_quality, op4_lines, op6_pieces, op8_rules, op9_simhash, op10_toxicity)
 }
 ORACLES: dict[str, str] = {"op1_mix": mixing.ORACLE}
