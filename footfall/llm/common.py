@@ -66,21 +66,20 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """``label``, ``text`` of the rows that may be learned from, ordered dealing left to the caller."""
-    known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(F.col("label").isin(0, 1))
-    known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
-    rows = docs.select("doc_id", text_or_empty().alias("text")).where(~held_out())
-    return rows.join(known, "doc_id").select("doc_id", "label", "text")
-
-
-def bounded_sample(df: DataFrame, at_most: int) -> DataFrame:
-    """The ``at_most`` rows of each label with the smallest hash of their id: the same rows at each run."""
-    parts = [
-        df.where(F.col("label") == label).orderBy(F.xxhash64("doc_id", F.lit("sample")), "doc_id", F.xxhash64("text")).limit(at_most)
-        for label in (0, 1)
-    ]
-    return parts[0].unionByName(parts[1])
+def labels_to_learn(labels: DataFrame, label: str) -> DataFrame:
+    """``doc_id``, ``label`` of the labels that may be learned from; an id with both labels counts as 1."""
+    known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(F.col("label").isin(0, 1) & ~held_out())
+    return known.groupBy("doc_id").agg(F.max("label").alias("label"))
+
+
+def sample_texts(docs: DataFrame, labels: DataFrame, label: str, at_most: int) -> DataFrame:
+    """``label``, ``text`` of at most ``at_most`` labelled ids of each label, those of the smallest hashes: the same ids
+    at each run. The ids are bounded, so they go to where the texts are."""
+    known = labels_to_learn(labels, label)
+    first = [known.where(F.col("label") == x).orderBy(F.xxhash64("doc_id", F.lit("sample")), "doc_id").limit(at_most) for x in (0, 1)]
+    ids = first[0].unionByName(first[1])
+    rows = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(ids), "doc_id")
+    return rows.select("label", "text").dropDuplicates()
 
 
 def per_text(make: Callable[[], Callable[[str], tuple]], schema: str, names: list[str]):

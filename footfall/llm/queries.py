@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import lines, mixing, pieces, pii, quality, rules, simhash, toxicity
+from footfall.llm import html, lines, mixing, pieces, pii, quality, rules, simhash, topk, toxicity
 from footfall.llm.common import held_out, ship, table
 
 
@@ -38,13 +38,23 @@ def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.report(table(spark, sf_dir, "documents"))
 
 
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html.extract(pages, html.train(pages))
+
+
 def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
+    return topk.top(vectors, F.col("id") % 20 == 0)
+
+
 def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return rules.judged(docs, rules.train(docs, table(spark, sf_dir, "labels")))
+    counted = rules.count(table(spark, sf_dir, "documents"))
+    return rules.judged(counted, rules.train(counted, table(spark, sf_dir, "labels")))
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,6 +79,6 @@ def _with_package(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: _with_package(f) for f in (op1_mix, op2_pii, op3_quality, op4_lines, op6_pieces, op8_rules, op9_simhash, op10_toxicity)
+    f.__name__: _with_package(f) for f in (op1_mix, op2_pii, op3_quality, op4_lines, op5_html, op6_pieces, op7_topk, op8_rules, op9_simhash, op10_toxicity)
 }
 ORACLES: dict[str, str] = {"op1_mix": mixing.ORACLE}

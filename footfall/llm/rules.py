@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import WORD, labelled, own_name, stored, text_or_empty
+from footfall.llm.common import WORD, labels_to_learn, own_name, stored, text_or_empty
 
 WINDOW_WORDS = 8
 #: Thresholds tried of each measure: quantiles of the labelled rows.
@@ -204,25 +204,27 @@ def _pruned(rows: DataFrame, rule: tuple[Condition, ...], of: dict[str, Column])
     return rule[: best + 1]
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> list[tuple[Condition, ...]]:
-    """Learns from every labelled row that is not held out; two thirds of them grow rules, one third prunes them."""
-    known = labelled(docs, labels, label)
-    grow = F.pmod(F.xxhash64("doc_id", F.lit("grow")), F.lit(3)) != 0
-    counted = measured(known.withColumn("grow", grow))
+def count(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and counts of every row, stored: texts are read once, for learning and for judging."""
+    return stored(measured(docs.select("doc_id", "text")).select("doc_id", "found"), "rule-counts")
+
+
+def train(counted: DataFrame, labels: DataFrame, label: str = "quality") -> list[tuple[Condition, ...]]:
+    """Learns from every labelled row of ``count`` that is not held out; two thirds grow rules, one third prunes them."""
     of = measures()
-    return learn(stored(counted.select("label", "grow", *[of[m].alias(m) for m in MEASURES]), "rule-rows"))
+    grow = F.pmod(F.xxhash64("doc_id", F.lit("grow")), F.lit(3)) != 0
+    rows = counted.join(labels_to_learn(labels, label), "doc_id")
+    return learn(stored(rows.select("label", grow.alias("grow"), *[of[m].alias(m) for m in MEASURES]), "rule-rows"))
 
 
-def judged(docs: DataFrame, rules: list[tuple[Condition, ...]]) -> DataFrame:
-    """``doc_id``, the base counts, ``base_failed``, ``kept`` and the number of the rule that took the row (0: none).
+def judged(counted: DataFrame, rules: list[tuple[Condition, ...]]) -> DataFrame:
+    """For every row of ``count``: ``doc_id``, the base counts, ``base_failed``, ``kept`` and the number of the rule that took the row (0: none).
 
     A text fails the base with under 20 words, or if over 30 % of its words stand in repeated windows; null counts as
     empty and fails. Rows with null ids or repeated rows are judged like others.
     """
-    rows = measured(docs.select("doc_id", "text"))
-    rows = rows.select("doc_id", F.col("found"))
     base = (F.col("found.n_words") < 20) | (100 * F.col("found.n_repeat_words") > 30 * F.col("found.n_words"))
-    told = rows.select(
+    told = counted.select(
         "doc_id",
         *[F.col(f"found.{c}") for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
         base.alias("base_failed"),

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import bounded_sample, labelled, own_name
+from footfall.llm.common import own_name, sample_texts
 
 #: At most so many texts of each label are used to fit; all texts are scored.
 TRAINING_TEXTS = 1_500
@@ -268,7 +268,7 @@ def fit(toxic: list[str], clean: list[str], landmarks: int = LANDMARKS) -> Model
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", at_most: int = TRAINING_TEXTS) -> Model:
     """Fits on at most ``at_most`` labelled texts of either label, chosen by a hash of their ids; held-out rows never."""
-    rows = bounded_sample(labelled(docs, labels, label), at_most).collect()
+    rows = sorted(sample_texts(docs, labels, label, at_most).collect())
     return fit([r.text for r in rows if r.label == 1], [r.text for r in rows if r.label == 0])
 
 
