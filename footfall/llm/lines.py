@@ -194,7 +194,7 @@ def _entries(docs: DataFrame, max_edits: int, min_chars: int, probes: bool) -> D
                     key = line_key(line) >> 64
                     if key in seen:
                         continue
-                    if len(seen) > 200_000:
+                    if len(seen) > 60_000:
                         seen.clear()
                     seen.add(key)
                     bits, raw = _signature(line), line.encode("utf-32-le")
@@ -207,7 +207,7 @@ def _entries(docs: DataFrame, max_edits: int, min_chars: int, probes: bool) -> D
                         h += own
                         k1 += [key] * len(own)
                         sig += [bits | 1] * len(own)
-                    if len(h) > 200_000:
+                    if len(h) > 60_000:
                         yield _entry_batch(h, k1, sig)
                         h, k1, sig = [], [], []
             yield _entry_batch(h, k1, sig)
@@ -256,7 +256,7 @@ def _texts(docs: DataFrame, wanted: np.ndarray, min_chars: int) -> DataFrame:
                         key = line_key(line)
                         at = (key >> 64) % FILTER_BITS
                         if bitmap[at >> 5] >> np.uint32(at & 31) & 1 and key not in seen:
-                            if len(seen) > 200_000:
+                            if len(seen) > 60_000:
                                 seen.clear()
                             seen.add(key)
                             k1.append(key >> 64)

@@ -23,7 +23,7 @@ from footfall.llm.common import per_text
 
 MARK = "▁"
 #: Stretches of a text and pairs of pieces that a task remembers. More are worked out again: memory only, never results.
-REMEMBERED = 250_000
+REMEMBERED = 120_000
 
 
 class _Known(dict):

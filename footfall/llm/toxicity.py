@@ -30,7 +30,7 @@ LENGTH, DECAY = 3, 0.6
 ROUNDS = 4
 #: Characters of a word the kernel sees at once; longer words are judged by overlapping parts, all of them.
 SPAN = 24
-REMEMBERED = 250_000
+REMEMBERED = 100_000
 _SENTENCE = re.compile(r"[.!?\n]+(?:\s|$)")
 _SPELT = re.compile(r"(?:^|\s)\S\s+\S\s+\S(?:\s|$)")
 _EDGES = re.compile(r"^\W+|\W+$")
@@ -150,8 +150,9 @@ class Kernel:
         for n in np.unique(lengths):  # words of one length are worked on together
             of_length = np.flatnonzero(lengths == n)
             i, j, k, weight = _triples(n + 1)
-            for at in range(0, len(of_length), 2048):
-                rows = of_length[at : at + 2048]
+            step = max(16, min(2048, 200_000 // len(i)))  # bounds the memory of a sweep
+            for at in range(0, len(of_length), step):
+                rows = of_length[at : at + step]
                 codes = _codes([words[r] for r in rows])[:, : n + 1]
                 classed = self._classed(codes).T
                 place = self._place(classed[i], classed[j], classed[k])
@@ -179,10 +180,10 @@ class Model:
 
         def run(texts: list[str]) -> list[float]:
             out: list[float] = []
-            for at in range(0, len(texts), 512):
+            for at in range(0, len(texts), 128):
                 if len(known) > REMEMBERED:
                     known.clear()
-                words = [words_of(t) for t in texts[at : at + 512]]
+                words = [words_of(t) for t in texts[at : at + 128]]
                 self._judge(kernel, table, list(set().union(*words) - known.keys()), known)
                 out += [max(map(known.__getitem__, own), default=-10.0) for own in words]
             return (1 / (1 + np.exp(-self.slope * np.clip(np.array(out), -10, 10)))).tolist()
