@@ -65,7 +65,7 @@ def _with_pages(
         events = fill_blanks(browser.select(*BROWSER.columns))
         hot_ids = skew.hot_keys(events, "event_id")
         if fact is not None:
-            events = new_events_only(events, fact, hot_ids, few_ids)
+            events = new_events_only(events, fact.filter(F.col("event_id") != ""), hot_ids, few_ids)
         return join_location(events, location, dedup=False, hot=hot_ids)
 
     rows = browser.select(*BROWSER.columns, "inserted_at")
@@ -76,11 +76,9 @@ def _with_pages(
         named = new_events_only(named, fact.filter(F.col("event_id") != ""), skew.HotKeys(), few_ids)
     named = join_location(named, location, hot=skew.HotKeys())
 
-    # Events without an id cannot be told apart: all are kept, and they meet at most one page row.
+    # Events without an id cannot be told apart: all are kept, of every load, and they meet at most one page row. A
+    # batch is read by one finished load only, so none of them comes twice.
     nameless = fill_blanks(rows.filter(is_blank(rows, "event_id")).drop("inserted_at"))
-    if fact is not None:
-        loaded = fact.filter(F.col("event_id") == "").select("event_id").limit(1)
-        nameless = nameless.join(F.broadcast(loaded), "event_id", "left_anti")
     page = latest_per_key(location.filter(F.col("event_id") == ""), "event_id").select(*LOCATION.columns)
     nameless = fill_blanks(nameless.join(F.broadcast(page), "event_id", "left"), LOCATION_COLUMNS)
     return named.unionByName(nameless)

@@ -1,8 +1,8 @@
 """The stored warehouse: where its tables are, how a load enters it, and its upkeep.
 
-Every load has an id, and its fact rows and its state rows carry it. A load that failed midway is run again
-under the same id: the anti-join ignores the load's own rows and each write replaces the load's partitions,
-so nothing is counted twice or lost. The load log names the loads that are stored in full.
+Every load has an id, and its fact rows and its state rows carry it. The load log names the loads that are stored in
+full. What a load that failed midway has written is removed by the next load, under the same id or another, which
+reads its batches again: nothing is counted twice or lost. Loads run one after the other.
 """
 
 from __future__ import annotations
@@ -189,7 +189,7 @@ class Warehouse:
         the keys of this load before they are deduplicated. The keys of a load of at most BROADCAST_ROWS rows
         are broadcast, so that neither the fact nor a feed is shuffled for them; those of a larger one are not.
         """
-        self._discard("fact_events", load_id)
+        self.discard_unfinished()
         batches = self.open_batches()
         browser, *sides = [self.read(table) for table in STAGING_TABLES]
         browser = browser.filter(F.col("batch_id").isin(batches))
@@ -222,6 +222,15 @@ class Warehouse:
         tables.append_batch(entry, self.path("load_log"), schemas.LOAD_LOG_SCHEMA)
         return rows
 
+    def discard_unfinished(self) -> None:
+        """Remove the rows of every load that died, whatever its id: the next load reads their batches again."""
+        folders = tables.subfolders(self.spark, self.path("fact_events"), "event_month=*/load_id=*")
+        ids = {f.rsplit("load_id=", 1)[1] for f in folders} - {MERGED}
+        for load_id in sorted(ids - self.committed(sorted(ids))) if ids else ():
+            for table in STATES:
+                self._discard(table, load_id)
+            self._discard("fact_events", load_id)  # last, as it names the load
+
     def _discard(self, table: str, load_id: str) -> None:
         """Remove what an unfinished load wrote."""
         for folder in tables.subfolders(self.spark, self.path(table), f"event_month=*/load_id={load_id}"):

@@ -17,10 +17,13 @@ QUARANTINE = "quarantine"
 
 
 def drop_repeats(records: DataFrame, feed: Feed, delay: str) -> DataFrame:
-    """Records whose key did not arrive within ``delay`` before. The event time here is the arrival time,
-    which only grows, so that no late event is ever dropped; repeats further apart are left to the fact build."""
+    """Records that did not arrive, equal in every column of the feed, within ``delay`` before; a changed row of a key
+    and every line that cannot be loaded are kept. The event time here is the arrival time, which only grows, so that
+    no late event is ever dropped; repeats further apart are left to the fact build."""
     arrived = records.withColumn("_arrived", F.col("inserted_at").cast("timestamp"))
-    return arrived.withWatermark("_arrived", delay).dropDuplicatesWithinWatermark([feed.key]).drop("_arrived")
+    arrived = arrived.withColumn("_own", F.when(F.col("problem").isNotNull(), F.uuid()))
+    same = [*feed.columns, "_own"]
+    return arrived.withWatermark("_arrived", delay).dropDuplicatesWithinWatermark(same).drop("_arrived", "_own")
 
 
 def ingest_stream(
@@ -35,12 +38,11 @@ def ingest_stream(
     """Drain what a topic holds into its staging table, and lines that cannot be loaded into quarantine.
 
     The checkpoint is the consumer's position. A micro-batch repeated after a failure replaces its own
-    partitions, so each message is stored once. Checkpoint and tables belong together: reset both or neither.
+    partitions, so no failure stores a message twice. Checkpoint and tables belong together: reset both or neither.
     """
     parsed = tables.stamp_insert_time(parse_lines(lines, feed), as_of)
     if dedup_within:
-        loadable = F.col("problem").isNull()
-        parsed = drop_repeats(parsed.filter(loadable), feed, dedup_within).unionByName(parsed.filter(~loadable))
+        parsed = drop_repeats(parsed, feed, dedup_within)
 
     def store(batch: DataFrame, batch_id: int) -> None:
         # Parsed once for both tables; one micro-batch is as large as the source's limit per trigger.

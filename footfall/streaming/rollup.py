@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from footfall.functions.values import sketch
 from footfall.operators.rollups import hourly_state
 from footfall.schemas import FACT_SCHEMA, HOURLY_STATE_SCHEMA
 from footfall.sources import tables
@@ -27,16 +26,3 @@ def stream_hourly_rollup(fact: DataFrame, state_path: str, checkpoint: str) -> S
 
     writer = fact.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint)
     return writer.foreachBatch(add_partials).start()
-
-
-def windowed_counts(events: DataFrame, lateness: str) -> DataFrame:
-    """Running events and estimated users per hour and type, with state dropped ``lateness`` after an hour.
-
-    For live display: rows later than that are not counted here, but they are in the fact and its states.
-    """
-    timed = events.withColumn("event_time", F.col("event_timestamp").cast("timestamp"))
-    hours = timed.withWatermark("event_time", lateness).groupBy(F.window("event_time", "1 hour"), "event_type")
-    counted = hours.agg(
-        F.count(F.lit(1)).alias("events"), F.hll_sketch_estimate(sketch("user_domain_id")).alias("users")
-    )
-    return counted.select(F.col("window.start").cast("timestamp_ntz").alias("event_hour"), "event_type", "events", "users")

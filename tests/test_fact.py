@@ -53,9 +53,10 @@ def test_events_without_an_id_are_all_kept(spark, dedup):
 
 @pytest.mark.parametrize("dedup", [True, False])
 def test_loaded_ids_are_not_loaded_again(spark, dedup):
+    """Events without an id are no one's copies: unlike in a plain NOT IN, those of a later load are kept."""
     loaded = fact_events(*feeds(spark, [event("e1"), event("", click="a")]))
     again = feeds(spark, [event("e1"), event("e2"), event("", click="z")])
-    assert as_set(fact_events(*again, loaded, dedup=dedup), "event_id") == [("e2",)]
+    assert as_set(fact_events(*again, loaded, dedup=dedup), "event_id") == [("",), ("e2",)]
 
 
 def test_new_events_with_null_ids_do_not_empty_the_result(spark):

@@ -1,4 +1,4 @@
-"""Drains: resuming, bad lines, repeats, repeated micro-batches, live counts."""
+"""Drains: resuming, bad lines, repeats, repeated micro-batches."""
 
 from __future__ import annotations
 
@@ -13,7 +13,7 @@ from footfall.schemas import BROWSER, DEVICE, FACT_SCHEMA, FEEDS, HOURLY_STATE_S
 from footfall.sources import messages, tables
 from footfall.sources.fixtures import odd_lines
 from footfall.streaming.ingest import QUARANTINE, ingest_stream, ingest_topics
-from footfall.streaming.rollup import fact_stream, stream_hourly_rollup, windowed_counts
+from footfall.streaming.rollup import fact_stream, stream_hourly_rollup
 from footfall.workspace import fresh_folder
 
 
@@ -148,16 +148,12 @@ def test_stream_rollup_adds_partials_per_batch(wh):
     ]
 
 
-def test_live_counts_update(wh):
-    fact = wh.path("fact_events")
-    rows = fact_row(wh.spark, "1", "2024-01-01 10:05:00").unionByName(fact_row(wh.spark, "2", "2024-01-01 10:06:00", ""))
-    rows.write.partitionBy("event_month", "load_id").parquet(fact)
-    counts = windowed_counts(fact_stream(wh.spark, fact), "2 hours")
-    query = counts.writeStream.outputMode("update").format("memory").queryName("live").trigger(availableNow=True).start()
-    query.awaitTermination()
-    assert as_set(wh.spark.table("live"), "event_hour", "event_type", "events", "users") == [
-        (moment("2024-01-01 10:00:00"), "view", 2, 2)
-    ]
+def test_repeats_are_equal_rows_and_updates_are_kept(wh):
+    rows = [{"click_id": "c", "os": "old"}, {"click_id": "c", "os": "old"}, {"click_id": "c", "os": "new"}]
+    put(wh, "a", [json.dumps(r) for r in rows] + ["[]", "[]"])
+    drain(wh, DEVICE, dedup_within="1 hour")
+    assert as_set(wh.read(DEVICE.table), "click_id", "os") == [("c", "new"), ("c", "old")]
+    assert wh.spark.read.parquet(wh.path(QUARANTINE)).count() == 2
 
 
 def test_kafka_options():

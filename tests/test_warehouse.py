@@ -112,6 +112,14 @@ def test_failure_between_fact_and_states_is_made_good(wh, small_dir, full):
     assert (fact_rows(wh), hourly(wh)) == full
 
 
+def test_a_dead_load_is_made_good_by_one_of_another_id(wh, small_dir, full):
+    stage_feeds(wh, small_dir)
+    wh.load_fact("20240131T0015", as_of=CLOCK)  # and then the job dies
+    assert wh.load("20240131T0030", as_of=CLOCK) == 1000
+    assert (fact_rows(wh), hourly(wh)) == full
+    assert {r.load_id for r in wh.read("fact_events").select("load_id").distinct().collect()} == {"20240131T0030"}
+
+
 def test_failure_between_the_two_states_is_made_good(wh, small_dir, full, monkeypatch):
     stage_feeds(wh, small_dir)
     monkeypatch.setattr(rollups, "traffic_state", lambda fact: 1 / 0)
