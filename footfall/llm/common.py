@@ -26,8 +26,16 @@ SLICES = 64
 _SHIPPED: set[str] = set()
 
 
+#: Rows that a Python worker holds at once. Texts are long; the usual 10,000 are some hundred megabytes a worker.
+BATCH_ROWS = "1000"
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Gives every Python worker this package, as ``--py-files`` would; the driver hands the archive out."""
+    """Gives every Python worker this package, as ``--py-files`` would; the driver hands the archive out. Batches to the
+    workers get ``BATCH_ROWS`` rows where the session still has the default."""
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, BATCH_ROWS)
     app = spark.sparkContext.applicationId
     if app not in _SHIPPED:
         root, folder = Path(footfall.__file__).resolve().parent, tempfile.mkdtemp(prefix="footfall-")
