@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _SLICE = "_slice"
+# How many equal rows a row of a spread side stands for.
+_COPIES = "_copies"
 
 # A key is hot from this share of the rows on, so that there are at most 1 / share hot keys to broadcast.
 HOT_SHARE = 0.001
@@ -68,12 +70,11 @@ def hot_keys(df: DataFrame, key: str, *, share: float | None = None, min_rows: i
 def join(left: DataFrame, right: DataFrame, key: str, how: str, hot: HotKeys | None = None) -> DataFrame:
     """Equi-join on ``key`` keeping the left rows' balance; ``how`` is inner, left, left_semi or left_anti.
 
-    Without ``hot`` the left side is examined for hot keys first. A left side that ``spread`` has already
-    sliced keeps its slices, so that several joins on one key share one shuffle of it.
+    No job runs here: without ``hot`` it is a plain join, balanced by the engine alone. A left side that ``spread``
+    has already sliced keeps its slices, so that several joins on one key share one shuffle of it.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a right row may be copied, so {how} is not supported")
-    hot = hot_keys(left, key) if hot is None else hot
     if not hot:
         return left.join(right, key, how)
     if _SLICE in left.columns:
@@ -82,12 +83,23 @@ def join(left: DataFrame, right: DataFrame, key: str, how: str, hot: HotKeys | N
 
 
 def spread(left: DataFrame, key: str, hot: HotKeys) -> DataFrame:
-    """Rows of a hot key hashed over its slices; all other rows in slice 0. Unchanged without hot keys."""
+    """Rows of a hot key dealt over its slices; all other rows in slice 0. Unchanged without hot keys.
+
+    Equal rows of a hot key become one row per slice with the number of rows it stands for, which ``gather`` expands:
+    a hash alone would put all of them into one slice, and a number by position would change when a task runs again.
+    """
     if not hot:
         return left
+    marked = _marked(left, key, hot)
+    plain = marked.filter(F.col("_slices").isNull())
+    plain = plain.select(*left.columns, F.lit(0).alias(_SLICE), F.lit(1).cast("long").alias(_COPIES))
+    equal = marked.filter(F.col("_slices").isNotNull()).groupBy(*left.columns, "_slices")
+    equal = equal.agg(F.count(F.lit(1)).alias("_rows")).withColumn("_parts", F.least("_rows", "_slices"))
+    dealt = equal.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)))
     row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
-    number = F.when(F.col("_slices").isNull(), F.lit(0)).otherwise(F.pmod(row_hash, "_slices").cast("int"))
-    return _marked(left, key, hot).withColumn(_SLICE, number).drop("_slices")
+    share = F.floor(F.col("_rows") / F.col("_parts")) + (F.col("_part") < F.col("_rows") % F.col("_parts")).cast("long")
+    number = F.pmod(F.pmod(row_hash, "_slices") + F.col("_part"), "_slices").cast("int")
+    return plain.unionByName(dealt.select(*left.columns, number.alias(_SLICE), share.alias(_COPIES)))
 
 
 def copies(right: DataFrame, key: str, hot: HotKeys) -> DataFrame:
@@ -97,8 +109,10 @@ def copies(right: DataFrame, key: str, hot: HotKeys) -> DataFrame:
 
 
 def gather(df: DataFrame) -> DataFrame:
-    """Drop the slice number."""
-    return df.drop(_SLICE)
+    """Rows as often as they stand for, without the slice number."""
+    if _COPIES in df.columns:
+        df = df.withColumn(_COPIES, F.explode(F.sequence(F.lit(1).cast("long"), _COPIES)))
+    return df.drop(_SLICE, _COPIES)
 
 
 def _marked(df: DataFrame, key: str, hot: HotKeys) -> DataFrame:

@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions.clock import before, event_day, event_hour, moment, since
-from footfall.functions.values import percent, ratio
+from footfall.functions.values import merged_estimate, percent, ratio
 from footfall.operators import rollups, skew
 from footfall.operators.aggregates import count_by, having, sort_multi, sum_measure, top_k
 from footfall.operators.filters import dashboard_filters, filter_in_list, filter_nonempty
+from footfall.schemas import HOURLY_KEYS
 
 USER = "user_domain_id"
 
@@ -292,8 +293,17 @@ def activity_heatmap(hourly, as_of=None, filters=None):
 
 
 def active_users_48h(fact, as_of=None, filters=None):
-    """Per hour of the last 48: the dataset's user counts summed, and the true distinct users beside it."""
+    """Per hour of the last 48: the dataset's user counts summed, and the true distinct users beside it.
+
+    Over the hourly state both are estimates from merged partials.
+    """
     recent = _recent_hours(dashboard_filters(fact, filters), as_of, 48)
+    if "total_events" in recent.columns:
+        groups = rollups.collapse(recent.select(*HOURLY_KEYS, "total_events", "unique_users"), HOURLY_KEYS)
+        return groups.groupBy("event_hour").agg(
+            F.sum(F.hll_sketch_estimate("unique_users")).alias("summed_users"),
+            merged_estimate("unique_users").alias("distinct_users"),
+        )
     # One pass: distinct users of each dataset group, then their sum and the distinct users of the hour.
     pairs = recent.select("event_hour", "event_type", "geo_country", "utm_source", USER).distinct()
     return pairs.groupBy("event_hour").agg(

@@ -141,8 +141,11 @@ class Warehouse:
     # Staging
 
     def stage(self, feed: schemas.Feed, records: DataFrame, batch_id: str, as_of=None) -> None:
-        """Add one batch of records to a staging table; the same batch again replaces itself."""
+        """Add one batch of records to a staging table; the same batch again replaces itself, whatever its day."""
         rows = self._staged_rows(feed, records, batch_id, as_of)
+        days = [f"{p}=*" for p in feed.partitions if p != "batch_id"]
+        for folder in tables.subfolders(self.spark, self.path(feed.table), "/".join([*days, f"batch_id={batch_id}"])):
+            tables.delete(self.spark, folder)
         tables.write_by_partition(rows, self.path(feed.table), feed.partitions, feed.sort)
 
     def backfill(self, feed: schemas.Feed, records: DataFrame, as_of=None) -> None:
@@ -169,6 +172,7 @@ class Warehouse:
         """Bring the staged events the fact lacks into the fact and both states; the number of rows added."""
         if _checked_id(load_id) == MERGED:
             raise ValueError(f"{MERGED} is reserved")
+        self.recover()  # before anything is written where a swap that died has left a gap
         if self.committed([load_id]):
             return 0
         batches = self.load_fact(load_id, dedup=dedup, as_of=as_of)
@@ -242,9 +246,9 @@ class Warehouse:
         tables.write_by_partition(ordered, self.path(table), layout.partitions, layout.sort)
 
     def refresh(self, load_id: str, *, dedup: bool = True, as_of=None) -> DataFrame:
-        """One whole run: load, dimensions, compaction, summary, and only then the staging clear-out."""
-        self.recover()
+        """One whole run: load, time-to-live, dimensions, compaction, and only then the staging clear-out; the summary."""
         self.load(load_id, dedup=dedup, as_of=as_of)
+        self.ttl_expire(as_of)
         self.rebuild_dims()
         self.compact(max_files=SMALL_FILES)
         self.retention_delete(as_of)
@@ -278,7 +282,7 @@ class Warehouse:
     def recover(self) -> None:
         """After a crash: put back any folder whose replacement never arrived, and redo states left behind."""
         for table in LAYOUTS:
-            for base in (self.root, self.path(table), f"{self.path(table)}/*"):
+            for base in (self.root, self.path(table), f"{self.path(table)}/*", f"{self.path(table)}/*/*"):
                 for retired in tables.subfolders(self.spark, base, f"{tables.RETIRED}/*"):
                     parent, name = retired.rsplit(f"/{tables.RETIRED}/", 1)
                     tables.recover(self.spark, f"{parent}/{name}")

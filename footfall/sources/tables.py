@@ -1,7 +1,7 @@
 """Parquet tables by path: typed reads, idempotent appends, clustered writes and staged swaps.
 
 A job never overwrites what it reads. It writes a complete new folder beside the table and swaps it in by
-rename; ``recover`` finishes or undoes a swap that a failure interrupted.
+rename; ``recover`` finishes or undoes a swap that a failure interrupted, and every swap begins with it.
 """
 
 from __future__ import annotations
@@ -79,8 +79,11 @@ def files_for(size: int) -> int:
 
 
 def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The stored table, or an empty one where nothing has been written yet."""
+    """The stored table, its old version while a new one is swapped in, or an empty one where nothing was ever written."""
     if not exists(spark, path):
+        retired = beside(path, RETIRED)
+        if exists(spark, retired):
+            return spark.read.schema(schema).parquet(retired)
         nothing = spark.range(1).filter(F.lit(False))
         return nothing.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
     return spark.read.schema(schema).parquet(path)
@@ -157,9 +160,12 @@ def staging_path(path: str) -> str:
 
 
 def swap_in(spark: SparkSession, staged: str, path: str) -> None:
-    """Replace the folder ``path`` by the complete folder ``staged``."""
+    """Replace the folder ``path`` by the complete folder ``staged``.
+
+    What an earlier swap retired may be the only copy, so that swap is finished or undone first.
+    """
+    recover(spark, path)
     retired = beside(path, RETIRED)
-    delete(spark, retired)
     if exists(spark, path):
         move(spark, path, retired)
     move(spark, staged, path)
@@ -180,7 +186,7 @@ def recover(spark: SparkSession, path: str) -> None:
 def truncate_reload(
     df: DataFrame, path: str, schema: T.StructType, partitions: Sequence[str] = (), sort: Sequence[str] = ()
 ) -> None:
-    """Replace a table's content; readers see the old version until the new one is complete."""
+    """Replace a table's content; until the new one is complete ``read`` gives the old version."""
     spark = df.sparkSession
     staged = staging_path(path)
     rows = conform(df, schema)

@@ -125,6 +125,18 @@ def test_hot_key_is_spread_over_tasks(spark, low_threshold):
     assert max(r["count"] for r in sliced) < 20000 / 8
 
 
+def test_equal_rows_of_a_hot_key_are_spread_and_all_come_back(spark, low_threshold):
+    left = spark.range(3000).select(F.when(F.col("id") < 1001, "hot").otherwise(F.col("id").cast("string")).alias("k"), F.lit(1).alias("x"))
+    hot = skew.hot_keys(left, "k")
+    slices = skew.spread(left, "k", hot).filter("k = 'hot'").groupBy("_slice").agg(F.sum("_copies").alias("n")).collect()
+    assert len(slices) == dict(hot.slices)["hot"]
+    assert sorted(r["n"] for r in slices)[-1] - sorted(r["n"] for r in slices)[0] <= 1
+    right = spark.createDataFrame([("hot", 7)], "k string, v int")
+    joined = skew.join(left, right, "k", "left", hot)
+    assert joined.filter("v = 7").count() == 1001
+    assert joined.count() == 3000
+
+
 def test_fact_with_a_third_of_events_on_one_click(spark, small_dir, low_threshold):
     staged_feeds = [build(spark, small_dir) for build in fixtures.FEED_BUILDERS.values()]
     browser = staged_feeds[0]

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from footfall.operators import rollups
-from footfall.plans import dims
+from footfall.plans import dims, reports
 from footfall.plans import warehouse as wh_module
 from footfall.plans.fact import fact_events
 from footfall.plans.warehouse import Warehouse
@@ -207,6 +207,46 @@ def test_interrupted_swap_is_undone(wh, small_dir):
     assert wh.read("fact_events").count() == 1000
 
 
+def test_a_load_after_a_swap_that_died_loses_nothing(wh, small_dir, full):
+    first, second = fixtures.two_batches(wh.spark, small_dir)
+    stage_feeds(wh, small_dir, browser=first)
+    wh.load("one", as_of=CLOCK)
+    month = tables.subfolders(wh.spark, wh.path("fact_events"), "event_month=*")[0]
+    tables.move(wh.spark, month, tables.beside(month, tables.RETIRED))
+    tables.move(wh.spark, wh.path("load_log"), tables.beside(wh.path("load_log"), tables.RETIRED))
+    assert wh.committed(["one"]) == {"one"}
+    wh.stage(BROWSER, second, "second")
+    assert wh.load("two", as_of=CLOCK) == 480
+    wh.recover()
+    assert (fact_rows(wh), hourly(wh)) == full
+
+
+def test_a_swap_does_not_delete_the_only_copy(wh):
+    path, new = wh.path("dim_users"), wh.path("new")
+    wh.spark.range(3).write.parquet(tables.beside(path, tables.RETIRED))
+    wh.spark.range(5).write.parquet(new)
+    tables.swap_in(wh.spark, new, path)
+    assert wh.spark.read.parquet(path).count() == 5
+    assert not tables.exists(wh.spark, tables.beside(path, tables.RETIRED))
+
+
+def test_a_batch_staged_again_after_midnight_counts_once(wh):
+    records = staged(wh.spark, BROWSER, [event("a")]).drop("inserted_at", "inserted_on")
+    for clock in ("2024-01-30 23:59:00", "2024-01-31 00:01:00"):
+        wh.stage(BROWSER, records, "7", as_of=clock)
+    assert wh.read(BROWSER.table).count() == 1
+
+
+def test_active_users_from_the_hourly_state(wh, small_dir):
+    stage_feeds(wh, small_dir)
+    wh.load("all", as_of=CLOCK)
+    over_fact = reports.active_users_48h(wh.read("fact_events"), CLOCK)
+    over_state = reports.active_users_48h(wh.read("agg_events_hourly"), CLOCK)
+    columns = ("event_hour", "distinct_users")
+    assert over_fact.count() > 0
+    assert as_set(over_state, *columns) == as_set(over_fact, *columns)
+
+
 def test_retention_counts_and_keeps_the_right_rows(wh, small_dir):
     stage_feeds(wh, small_dir)
     deleted = wh.retention_delete(CLOCK)
