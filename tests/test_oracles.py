@@ -6,6 +6,7 @@ import pytest
 from compare import differences
 
 import __spark_entry__ as driver
+from footfall import registry
 from footfall.operators.dedup import key_counts
 from footfall.registry import inputs
 from footfall.sources import fixtures
@@ -20,7 +21,7 @@ def test_same_rows(spark, sf_dir, name):
 
 
 def test_only_an_undefined_choice_lacks_an_oracle():
-    assert set(QUERIES) - set(ORACLES) == {"peek_topic"}
+    assert set(registry.queries()) - set(registry.oracle_sql()) == {"peek_topic"}
 
 
 def test_peek(spark, sf_dir):
