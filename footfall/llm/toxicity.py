@@ -56,18 +56,19 @@ def words_of(text: str) -> set[str]:
 
 
 def parts_of(word: str) -> list[str]:
-    word = _EDGES.sub("", word)
+    if not word.isalnum():
+        word = _EDGES.sub("", word)
     if len(word) <= SPAN:
         return [word] if len(word) >= LENGTH else []
     return [word[i : i + SPAN] for i in range(0, len(word) - SPAN // 2, SPAN // 2)]
 
 
 def _codes(words: list[str]) -> np.ndarray:
-    """Words as rows of code points behind a mark for their beginning, filled up with zeros."""
-    out = np.zeros((len(words), SPAN + 1), np.int32)
-    for i, w in enumerate(words):
-        out[i, 0] = 1
-        out[i, 1 : len(w) + 1] = np.frombuffer(w.encode("utf-32-le"), np.int32)
+    """Words as rows of code points behind a mark for their beginning, filled up with zeros to the longest."""
+    lengths = np.array([len(w) for w in words])
+    out = np.zeros((len(words), 1 + lengths.max()), np.int32)
+    out[:, 0] = 1
+    out[:, 1:][np.arange(lengths.max()) < lengths[:, None]] = np.frombuffer("".join(words).encode("utf-32-le"), np.int32)
     return out
 
 
@@ -75,21 +76,13 @@ def _own(codes: np.ndarray) -> np.ndarray:
     """The kernel of each word with itself: sum over pairs of equal subsequences of ``LENGTH`` characters, each weighing
     DECAY to the power of what it spans in either place."""
     n = codes.shape[1]
-    d = np.float32(DECAY)
-    ending = [[((codes[:, i] == codes[:, j]) & (codes[:, i] != 0)) * (d * d) for j in range(n)] for i in range(n)]
-    match = [[x != 0 for x in row] for row in ending]
-    for _ in range(LENGTH - 1):
-        above = [np.float32(0)] * n  # decayed sums over all earlier i, for each j
-        longer = []
-        for i in range(n):
-            left, row = np.float32(0), []
-            for j in range(n):
-                row.append(match[i][j] * (d * d * left))
-                left = left * d + above[j]
-            above = [above[j] * d + ending[i][j] for j in range(n)]
-            longer.append(row)
-        ending = longer
-    return sum((x for row in ending for x in row), np.zeros(len(codes), np.float32))
+    step = np.arange(n)[None, :] - np.arange(n)[:, None] - 1
+    earlier = np.where(step >= 0, DECAY ** np.maximum(step, 0), 0).astype(np.float32)  # decay from a place to later ones
+    match = ((codes[:, :, None] == codes[:, None, :]) & (codes != 0)[:, :, None]) * np.float32(DECAY**2)
+    ending = match
+    for _ in range(LENGTH - 1):  # ``ending`` is symmetric in its two places, so each turn sums over one of them
+        ending = match * ((ending @ earlier).transpose(0, 2, 1) @ earlier)
+    return ending.sum(axis=(1, 2))
 
 
 def _triples(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -109,9 +102,11 @@ class Kernel:
         used = Counter(c for w in landmarks for c in w)
         chars = sorted(used, key=lambda c: (-used[c], c))[: ALPHABET - 2]
         self.size = len(chars) + 2
-        self.classes = {ord(c): i + 2 for i, c in enumerate(chars)} | {1: 1}
+        self.classes = np.zeros(0x110000, np.int32)
+        self.classes[1] = 1
+        self.classes[[ord(c) for c in chars]] = np.arange(2, self.size)
         codes = _codes(landmarks)
-        norms = np.sqrt(np.maximum(_own(codes[:, : 1 + max(map(len, landmarks))]), 1e-12))
+        norms = np.sqrt(np.maximum(_own(codes), 1e-12))
         self.tables = []  # for each landmark: places in the table, and their values
         for row, norm in zip(self._classed(codes), norms):
             i, j, k, weight = _triples(int((row != 0).sum()))
@@ -128,8 +123,7 @@ class Kernel:
 
     def _classed(self, codes: np.ndarray) -> np.ndarray:
         """Classes of characters; those that no landmark has are class 0, for which every table holds 0."""
-        found, where = np.unique(codes, return_inverse=True)
-        return np.array([self.classes.get(int(c), 0) for c in found], np.int64)[where].reshape(codes.shape)
+        return self.classes[codes]
 
     def table(self, weights: np.ndarray) -> np.ndarray:
         """The combination of the landmarks with ``weights``."""
@@ -153,7 +147,7 @@ class Kernel:
             step = max(16, min(2048, 200_000 // len(i)))  # bounds the memory of a sweep
             for at in range(0, len(of_length), step):
                 rows = of_length[at : at + step]
-                codes = _codes([words[r] for r in rows])[:, : n + 1]
+                codes = _codes([words[r] for r in rows])
                 classed = self._classed(codes).T
                 place = self._place(classed[i], classed[j], classed[k])
                 norm = np.sqrt(np.maximum(_own(codes), 1e-12))
@@ -194,9 +188,9 @@ class Model:
         parts, owner = [], []
         for w in new:
             known[w] = -10.0
-            for p in parts_of(w):
-                parts.append(p)
-                owner.append(w)
+            own = parts_of(w)
+            parts += own
+            owner += [w] * len(own)
         if parts:
             margins = (kernel.apply(table, parts) + self.bias).tolist()
             for w, margin in zip(owner, margins):
