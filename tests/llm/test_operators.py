@@ -114,6 +114,20 @@ def test_contexts_of_known_identifiers_find_unseen_ones(shipped):
     assert found[101] == ""
 
 
+def test_one_sided_contexts_find_unseen_identifiers(shipped):
+    deal = random.Random(11)
+    word = lambda: "".join(deal.choice("abcdefgh") for _ in range(7))
+    rows = [(i, f"{word()} mail: box{i}@host.org {word()} {word()}", "s") for i in range(200)]
+    rows += [(1000 + i, f"{word()} phone: +1 (555) 123-{1000 + i} {word()}", "s") for i in range(200)]
+    rows += [(2000 + i, f"{word()} mail: user{i}(at)host {word()}", "s") for i in range(20)]
+    rows += [(3000 + i, f"{word()} phone: call-{i}-now {word()}", "s") for i in range(20)]
+    rows += [(4000, "see version 2.0 of mail: and phone: and the text", "s")] + [(4001 + i, f"this and that {word()}", "s") for i in range(20)]
+    found = {r.doc_id: r.spans for r in pii.report(shipped.createDataFrame(rows_of(rows), SCHEMA)).collect()}
+    assert all(found[2000 + i] == f"context:14:{26 + len(str(i))}" for i in range(20))
+    assert all(found[3000 + i] == f"context:15:{24 + len(str(i))}" for i in range(20))
+    assert not any(found[i] for i in found if i >= 4000)
+
+
 def test_quality_ranks_good_texts_higher(shipped, empty):
     deal = random.Random(2)
     good = lambda: " ".join(deal.choice(SENTENCE.split()) + deal.choice("abcdefgh") for _ in range(60)).capitalize() + "."
