@@ -128,6 +128,19 @@ def test_one_sided_contexts_find_unseen_identifiers(shipped):
     assert not any(found[i] for i in found if i >= 4000)
 
 
+def test_contexts_find_identifiers_of_letters_only(shipped):
+    """A common word before a few seeds finds nothing, however many seeds it has."""
+    deal = random.Random(12)
+    word = lambda: "".join(deal.choice("abcdefgh") for _ in range(7))
+    rows = [(i, f"{word()} mail: box{i}@host.org {word()} {word()}", "s") for i in range(100)]
+    rows += [(1000 + i, f"{word()} mail: {'jkl'[i]}ane(at)host(dot)org {word()}", "s") for i in range(3)]
+    rows += [(2000 + i, f"{word()} the seed{i}@host.net {word()}", "s") for i in range(40)]
+    rows += [(3000 + i, f"{word()} the {word()} {word()}", "s") for i in range(400)]
+    found = {r.doc_id: r.spans for r in pii.report(shipped.createDataFrame(rows_of(rows), SCHEMA)).collect()}
+    assert [found[1000 + i] for i in range(3)] == ["context:14:34"] * 3
+    assert not any(found[3000 + i] for i in range(400))
+
+
 def test_quality_ranks_good_texts_higher(shipped, empty):
     deal = random.Random(2)
     good = lambda: " ".join(deal.choice(SENTENCE.split()) + deal.choice("abcdefgh") for _ in range(60)).capitalize() + "."
