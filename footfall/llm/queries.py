@@ -8,14 +8,14 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import html, lines, mixing, pieces, pii, quality, rules, simhash, topk, toxicity
+from footfall.llm import divergence, html, importance, lines, mixing, packing, pieces, pii, quality, rules, simhash, topk, toxicity
 from footfall.llm.common import held_out, ship, table
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("piece_bpe_32k.model")
+    return public_tokenizers.path(name)
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,6 +69,23 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packs all documents into sequences of 4,096 tokens, with a checksum of each piece; see ``packing.pack``."""
+    pieces_ = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return pieces_.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audits the sources of all documents; see ``divergence.audit``."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Draws the twentieth of all documents that is nearest the benchmark texts; see ``importance.resample``."""
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def _with_package(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +95,9 @@ def _with_package(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: _with_package(f) for f in (op1_mix, op2_pii, op3_quality, op4_lines, op5_html, op6_pieces, op7_topk, op8_rules, op9_simhash, op10_toxicity)
-}
-ORACLES: dict[str, str] = {"op1_mix": mixing.ORACLE}
+_ALL = (
+    op1_mix, op2_pii, op3_quality, op4_lines, op5_html, op6_pieces, op7_topk, op8_rules, op9_simhash, op10_toxicity,
+    op11_packing, op12_divergence, op13_importance,
+)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _with_package(f) for f in _ALL}
+ORACLES: dict[str, str] = {"op1_mix": mixing.ORACLE, "op12_divergence": divergence.ORACLE}
