@@ -8,7 +8,7 @@ from collections import Counter
 
 import duckdb
 
-TABLES = ("events", "nation")
+TABLES = ("documents", "events", "nation")
 
 
 def oracle_rows(sf_dir: str, sql: str) -> tuple[list[str], list[tuple]]:

@@ -11,8 +11,8 @@ from footfall.operators.dedup import key_counts
 from footfall.registry import inputs
 from footfall.sources import fixtures
 
-QUERIES = driver.queries()
-ORACLES = driver.oracle_sql()
+QUERIES = registry.queries()
+ORACLES = registry.oracle_sql()
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-import __spark_entry__ as driver
+from footfall import registry
 from footfall.plans import reports
 from footfall.registry import inputs
 from footfall.sources.fixtures import CLOCK
@@ -21,9 +21,9 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(driver.queries()) - WRITERS))
+@pytest.mark.parametrize("name", sorted(set(registry.queries()) - WRITERS))
 def test_no_cross_join_nested_loop_or_python(spark, small_dir, name):
-    text = plan(driver.queries()[name](spark, small_dir))
+    text = plan(registry.queries()[name](spark, small_dir))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Window ["):
         assert operator not in text
 
@@ -48,7 +48,7 @@ def test_top_lists_keep_only_k_rows_per_task(spark, small_dir):
 def test_fact_shuffles_each_side_once(spark, small_dir):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(driver.queries()["fact_events"](spark, small_dir))
+        text = plan(registry.queries()["fact_events"](spark, small_dir))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # browser, location, the joined events by click, device, geo; the last is the one page row without an id
