@@ -13,7 +13,6 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +32,7 @@ BUCKETS = 4096
 DIMENSIONS = 4
 BITS = 15
 #: Words a worker remembers in each of two generations. More are encoded again: memory only, never results.
-REMEMBERED = 150_000
+REMEMBERED = 200_000
 
 
 # ---------------------------------------------------------------------------------------------------- encoding
@@ -49,14 +48,23 @@ _OTHERS = re.compile("[^\x00-\x7fÀ-ÖØ-öø-ÿ]")
 _CHUNKS = re.compile(r"[^\t-\r ]+")
 
 
-class Encoder:
-    """Ids exactly as the tokenizers library gives them; each different word goes to the library once.
+def _byte_letters() -> dict[int, int]:
+    """The characters that stand for bytes in the vocabulary: printable ones for themselves, the others from 256 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: 256 + k for k, b in enumerate(hidden)}
+
+
+class Encoder(dict):
+    """Ids exactly as the tokenizers library gives them; each different word goes to the library's merges once.
 
     A text is cut where the tokenizer cuts it anyway. A stretch without white space that holds a character outside
-    ASCII and Latin-1 letters goes to the library as it is, a text with a special token as a whole.
+    ASCII and Latin-1 letters goes to the library as it is, a text with a special token as a whole. The dictionary holds
+    the ids of the words met so far; when it is full it becomes the older one, from which words still in use come back.
     """
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has the cores
         from tokenizers import Tokenizer
 
@@ -64,16 +72,26 @@ class Encoder:
         with open(path, encoding="utf-8") as file:
             told = json.load(file)
         self.special = [t["content"] for t in told["added_tokens"]]
-        steps = (told["pre_tokenizer"] or {}).get("pretokenizers", [{}])
-        same = (told["normalizer"] or {}).get("normalizers") == _NORMALIZER and steps[0].get("pattern") == {"Regex": _SPLIT}
-        self.by_words = same and (steps[0]["behavior"], steps[0]["invert"]) == ("Removed", True) and not any(s.get("add_prefix_space") for s in steps)
+        steps = (told["pre_tokenizer"] or {}).get("pretokenizers", [])
+        cut = {"pattern": {"Regex": _SPLIT}, "behavior": "Removed", "invert": True}
+        to_bytes = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}
+        known = len(steps) == 2 and cut.items() <= steps[0].items() and to_bytes.items() <= steps[1].items()
+        self.by_words = known and (told["normalizer"] or {}).get("normalizers") == _NORMALIZER
         self.type = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _raw(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.type).tobytes() for e in found]
+        self.letters = _byte_letters()
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.older.get(word)
+        if found is None:
+            if _OTHERS.search(word):
+                ids = self.library.encode(word, add_special_tokens=False).ids
+            else:
+                as_bytes = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.letters)
+                ids = [t.id for t in self.library.model.tokenize(as_bytes)]
+            found = np.array(ids, self.type).tobytes()
+        self[word] = found
+        return found
 
     def _words(self, text: str) -> list[str]:
         if not _OTHERS.search(text):
@@ -86,26 +104,14 @@ class Encoder:
                 words += _WORDS.findall(part.lower())
         return words
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, little-endian, of ``type``."""
-        whole = [i for i, t in enumerate(texts) if not self.by_words or any(s in t for s in self.special)]
-        out: list[bytes] = [b""] * len(texts)
-        for i, raw in zip(whole, self._raw([texts[i] for i in whole])):
-            out[i] = raw
-        left = sorted(set(range(len(texts))).difference(whole))
-        words = [self._words(texts[i]) for i in left]
-        wanted = set(chain.from_iterable(words))
-        missing = wanted.difference(self.new)
-        for w in missing.intersection(self.old):
-            self.new[w] = self.old[w]
-        missing = list(missing.difference(self.old))
-        self.new.update(zip(missing, self._raw(missing)))
-        get = self.new.__getitem__
-        for i, own in zip(left, words):
-            out[i] = b"".join(map(get, own))
-        if len(self.new) > REMEMBERED:
-            self.old, self.new = self.new, {}
-        return out
+    def encode(self, text: str) -> bytes:
+        """The ids of a text, little-endian, of ``type``."""
+        if not self.by_words or any(s in text for s in self.special):
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, self.type).tobytes()
+        if len(self) > REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        return b"".join(map(self.__getitem__, self._words(text)))
 
 
 @lru_cache(maxsize=1)
@@ -211,7 +217,7 @@ def _encoded(docs: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for first, last in _by_bytes(texts):
-                raw = model.encode(texts[first:last])
+                raw = [model.encode(t) for t in texts[first:last]]
                 points = np.array([project(np.frombuffer(r, model.type), signs) for r in raw]).reshape(-1, DIMENSIONS)
                 part = batch.slice(first, last - first)
                 own = [pa.array([len(r) // model.type.itemsize + 1 for r in raw], pa.int64())]
