@@ -181,36 +181,86 @@ def test_banded_distance_is_exact(max_edits):
         assert lines.within(a, b, max_edits) == (edits(a, b) <= max_edits)
 
 
-def test_lines_that_stand_earlier_go(shipped, empty):
-    deal = random.Random(4)
-    stock = ["".join(deal.choice("abcde ") for _ in range(deal.randint(3, 40))).strip() or "a" for _ in range(25)]
+def staying(placed: list[tuple], min_words: int) -> set[int]:
+    """Places of the lines that stay, line by line against those that stayed."""
+    near = lambda x, y: abs(len(x) - len(y)) < 5 and edits(x, y) <= lines.edits(min(len(x), len(y)), min_words)
+    stay: list[int] = []
+    seen: set[tuple] = set()
+    for k, (*_, x) in enumerate(placed):
+        words = tuple(x.split())
+        if words not in seen and not any(near(words, placed[j][-1].split()) for j in stay):
+            stay.append(k)
+        seen.add(words)
+    return set(stay)
+
+
+def moved(deal: random.Random, line: str, times: int) -> str:
+    """``line`` with so many words replaced, added or left out."""
+    out = line.split()
+    for _ in range(times):
+        at, kind = deal.randrange(len(out)), deal.random()
+        out[at : at + (kind < 0.7)] = [] if kind < 0.2 and len(out) > 1 else [deal.choice(["x", "yé", "zz"])]
+    return " ".join(out)
+
+
+@pytest.mark.parametrize("min_words", [4, 16])
+def test_lines_that_stand_earlier_go(shipped, empty, min_words):
+    deal = random.Random(min_words)
+    words = [f"{a}{b}" for a in "abcdefgh" for b in "aeiouß"]
+    stock = [" ".join(deal.choice(words) for _ in range(deal.randint(1, 40 if i % 4 else 110))) for i in range(30)]
+    stock += [" ".join(stock[1].split()[:12] + [deal.choice(words) for _ in range(12)]) for _ in range(12)]  # one beginning
     texts = []
-    for i in range(40):
-        own = [changed(deal, deal.choice(stock), deal.choice([0, 0, 1, 2, 3])) or "z" for _ in range(deal.randint(0, 6))]
+    for i in range(60):
+        own = [moved(deal, deal.choice(stock), deal.choice([0, 0, 1, 1, 2, 3])) for _ in range(deal.randint(0, 6))]
         texts.append((i, "\n".join(own), "s"))
-    texts += [(50, None, "s"), (51, "", "s"), (52, "\n \n", None), (53, "e" * 50_000, "s"), (5, texts[5][1], "s")]
+    texts += [(70, None, "s"), (71, "", "s"), (72, "\n \n", None), (73, "e" * 50_000, "s"), (5, texts[5][1], "s"), (None, "  " + stock[0].replace(" ", "\t "), "s")]
+    texts += [(74, " ".join(["long"] * 3000 + ["a"]), "s"), (75, " ".join(["long"] * 3000 + ["b"]), "s")]
     frame = shipped.createDataFrame(rows_of(texts), SCHEMA)
     hashes = {(r.doc_id, r.text): r.th for r in frame.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th")).collect()}
-    placed = sorted({(i, hashes[i, t], n, x.strip()) for i, t, _ in texts for n, x in enumerate((t or "").split("\n")) if x.strip()}, key=lambda p: p[:3])
+    placed = {(i, hashes[i, t], n, x.strip()) for i, t, _ in texts for n, x in enumerate((t or "").split("\n")) if x.strip()}
+    placed = sorted(placed, key=lambda p: (-1 if p[0] is None else p[0], *p[1:3]))
     stay: dict[tuple, set] = {}
-    for k, (i, th, n, x) in enumerate(placed):
-        earlier = (y for *_, y in placed[:k])
-        near = lambda y: x == y or min(len(x), len(y)) >= lines.MIN_CHARS and abs(len(x) - len(y)) < 3 and edits(x, y) <= lines.MAX_EDITS  # noqa: E731, B023
-        if not any(map(near, earlier)):
-            stay.setdefault((i, th), set()).add(n)
-    left = {(r.doc_id, r.n_chars): r.text for r in lines.dedup(frame).collect()}
+    for k in staying(placed, min_words):
+        stay.setdefault(placed[k][:2], set()).add(placed[k][2])
+    left = {(r.doc_id, r.n_chars): r.text for r in lines.dedup(frame, min_words).collect()}
     for i, t, _ in texts:
         own = (t or "").split("\n")
         keep = stay.get((i, hashes[i, t]), set())
         want = "\n".join(x for n, x in enumerate(own) if n in keep or not x.strip()) if keep else ""
         assert (left[i, len(t or "")] or "") == want
-    told = lines.report(frame).collect()
+    told = lines.report(frame, min_words).collect()
     assert len(told) == len(texts)
     assert sum(r.n_kept for r in told) == sum(len(stay.get((i, hashes[i, t]), ())) for i, t, _ in texts)
     assert lines.report(empty).count() == 0
     assert lines.dedup(frame).columns == frame.columns
 
 
+def test_a_line_goes_only_for_one_that_stays(shipped):
+    """A chain whose ends are far apart loses every second line, in whatever documents its lines stand."""
+    base = [f"w{i}" for i in range(20)]
+    chain = [" ".join(["new"] * k + base[k:]) for k in range(9)]
+    deal = random.Random(1)
+    order = list(range(9))
+    for _ in range(3):
+        frame = shipped.createDataFrame(rows_of([(i, chain[k], "s") for i, k in enumerate(order)]), SCHEMA)
+        left = {r.doc_id for r in lines.dedup(frame).collect() if r.text}
+        assert left == staying([(chain[k],) for k in order], lines.MIN_WORDS)
+        deal.shuffle(order)
+
+
+def test_a_large_group_of_near_lines_gives_few_links(shipped):
+    """Lines near to each other, and lines that share most words but are not near, make links by lines, not by pairs."""
+    base = [f"w{i}" for i in range(40)]
+    near = [" ".join(base[:20] + [f"x{i}"] + base[21:]) for i in range(400)]
+    apart = [" ".join([f"a{i}", f"b{i}", f"c{i}"] + [f"v{k}" for k in range(37)]) for i in range(400)]
+    frame = shipped.createDataFrame(rows_of([(i, t, "s") for i, t in enumerate(near + apart)]), SCHEMA)
+    first = lines._occurrences(frame).groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "th", "line_no")).alias("at"))
+    met = lines._met(lines._entries(frame, lines.MIN_WORDS))
+    texts = lines._texts(frame, np.full(lines.FILTER_BITS // 32, -1, np.int32).view(np.uint32), lines.MIN_WORDS).join(first, ["k1", "k2"])
+    assert lines._links(met, texts, lines.MIN_WORDS).count() == 399
+    assert {r.doc_id for r in lines.dedup(frame).collect() if r.text} == {0, *range(400, 800)}
+
+
 def test_pages_lose_what_is_not_the_article():
     model = html.fit([SENTENCE + ", and then it slept. " + SENTENCE + "."] * 20 + ["Another text, of other words. It has two sentences."], pages=250)
     page = (
