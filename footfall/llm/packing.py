@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,7 +33,7 @@ BUCKETS = 4096
 DIMENSIONS = 4
 BITS = 15
 #: Words a worker remembers in each of two generations. More are encoded again: memory only, never results.
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 
 
 # ---------------------------------------------------------------------------------------------------- encoding
@@ -78,40 +79,118 @@ class Encoder(dict):
         known = len(steps) == 2 and cut.items() <= steps[0].items() and to_bytes.items() <= steps[1].items()
         self.by_words = known and (told["normalizer"] or {}).get("normalizers") == _NORMALIZER
         self.type = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "HI"[self.type.itemsize // 4]  # machines of this byte order only, as Spark's Arrow batches
+        self.merges = self.library.model.tokenize
         self.letters = _byte_letters()
         self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
         found = self.older.get(word)
         if found is None:
-            if _OTHERS.search(word):
+            if word.isascii() and word.isprintable():
+                ids = [t.id for t in self.merges(word)]
+            elif _OTHERS.search(word):
                 ids = self.library.encode(word, add_special_tokens=False).ids
             else:
-                as_bytes = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.letters)
-                ids = [t.id for t in self.library.model.tokenize(as_bytes)]
-            found = np.array(ids, self.type).tobytes()
+                ids = [t.id for t in self.merges(word.encode().decode("latin-1").translate(self.letters))]
+            found = array(self.code, ids).tobytes()
         self[word] = found
         return found
 
-    def _words(self, text: str) -> list[str]:
-        if not _OTHERS.search(text):
-            return _WORDS.findall(text.lower())
+    def _one(self, text: str) -> bytes:
+        """The ids of a text with characters beyond Latin-1 letters or special tokens."""
+        if not self.by_words or any(s in text for s in self.special):
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, self.type).tobytes()
         words: list[str] = []
         for part in _CHUNKS.findall(text):
             if _OTHERS.search(part):
                 words.append(part)
             else:
                 words += _WORDS.findall(part.lower())
-        return words
+        return b"".join([self[w] for w in words])
 
-    def encode(self, text: str) -> bytes:
-        """The ids of a text, little-endian, of ``type``."""
-        if not self.by_words or any(s in text for s in self.special):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, self.type).tobytes()
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, little-endian, of ``type``."""
         if len(self) > REMEMBERED:
             self.older = dict(self)
             self.clear()
-        return b"".join(map(self.__getitem__, self._words(text)))
+        plain = [i for i, t in enumerate(texts) if self.by_words and not _OTHERS.search(t) and not any(s in t for s in self.special)]
+        out = dict(zip(plain, self._plain([texts[i] for i in plain])))
+        return [out[i] if i in out else self._one(t) for i, t in enumerate(texts)]
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        """Texts of ASCII and Latin-1 letters, a byte a character: cut and told apart all at once."""
+        raw = b"".join([t.lower().encode("latin-1") + b"\n" for t in texts])
+        text = np.frombuffer(raw, np.uint8)
+        if not len(text):
+            return []
+        start, end = cut(text)
+        bounds = np.concatenate(([0], np.cumsum(np.array([len(t) + 1 for t in texts]))))
+        if not len(start):
+            return [b""] * len(texts)
+        which, first = _alike(text, start, end)
+        found = [self[raw[a:b].decode("latin-1")] for a, b in zip(start[first].tolist(), end[first].tolist())]
+        size = np.array([len(f) // self.type.itemsize for f in found])
+        flat = np.frombuffer(b"".join(found), self.type)
+        opens = np.cumsum(size) - size
+        sizes = size[which]
+        ends = np.cumsum(sizes)
+        ids = flat[np.repeat(opens[which] - (ends - sizes), sizes) + np.arange(ends[-1])]
+        before = np.concatenate(([0], ends))[np.searchsorted(start, bounds)]
+        return [ids[a:b].tobytes() for a, b in zip(before[:-1], before[1:])]
+
+
+# What the split tells apart, for characters up to Latin-1: white space, digits, letters, all else.
+_SPACE, _DIGIT, _LETTER, _ELSE = range(4)
+_CLASS = np.full(256, _ELSE, np.uint8)
+_CLASS[[0x20, *range(0x09, 0x0E)]] = _SPACE
+_CLASS[0x30:0x3A] = _DIGIT
+_CLASS[[*range(0x61, 0x7B), *range(0xDF, 0xF7), *range(0xF8, 0x100)]] = _LETTER
+
+
+def cut(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of lower-case Latin-1 text that ends in white space, as the split has them."""
+    kind = _CLASS[text]
+    opens = kind != _SPACE
+    opens[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+    # an apostrophe that no other mark stands before, and the letters of a contraction behind it, are a word
+    at = np.flatnonzero(opens & (text == 0x27))
+    after = np.concatenate((text, np.zeros(2, np.uint8)))
+    one, two = after[at + 1], after[at + 2]
+    short = np.isin(one, np.frombuffer(b"stmd", np.uint8))
+    long = ((one == 0x72) | (one == 0x76)) & (two == 0x65) | (one == 0x6C) & (two == 0x6C)
+    for own, size in ((at[short], 2), (at[long], 3)):
+        opens[own + 1] = False
+        next_ = own + size
+        opens[next_[kind[next_] == _LETTER]] = True
+    start = np.flatnonzero(opens)
+    closes = np.flatnonzero((kind[1:] == _SPACE) & (kind[:-1] != _SPACE)) + 1  # ends at white space
+    following = np.append(start[1:], len(text))
+    space = closes[np.searchsorted(closes, start, side="right")]
+    return start, np.minimum(following, space)
+
+
+def _alike(text: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each word the number of its like, and for each number the first word of it. Equal hashes are compared."""
+    base = np.uint64(0x9E3779B97F4A7C15)
+    up = np.full(int((end - start).max()) + 1, base, np.uint64)
+    up[0] = 1
+    up = np.cumprod(up, dtype=np.uint64)
+    size = end - start
+    place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    letters = text[np.repeat(start, size) + place]
+    h = np.add.reduceat((letters.astype(np.uint64) + np.uint64(1)) * up[place], np.cumsum(size) - size)
+    _, first, which = np.unique(h, return_index=True, return_inverse=True)
+    like = start[first][which]
+    same = size == size[first][which]
+    if same.all():
+        same = np.logical_and.reduceat(letters == text[np.repeat(like, size) + place], np.cumsum(size) - size)
+    if not same.all():  # two words of one hash: told apart by themselves
+        raw = text.tobytes()
+        numbers: dict[bytes, int] = {}
+        which = np.array([numbers.setdefault(raw[a:b], len(numbers)) for a, b in zip(start.tolist(), end.tolist())])
+        first = np.unique(which, return_index=True)[1]
+    return which, first
 
 
 @lru_cache(maxsize=1)
@@ -217,7 +296,7 @@ def _encoded(docs: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for first, last in _by_bytes(texts):
-                raw = [model.encode(t) for t in texts[first:last]]
+                raw = model.encode(texts[first:last])
                 points = np.array([project(np.frombuffer(r, model.type), signs) for r in raw]).reshape(-1, DIMENSIONS)
                 part = batch.slice(first, last - first)
                 own = [pa.array([len(r) // model.type.itemsize + 1 for r in raw], pa.int64())]

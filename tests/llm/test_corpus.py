@@ -114,9 +114,22 @@ def test_the_encoder_forgets_without_changing_ids(monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 3)
     model = packing.Encoder(tokenizer_path("word_bpe_49k.json"))
     texts = ["one two three four", "two five six", "seven two one", "Ünï's ß!? 'S don't", "a<|endoftext|>b", "\x00 \x7f \x1c-é", "日本 é½"]
+    deal = random.Random(8)
+    texts += ["".join(deal.choice("aé'' stvelrmd!1ß\n\x1c") for _ in range(deal.randint(0, 60))) for _ in range(400)]
+    wanted = [np.array(model.library.encode(t, add_special_tokens=False).ids, model.type).tobytes() for t in texts]
     for _ in range(3):
-        for t in texts:
-            assert model.encode(t) == np.array(model.library.encode(t, add_special_tokens=False).ids, model.type).tobytes()
+        assert model.encode(texts) == wanted
+        assert [model.encode([t])[0] for t in texts] == wanted
+    assert model.encode([]) == []
+
+
+def test_words_of_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(packing.np, "cumprod", lambda a, **kw: np.ones_like(a))  # words of the same letters now collide
+    text = np.frombuffer(b"ab ba ab abc cab ba ", np.uint8)
+    start, end = packing.cut(text)
+    which, first = packing._alike(text, start, end)
+    raw = text.tobytes()
+    assert [raw[start[first[w]] : end[first[w]]] for w in which] == raw.split()
 
 
 @pytest.mark.parametrize("dimensions, bits", [(2, 4), (3, 3), (4, 2)])
