@@ -2,13 +2,15 @@
 
 Every load has an id, and its fact rows and its state rows carry it. The load log names the loads that are stored in
 full. What a load that failed midway has written is removed by the next load, under the same id or another, which
-reads its batches again: nothing is counted twice or lost. Loads run one after the other.
+reads its batches again: nothing is counted twice or lost. Loads run one after the other: each holds the warehouse's
+lease, and none is logged unless it still has it and the fact holds as many rows as it wrote.
 """
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass
 from uuid import uuid4
 
@@ -21,7 +23,7 @@ from footfall.functions.clock import before, event_month, moment
 from footfall.operators import rollups
 from footfall.operators.dedup import latest_per_key
 from footfall.operators.joins import matching
-from footfall.plans import dims
+from footfall.plans import dims, lease
 from footfall.plans.fact import fact_events, lacks_side, repair_fact
 from footfall.sources import tables
 from footfall.workspace import side_by_side
@@ -32,6 +34,13 @@ BROADCAST_ROWS = 500_000
 # A month of finished loads is worth merging in a regular run from this many files on.
 SMALL_FILES = 100
 
+# Folder of notes: the loads that have written their fact rows and not yet their entry in the load log.
+_LOADS = "_loads"
+
+# Seconds without a sign of life after which a load counts as dead, and for which replaced folders are kept.
+LEASE_SECONDS = 6 * 3600
+KEEP_SECONDS = 7 * 24 * 3600
+
 # Folder of notes: months whose fact was repaired and whose states are still to be rebuilt.
 _REPAIRED = "_repaired_months"
 
@@ -122,12 +131,22 @@ def _checked_id(value: str) -> str:
     return value
 
 
+def _value(folder: str, column: str) -> str:
+    """The value of a partition column in a folder's name."""
+    return next(part.split("=", 1)[1] for part in folder.split("/") if part.startswith(f"{column}="))
+
+
+class Incomplete(RuntimeError):
+    """The fact does not hold the rows a load wrote; the load is not logged, and its batches are read again."""
+
+
 class Warehouse:
     """The tables below one root folder."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, lease_seconds: float = LEASE_SECONDS):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.lease_seconds = lease_seconds
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -135,18 +154,23 @@ class Warehouse:
     def read(self, table: str) -> DataFrame:
         return tables.read(self.spark, self.path(table), LAYOUTS[table].schema)
 
+    def folders(self, table: str) -> tuple[str, ...]:
+        """The folders that hold a table now."""
+        return tables.live(self.spark, self.path(table))
+
     def stored(self, table: str) -> bool:
-        return tables.exists(self.spark, self.path(table))
+        return bool(self.folders(table))
 
     # Staging
 
     def stage(self, feed: schemas.Feed, records: DataFrame, batch_id: str, as_of=None) -> None:
-        """Add one batch of records to a staging table; the same batch again replaces itself, whatever its day."""
+        """Add one batch of records to a staging table; the same batch again replaces itself, whatever its day.
+
+        A batch is staged once its last row is written, and not before.
+        """
         rows = self._staged_rows(feed, records, batch_id, as_of)
-        days = [f"{p}=*" for p in feed.partitions if p != "batch_id"]
-        for folder in tables.subfolders(self.spark, self.path(feed.table), "/".join([*days, f"batch_id={batch_id}"])):
-            tables.delete(self.spark, folder)
-        tables.write_by_partition(rows, self.path(feed.table), feed.partitions, feed.sort)
+        same = lambda folder: _value(folder, "batch_id") == batch_id
+        tables.put(rows, self.path(feed.table), feed.partitions, feed.sort, drop=same)
 
     def backfill(self, feed: schemas.Feed, records: DataFrame, as_of=None) -> None:
         """Replace a staging table by ``records``, as a batch no load has covered."""
@@ -172,7 +196,7 @@ class Warehouse:
         """Bring the staged events the fact lacks into the fact and both states; the number of rows added."""
         if _checked_id(load_id) == MERGED:
             raise ValueError(f"{MERGED} is reserved")
-        self.recover()  # before anything is written where a swap that died has left a gap
+        self.recover()
         if self.committed([load_id]):
             return 0
         batches = self.load_fact(load_id, dedup=dedup, as_of=as_of)
@@ -180,70 +204,99 @@ class Warehouse:
 
     def open_batches(self) -> list[str]:
         """Staged browser batches that no finished load covers."""
-        folders = tables.subfolders(self.spark, self.path(schemas.BROWSER.table), "event_month=*/inserted_on=*/batch_id=*")
-        staged = {f.rsplit("batch_id=", 1)[1] for f in folders}
+        staged = {_value(f, "batch_id") for f in self.folders(schemas.BROWSER.table)}
         covered = self.read("load_log").select(F.explode("batches").alias("batch_id"))
         seen = covered.filter(F.col("batch_id").isin(list(staged))).distinct().collect() if staged else []
         return sorted(staged - {row["batch_id"] for row in seen})
 
     def load_fact(self, load_id: str, *, dedup: bool = True, as_of=None) -> list[str]:
-        """First half of a load: the new fact rows, replacing any a failed attempt left; the batches covered.
+        """First half of a load: takes the lease and writes the new fact rows; the batches covered.
 
         Batches of finished loads are not read again. Once there is a fact, the other feeds are narrowed to
         the keys of this load before they are deduplicated. The keys of a load of at most BROADCAST_ROWS rows
         are broadcast, so that neither the fact nor a feed is shuffled for them; those of a larger one are not.
+        A failure gives the lease back; what was written is discarded by the next load.
         """
-        self.discard_unfinished()
-        batches = self.open_batches()
-        browser, *sides = [self.read(table) for table in STAGING_TABLES]
-        browser = browser.filter(F.col("batch_id").isin(batches))
-        others, few = None, False
-        if self.stored("fact_events"):
-            others = self.read("fact_events").filter(F.col("load_id") != load_id)
-            few = browser.count() <= BROADCAST_ROWS
-            keys = [feed.key for feed in list(schemas.FEEDS.values())[1:]]
-            sides = [matching(s, browser.select(k).distinct(), k, few=few) for s, k in zip(sides, keys)]
-        new = fact_events(browser, *sides, others, dedup=dedup, few=few, as_of=as_of)
-        self._write("fact_events", tables.with_month(new).withColumn("load_id", F.lit(load_id)))
-        return batches
+        token = lease.acquire(self.spark, self.root, load_id, self.lease_seconds)
+        try:
+            self.discard_unfinished()
+            batches = self.open_batches()
+            browser, *sides = [self.read(table) for table in STAGING_TABLES]
+            browser = browser.filter(F.col("batch_id").isin(batches))
+            others, few = None, False
+            if self.stored("fact_events"):
+                others = self.read("fact_events").filter(F.col("load_id") != load_id)
+                few = browser.count() <= BROADCAST_ROWS
+                keys = [feed.key for feed in list(schemas.FEEDS.values())[1:]]
+                sides = [matching(s, browser.select(k).distinct(), k, few=few) for s, k in zip(sides, keys)]
+            new = fact_events(browser, *sides, others, dedup=dedup, few=few, as_of=as_of)
+            lease.renew(self.spark, self.root, token)
+            added = self._write("fact_events", tables.with_month(new).withColumn("load_id", F.lit(load_id)))
+            rows = tables.read(self.spark, self.path("fact_events"), LAYOUTS["fact_events"].schema, added).count()
+            tables.delete(self.spark, self._note(load_id))
+            tables.create_once(self.spark, self._note(load_id), json.dumps({"token": token, "rows": rows}))
+            return batches
+        except BaseException:
+            lease.release(self.spark, self.root, token)
+            raise
+
+    def _note(self, load_id: str) -> str:
+        return f"{self.root}/{_LOADS}/{load_id}.json"
 
     def finish_load(self, load_id: str, batches: Sequence[str], *, as_of=None) -> int:
-        """Second half: the states of the load's stored fact rows, then the entry in the load log."""
-        mine = self.read("fact_events").filter(F.col("load_id") == load_id)
-
-        def write_state(table: str) -> None:
-            self._discard(table, load_id)
-            self._write(table, STATES[table].build(mine).withColumn("load_id", F.lit(load_id)))
-
-        side_by_side(write_state, STATES)
-        rows = mine.count()
-        entry = self.spark.range(1).select(
-            F.lit(load_id).alias("load_id"),
-            F.lit(rows).alias("rows"),
-            moment(as_of).alias("committed_at"),
-            F.array(*[F.lit(b) for b in batches]).cast("array<string>").alias("batches"),
-        )
-        tables.append_batch(entry, self.path("load_log"), schemas.LOAD_LOG_SCHEMA)
-        return rows
+        """Second half: the states of the load's stored fact rows, then the entry in the load log.
+
+        ``lease.Lost`` if another load has taken over, ``Incomplete`` if rows are not there: then nothing is logged.
+        """
+        told = tables.text_of(self.spark, self._note(load_id))
+        if told is None:
+            raise lease.Lost(f"load {load_id} has not written its fact rows, or another load has discarded them")
+        token, written = json.loads(told)["token"], json.loads(told)["rows"]
+        try:
+            lease.renew(self.spark, self.root, token)
+            mine = [f for f in self.folders("fact_events") if _value(f, "load_id") == load_id]
+            facts = tables.read(self.spark, self.path("fact_events"), LAYOUTS["fact_events"].schema, mine)
+
+            def write_state(table: str) -> None:
+                rows = STATES[table].build(facts).withColumn("load_id", F.lit(load_id))
+                self._write(table, rows, drop=lambda folder: _value(folder, "load_id") == load_id)
+
+            side_by_side(write_state, STATES)
+            rows = facts.count()
+            if rows != written:
+                raise Incomplete(f"load {load_id} wrote {written} rows, the fact holds {rows}")
+            entry = self.spark.range(1).select(
+                F.lit(load_id).alias("load_id"),
+                F.lit(rows).alias("rows"),
+                moment(as_of).alias("committed_at"),
+                F.array(*[F.lit(b) for b in batches]).cast("array<string>").alias("batches"),
+                F.array(*[F.lit(f) for f in mine]).cast("array<string>").alias("folders"),
+            )
+            lease.renew(self.spark, self.root, token)
+            tables.append_batch(entry, self.path("load_log"), schemas.LOAD_LOG_SCHEMA)
+            tables.delete(self.spark, self._note(load_id))
+            return rows
+        finally:
+            lease.release(self.spark, self.root, token)
 
     def discard_unfinished(self) -> None:
-        """Remove the rows of every load that died, whatever its id: the next load reads their batches again."""
-        folders = tables.subfolders(self.spark, self.path("fact_events"), "event_month=*/load_id=*")
-        ids = {f.rsplit("load_id=", 1)[1] for f in folders} - {MERGED}
-        for load_id in sorted(ids - self.committed(sorted(ids))) if ids else ():
-            for table in STATES:
-                self._discard(table, load_id)
-            self._discard("fact_events", load_id)  # last, as it names the load
-
-    def _discard(self, table: str, load_id: str) -> None:
-        """Remove what an unfinished load wrote."""
-        for folder in tables.subfolders(self.spark, self.path(table), f"event_month=*/load_id={load_id}"):
-            tables.delete(self.spark, folder)
-
-    def _write(self, table: str, rows: DataFrame) -> None:
+        """Remove the rows of every load that died, whatever its id: the next load reads their batches again.
+
+        For the holder of the lease only: to anyone else a load that runs looks like one that died.
+        """
+        held = {t: {_value(f, "load_id") for f in self.folders(t)} - {MERGED} for t in ("fact_events", *STATES)}
+        ids = set().union(*held.values())
+        dead = ids - self.committed(sorted(ids)) if ids else set()
+        for table in (*STATES, "fact_events"):
+            if held[table] & dead:
+                tables.commit(self.spark, self.path(table), (), lambda folder: _value(folder, "load_id") in dead)
+        for load_id in dead:
+            tables.delete(self.spark, self._note(load_id))
+
+    def _write(self, table: str, rows: DataFrame, **options) -> list[str]:
         layout = LAYOUTS[table]
         ordered = rows.select(*layout.schema.fieldNames())
-        tables.write_by_partition(ordered, self.path(table), layout.partitions, layout.sort)
+        return tables.put(ordered, self.path(table), layout.partitions, layout.sort, **options)
 
     def refresh(self, load_id: str, *, dedup: bool = True, as_of=None) -> DataFrame:
         """One whole run: load, time-to-live, dimensions, compaction, and only then the staging clear-out; the summary."""
@@ -252,6 +305,7 @@ class Warehouse:
         self.rebuild_dims()
         self.compact(max_files=SMALL_FILES)
         self.retention_delete(as_of)
+        self.sweep()
         return self.dwh_summary()
 
     # Dimensions
@@ -280,25 +334,25 @@ class Warehouse:
     # Upkeep
 
     def recover(self) -> None:
-        """After a crash: put back any folder whose replacement never arrived, and redo states left behind."""
-        for table in LAYOUTS:
-            for base in (self.root, self.path(table), f"{self.path(table)}/*", f"{self.path(table)}/*/*"):
-                for retired in tables.subfolders(self.spark, base, f"{tables.RETIRED}/*"):
-                    parent, name = retired.rsplit(f"/{tables.RETIRED}/", 1)
-                    tables.recover(self.spark, f"{parent}/{name}")
+        """After a crash: redo states whose fact was repaired. All other changes take effect whole or not at all."""
         for note in tables.subfolders(self.spark, f"{self.root}/{_REPAIRED}"):
-            self._rebuild_states(int(note.rsplit("/", 1)[1]))
+            self._rebuild_states(note.rsplit("/", 1)[1])
             tables.delete(self.spark, note)
 
+    def sweep(self, older_than: float = KEEP_SECONDS) -> list[str]:
+        """Delete what was replaced, or written by jobs that died, more than ``older_than`` seconds ago."""
+        return [f for swept in side_by_side(lambda t: tables.sweep(self.spark, self.path(t), older_than), LAYOUTS) for f in swept]
+
     def _expire(self, table: str, column: str, cutoff, bound) -> list:
-        """Delete rows whose ``column`` lies before ``cutoff``; a row per partition that lost some.
+        """Take out rows whose ``column`` lies before ``cutoff``, in one step; a row per partition that lost some.
 
-        Partitions that are wholly expired are dropped; only those the cutoff falls into are rewritten.
+        Partitions that are wholly expired are dropped; only those the cutoff falls into are written anew.
         ``bound`` is a condition on partition columns that no expired row fails.
         """
         layout = LAYOUTS[table]
-        df = self.read(table).filter(bound)
-        expired = F.col(column) < cutoff
+        before_ = self.folders(table)
+        df = tables.read(self.spark, self.path(table), layout.schema, before_).filter(bound)
+        expired = F.coalesce(F.col(column) < cutoff, F.lit(False))
         # One row per partition folder: bounded by the calendar and the batches kept.
         touched = (
             df.groupBy(*layout.partitions)
@@ -306,23 +360,24 @@ class Warehouse:
             .filter(F.col("expired") > 0)
             .collect()
         )
-        for row in touched:
-            folder = self._folder(table, row, layout.partitions)
-            if row["rows"] == row["expired"]:
-                tables.delete(self.spark, folder)
-                continue
-            plain = T.StructType([f for f in layout.schema.fields if f.name not in layout.partitions])
-            kept = self.spark.read.schema(plain).parquet(folder).filter(~F.coalesce(expired, F.lit(False)))
-            staged = tables.staging_path(folder)
-            tables.write_clustered(kept, staged, (), [c for c in layout.sort if c in plain.fieldNames()])
-            tables.swap_in(self.spark, staged, folder)
+        losing = {self._partition(row, layout.partitions) for row in touched}
+        cut = {self._partition(row, layout.partitions) for row in touched if row["rows"] > row["expired"]}
+        stale = [f for f in before_ if f.rsplit("/", 1)[0] in losing]
+        if not stale:
+            return []
+        boundary = [f for f in stale if f.rsplit("/", 1)[0] in cut]
+        if boundary:
+            kept = tables.read(self.spark, self.path(table), layout.schema, boundary).filter(~expired)
+            self._write(table, kept, replaces=stale, clustered=True)
+        else:
+            tables.commit(self.spark, self.path(table), (), lambda folder: False, stale)
         return touched
 
-    def _folder(self, table: str, row, partitions: Sequence[str]) -> str:
+    def _partition(self, row, partitions: Sequence[str]) -> str:
         def text(value) -> str:
             return "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
 
-        return "/".join([self.path(table), *[f"{p}={text(row[p])}" for p in partitions]])
+        return "/".join(f"{p}={text(row[p])}" for p in partitions)
 
     def retention_delete(self, as_of=None, days: int = schemas.STAGING_CLEAR_DAYS) -> dict[str, int]:
         """Clear staging rows inserted more than ``days`` ago; rows deleted per table."""
@@ -346,7 +401,7 @@ class Warehouse:
                 bound = F.col("inserted_on") <= F.to_date(cutoff)
             touched = self._expire(table, layout.expires_by, cutoff, bound)
             if table == "fact_events":
-                for month in sorted({row["event_month"] for row in touched}):
+                for month in sorted({self._partition(row, ["event_month"]) for row in touched}):
                     self._rebuild_states(month, ("dim_users_state", "dim_geo_state"))
             return sum(row["expired"] for row in touched)
 
@@ -360,56 +415,52 @@ class Warehouse:
         as their size calls for, so that a large month is not copied for a few new files. States are merged to
         one row per group, dimensions to the latest row per key. A load that is not in the load log stays.
         """
-        months = [
-            (table, month)
-            for table in ("fact_events", *STATES)
-            for month in tables.subfolders(self.spark, self.path(table), "event_month=*")
-        ]
-        merged = side_by_side(lambda m: self._compact_month(*m, max_files), months)
-        rewritten = [month for (_, month), done in zip(months, merged) if done]
+        live = {table: self.folders(table) for table in ("fact_events", *STATES)}
+        months = sorted({(table, f.split("/", 1)[0]) for table, folders in live.items() for f in folders})
+        merged = side_by_side(lambda m: self._compact_month(*m, live[m[0]], max_files), months)
+        rewritten = [f"{self.path(table)}/{month}" for (table, month), done in zip(months, merged) if done]
         for table, key, version in (("dim_users", "user_domain_id", "last_seen"), ("dim_geo", "geo_id", None)):
-            if self.stored(table) and self._scattered([self.path(table)], max_files):
+            if self._scattered(table, self.folders(table), max_files):
                 rows = latest_per_key(self.read(table), key, version) if version else self.read(table)
                 tables.truncate_reload(rows.sort(key), self.path(table), LAYOUTS[table].schema)
                 rewritten.append(self.path(table))
-        if self.stored("load_log"):
-            tables.truncate_reload(self.read("load_log").coalesce(1), self.path("load_log"), schemas.LOAD_LOG_SCHEMA)
+        log = self.folders("load_log")
+        if self._scattered("load_log", log, max_files):
+            rows = tables.read(self.spark, self.path("load_log"), schemas.LOAD_LOG_SCHEMA, log)
+            tables.put(rows.coalesce(1), self.path("load_log"), replaces=log)
         return rewritten
 
-    def _compact_month(self, table: str, month: str, max_files: int) -> bool:
-        loads = {f.rsplit("load_id=", 1)[1]: f for f in tables.subfolders(self.spark, month, "load_id=*")}
-        ready = self.committed(list(loads)) | ({MERGED} & set(loads))
-        folders = [loads[load_id] for load_id in ready]
-        target = self._scattered(folders, max_files)
+    def _compact_month(self, table: str, month: str, live: Collection[str], max_files: int) -> bool:
+        own = [f for f in live if f.startswith(f"{month}/")]
+        loads = {_value(f, "load_id") for f in own}
+        ready = self.committed(sorted(loads)) | {MERGED}
+        finished = [f for f in own if _value(f, "load_id") in ready]
+        target = self._scattered(table, finished, max_files)
         if target:
-            self._merge_month(table, month, sorted(ready), sorted(set(loads) - ready), target)
+            self._merge(table, finished, target)
         return target > 0
 
-    def _scattered(self, folders: Sequence[str], max_files: int) -> int:
+    def _scattered(self, table: str, folders: Collection[str], max_files: int) -> int:
         """The number of files the folders' data should be kept in, or 0 where it is not worth a rewrite."""
-        sizes = [tables.data_files(self.spark, folder) for folder in folders]
+        sizes = [tables.data_files(self.spark, f"{self.path(table)}/{folder}") for folder in folders]
         files, target = sum(n for n, _ in sizes), tables.files_for(sum(size for _, size in sizes))
         return target if files > max(max_files, 1.5 * target) else 0
 
-    def _merge_month(self, table: str, month: str, ready: list[str], unfinished: list[str], files: int) -> None:
-        """Replace one month folder by a copy with its finished loads merged into ``files`` files."""
-        layout = LAYOUTS[table]
-        rows = self._month(table, month)
-        finished = rows.filter(F.col("load_id").isin(ready))
+    def _merge(self, table: str, folders: Collection[str], files: int) -> None:
+        """Replace folders of one month by their merged rows in ``files`` files; other folders stay as they are."""
+        rows = tables.read(self.spark, self.path(table), LAYOUTS[table].schema, folders)
         if table in STATES:
-            finished = STATES[table].collapse(finished)
-        merged = finished.withColumn("load_id", F.lit(MERGED)).select(*rows.columns)
-        staged = tables.staging_path(month)
-        tables.write_clustered(merged, staged, ("load_id",), layout.sort, files)
-        if unfinished:
-            kept = rows.filter(F.col("load_id").isin(unfinished))
-            tables.write_by_partition(kept, staged, ("load_id",), layout.sort)
-        tables.swap_in(self.spark, staged, month)
-
-    def _month(self, table: str, folder: str) -> DataFrame:
-        """One month folder of a table, with its load ids."""
-        fields = [f for f in LAYOUTS[table].schema.fields if f.name != "event_month"]
-        return self.spark.read.schema(T.StructType(fields)).parquet(folder)
+            month = _value(next(iter(folders)), "event_month")
+            rows = STATES[table].collapse(rows.drop("event_month")).withColumn("event_month", self._month_value(month))
+        self._write(table, rows.withColumn("load_id", F.lit(MERGED)), replaces=folders, clustered=True, files=files)
+
+    def _month_value(self, month: str):
+        return F.lit(None if month == "__HIVE_DEFAULT_PARTITION__" else int(month)).cast("int")
+
+    def _month(self, table: str, month: str) -> tuple[DataFrame, list[str]]:
+        """The rows of one month of a table, such as ``event_month=202401``, and the folders that hold them."""
+        own = [f for f in self.folders(table) if f.startswith(f"{month}/")]
+        return tables.read(self.spark, self.path(table), LAYOUTS[table].schema, own), own
 
     def dwh_summary(self) -> DataFrame:
         """Rows of the five warehouse tables, the states counted as merged; an empty fact is a warning."""
@@ -431,35 +482,30 @@ class Warehouse:
         # One row per month of the window.
         months = result.groupBy("event_month").agg(F.count_if("changed").alias("n")).filter("n > 0").collect()
         for row in months:
-            folder = f"{self.path('fact_events')}/event_month={row['event_month']}"
-            rows = self._month("fact_events", folder)
-            renewed = result.filter(F.col("event_month") == row["event_month"]).select(*rows.columns)
-            staged = tables.staging_path(folder)
+            month = self._partition(row, ["event_month"])
+            rows, own = self._month("fact_events", month)
+            renewed = result.filter(F.col("event_month").eqNullSafe(row["event_month"])).select(*rows.columns)
             whole = rows.filter(~open_rows).unionByName(renewed)
-            files = tables.files_for(tables.data_files(self.spark, folder)[1])
-            tables.write_clustered(whole, staged, ("load_id",), LAYOUTS["fact_events"].sort, files)
+            files = tables.files_for(sum(tables.data_files(self.spark, f"{self.path('fact_events')}/{f}")[1] for f in own))
             # Noted first, so that a failure before the states are rebuilt is made good by ``recover``.
-            note = f"{self.root}/{_REPAIRED}/{row['event_month']}"
+            note = f"{self.root}/{_REPAIRED}/{month}"
             tables.make_folder(self.spark, note)
-            tables.swap_in(self.spark, staged, folder)
-            self._rebuild_states(row["event_month"])
+            self._write("fact_events", whole, replaces=own, clustered=True, files=files)
+            self._rebuild_states(month)
             tables.delete(self.spark, note)
         tables.delete(self.spark, looked_up)
         return sum(row["n"] for row in months)
 
-    def _rebuild_states(self, month: int, states: Sequence[str] = tuple(STATES)) -> None:
+    def _rebuild_states(self, month: str, states: Sequence[str] = tuple(STATES)) -> None:
         """States of one month from its finished loads; an unfinished load writes its own when it finishes."""
-        rows = self._month("fact_events", f"{self.path('fact_events')}/event_month={month}")
-        present = [row["load_id"] for row in rows.select("load_id").distinct().collect()]
-        done = self.committed(present) | {MERGED}
+        rows, own = self._month("fact_events", month)
+        done = self.committed(sorted({_value(f, "load_id") for f in own})) | {MERGED}
         finished = rows.filter(F.col("load_id").isin(list(done)))
 
         def rebuild(table: str) -> None:
-            folder = f"{self.path(table)}/event_month={month}"
-            staged = tables.staging_path(folder)
-            partials = STATES[table].build(finished).drop("event_month").withColumn("load_id", F.lit(MERGED))
-            tables.write_clustered(partials, staged, ("load_id",), LAYOUTS[table].sort)
-            tables.swap_in(self.spark, staged, folder)
+            ours = [f for f in self._month(table, month)[1] if _value(f, "load_id") in done]
+            partials = STATES[table].build(finished).withColumn("load_id", F.lit(MERGED))
+            self._write(table, partials, replaces=ours, clustered=True)
 
         side_by_side(rebuild, states)
 

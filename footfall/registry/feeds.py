@@ -11,7 +11,7 @@ from footfall.registry.oracle import BROWSER_COLUMNS, DEVICE_COLUMNS, GEO_COLUMN
 from footfall.schemas import BROWSER, DEVICE, FEEDS, HOURLY_STATE_SCHEMA, Feed
 from footfall.sources import fixtures, messages, tables
 from footfall.streaming.ingest import QUARANTINE, ingest_stream as drain, ingest_topics
-from footfall.streaming.rollup import fact_stream, stream_hourly_rollup as rollup_stream
+from footfall.streaming.rollup import stream_hourly_rollup as rollup_stream
 from footfall.workspace import fresh_folder
 
 BOOK = Book()
@@ -261,10 +261,16 @@ def stream_four_topics(spark, sf_dir):
 
 @query("SELECT event_hour, event_type, cast(sum(total_events) as bigint) as total_events FROM agg_events_hourly GROUP BY ALL")
 def stream_hourly_rollup(spark, sf_dir):
-    """The fact's files streamed into partial states, then merged."""
-    stored = inputs.warehouse(spark, sf_dir).path("fact_events")
+    """Finished loads streamed into partial states, with a compaction between two drains, then merged."""
+    first, second = fixtures.two_batches(spark, sf_dir)
+    wh = inputs.stage_feeds(inputs.new_warehouse(spark, "streamed"), sf_dir, browser=first)
     path = fresh_folder(spark, "stream-rollup")
-    rollup_stream(fact_stream(spark, stored), f"{path}/state", f"{path}/_checkpoints").awaitTermination()
+    wh.load("one", as_of=fixtures.CLOCK)
+    rollup_stream(wh, f"{path}/state", f"{path}/_checkpoints").awaitTermination()
+    wh.stage(BROWSER, second, "second")
+    wh.load("two", as_of=fixtures.CLOCK)
+    wh.compact()
+    rollup_stream(wh, f"{path}/state", f"{path}/_checkpoints").awaitTermination()
     state = tables.read(spark, f"{path}/state", HOURLY_STATE_SCHEMA)
     return state.groupBy("event_hour", "event_type").agg(F.sum("total_events").alias("total_events"))
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from contextlib import suppress
+
 from pyspark.sql import functions as F
 
-from footfall.plans import dims
-from footfall.plans.warehouse import DWH_TABLES, LAYOUTS, STAGING_TABLES, table_counts
+from footfall.plans import dims, lease
+from footfall.plans.warehouse import DWH_TABLES, LAYOUTS, STAGING_TABLES, Warehouse, table_counts
 from footfall.registry import inputs
 from footfall.registry.book import Book
 from footfall.schemas import BROWSER, DEVICE, FACT_COLUMNS
@@ -74,6 +76,45 @@ def compact(spark, sf_dir):
     return table_counts({t: wh.read(t) for t in DWH_TABLES})
 
 
+@query(f"SELECT {', '.join(FACT_COLUMNS)} FROM fact_events")
+def compact_contents(spark, sf_dir):
+    """The fact after two loads, a compaction and a sweep of all that it replaced."""
+    first, second = fixtures.two_batches(spark, sf_dir)
+    wh = inputs.stage_feeds(inputs.new_warehouse(spark, "compact"), sf_dir, browser=first)
+    wh.load("one", as_of=CLOCK)
+    wh.stage(BROWSER, second, "second")
+    wh.load("two", as_of=CLOCK)
+    wh.compact()
+    wh.sweep(older_than=0)
+    return wh.read("fact_events").select(*FACT_COLUMNS)
+
+
+@query(f"SELECT {', '.join(FACT_COLUMNS)} FROM fact_events")
+def overlapping_loads(spark, sf_dir):
+    """The fact after a load that another one ran into, and after one that was taken over and came back too late."""
+    first, second = fixtures.two_batches(spark, sf_dir)
+    wh = inputs.stage_feeds(inputs.new_warehouse(spark, "overlap"), sf_dir, browser=first)
+    batches = wh.load_fact("a", as_of=CLOCK)
+    with suppress(lease.Busy):
+        wh.load("b", as_of=CLOCK)
+    wh.finish_load("a", batches, as_of=CLOCK)
+    wh.stage(BROWSER, second, "second")
+    late = wh.load_fact("c", as_of=CLOCK)
+    Warehouse(spark, wh.root, lease_seconds=0).load_fact("d", as_of=CLOCK)  # takes over, and dies
+    with suppress(lease.Lost):
+        wh.finish_load("c", late, as_of=CLOCK)
+    Warehouse(spark, wh.root, lease_seconds=0).load("e", as_of=CLOCK)
+    return wh.read("fact_events").select(*FACT_COLUMNS)
+
+
+@query(f"SELECT {', '.join(BROWSER.columns)} FROM events_browser_raw WHERE inserted_at >= TIMESTAMP '2024-01-24 00:00:00'")
+def retention_contents(spark, sf_dir):
+    """The rows of one staging table that the clear-out keeps."""
+    wh = inputs.stage_feeds(inputs.new_warehouse(spark, "retention"), sf_dir)
+    wh.retention_delete(CLOCK)
+    return wh.read(BROWSER.table).select(*BROWSER.columns)
+
+
 @query(
     """SELECT 'agg_events_hourly' as table_name, count(*) as rows, 'passed' as status FROM agg_events_hourly UNION ALL
     SELECT 'agg_traffic_sources', count(*), 'passed' FROM agg_traffic_sources UNION ALL

@@ -214,7 +214,7 @@ DIM_GEO_STATE_SCHEMA = _dim_state(GEO_KEYS, GEO_ATTRIBUTES)
 # One row per load whose fact rows and both states are stored in full, with the browser batches it covers.
 LOAD_LOG_SCHEMA = _struct(load_id="string", rows="long", committed_at="timestamp").add(
     "batches", T.ArrayType(T.StringType())
-)
+).add("folders", T.ArrayType(T.StringType()))
 
 # Days kept: staging and warehouse time-to-live, and the shorter staging clear-out after a build.
 STAGING_TTL_DAYS = 90

@@ -1,13 +1,18 @@
-"""Parquet tables by path: typed reads, idempotent appends, clustered writes and staged swaps.
+"""Parquet tables by path: typed reads, plain partition writes, and changes that take effect all at once.
 
-A job never overwrites what it reads. It writes a complete new folder beside the table and swaps it in by
-rename; ``recover`` finishes or undoes a swap that a failure interrupted, and every swap begins with it.
+A job never overwrites what it reads. Each ``put`` writes folders of its own (``version=...`` below the partitions), and
+only the table's pointer, a small numbered file that names the live folders, makes them the table: it is written last,
+under a number nobody else has taken. A job that dies before leaves the table as it was, wherever it dies, and a reader
+never sees half a change. Folders that no pointer names stay for readers that still hold them until ``sweep``.
 """
 
 from __future__ import annotations
 
+import json
+import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Collection, Sequence
+from dataclasses import dataclass
 from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +24,16 @@ from footfall.functions.values import fill_blanks
 
 # Folders whose name starts with an underscore are invisible to Spark's file listing.
 STAGED = "_staged"
-RETIRED = "_retired"
+POINTER = "_pointer"
+
+# The last partition column of every pointed-to folder; readers drop it.
+VERSION = "version"
+
+# A pointer that is still incomplete after so long was left by a writer that died.
+UNWRITTEN_SECONDS = 30
+
+# Pointers kept behind the newest one: whoever read one of them may still read its folders.
+KEPT_POINTERS = 20
 
 # Size of a data file after compaction.
 FILE_BYTES = 128 << 20
@@ -45,12 +59,38 @@ def make_folder(spark: SparkSession, path: str) -> None:
     fs.mkdirs(p)
 
 
-def move(spark: SparkSession, source: str, target: str) -> None:
-    fs, src = _fs(spark, source)
-    _, dst = _fs(spark, target)
-    fs.mkdirs(dst.getParent())
-    if not fs.rename(src, dst):
-        raise OSError(f"cannot move {source} to {target}")
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file unless there is one already; whether this call has written it."""
+    fs, p = _fs(spark, path)
+    try:
+        out = fs.create(p, False)
+    except Exception as error:  # the gateway's error, with the file system's inside
+        if fs.exists(p):
+            return False
+        raise OSError(f"cannot create {path}") from error
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    return True
+
+
+def text_of(spark: SparkSession, path: str) -> str | None:
+    """The content of a small file, or None where there is none."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode("utf-8", "replace")
+    finally:
+        stream.close()
+
+
+def age(spark: SparkSession, path: str) -> float | None:
+    """Seconds since a file or folder was last changed, or None where there is none."""
+    fs, p = _fs(spark, path)
+    return time.time() - fs.getFileStatus(p).getModificationTime() / 1000 if fs.exists(p) else None
 
 
 def subfolders(spark: SparkSession, path: str, pattern: str = "*") -> list[str]:
@@ -78,15 +118,135 @@ def files_for(size: int) -> int:
     return max(1, ceil(size / FILE_BYTES))
 
 
-def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The stored table, its old version while a new one is swapped in, or an empty one where nothing was ever written."""
-    if not exists(spark, path):
-        retired = beside(path, RETIRED)
-        if exists(spark, retired):
-            return spark.read.schema(schema).parquet(retired)
+def touch(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.setTimes(p, int(time.time() * 1000), -1)
+
+
+@dataclass(frozen=True)
+class Snapshot:
+    """One state of a table: the folders that hold it, such as ``event_month=202401/load_id=a/version=...``."""
+
+    number: int
+    folders: tuple[str, ...]
+
+
+def _pointers(spark: SparkSession, path: str) -> list[int]:
+    fs, p = _fs(spark, f"{path}/{POINTER}/*.json")
+    return sorted(int(s.getPath().getName()[: -len(".json")]) for s in fs.globStatus(p) or [])
+
+
+def _pointed(spark: SparkSession, path: str, number: int) -> Snapshot | None:
+    """What a pointer names; None for one whose writer died over it."""
+    try:
+        told = json.loads(text_of(spark, f"{path}/{POINTER}/{number:012d}.json") or "")
+    except ValueError:
+        return None
+    return Snapshot(number, tuple(told["folders"]))
+
+
+def snapshot(spark: SparkSession, path: str) -> Snapshot | None:
+    """The newest complete state of a table, or None of a folder without pointers."""
+    for number in reversed(_pointers(spark, path)):
+        found = _pointed(spark, path, number)
+        if found:
+            return found
+    return None
+
+
+def live(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """The folders that are the table now."""
+    found = snapshot(spark, path)
+    return found.folders if found else ()
+
+
+class Conflict(RuntimeError):
+    """What a job has read and meant to replace was replaced by another meanwhile; nothing was changed."""
+
+
+def commit(
+    spark: SparkSession, path: str, add: Collection[str], drop: Callable[[str], bool], replaces: Collection[str] = ()
+) -> None:
+    """Make ``add`` live and whatever ``drop`` picks not, in one step, after whoever commits at the same time.
+
+    ``replaces`` are folders whose rows are in ``add``: unless all are still live, ``Conflict``.
+    """
+    while True:
+        now = snapshot(spark, path) or Snapshot(0, ())
+        gone = set(replaces)
+        if not gone <= set(now.folders):
+            raise Conflict(f"{path}: {sorted(gone - set(now.folders))[:3]} changed meanwhile")
+        folders = [f for f in now.folders if f not in gone and not drop(f)]
+        numbers = _pointers(spark, path)
+        number = max([now.number, *numbers]) + 1
+        if number > now.number + 1 and (age(spark, f"{path}/{POINTER}/{number - 1:012d}.json") or 0) < UNWRITTEN_SECONDS:
+            time.sleep(0.05)  # somebody is writing the one before
+            continue
+        text = json.dumps({"folders": [*folders, *add]})
+        # a number is taken once; who comes second looks again
+        if now == (snapshot(spark, path) or Snapshot(0, ())) and create_once(spark, f"{path}/{POINTER}/{number:012d}.json", text):
+            for old in numbers[: -KEPT_POINTERS or None]:
+                delete(spark, f"{path}/{POINTER}/{old:012d}.json")
+            return
+
+
+def put(
+    df: DataFrame,
+    path: str,
+    partitions: Sequence[str] = (),
+    sort: Sequence[str] = (),
+    *,
+    drop: Callable[[str], bool] = lambda folder: False,
+    replaces: Collection[str] = (),
+    files: int | None = None,
+    clustered: bool = False,
+) -> list[str]:
+    """Add rows to a table and take folders out of it, in one step; the folders added."""
+    spark, version = df.sparkSession, uuid.uuid4().hex[:12]
+    rows = df.withColumn(VERSION, F.lit(version))
+    write = write_clustered if clustered else write_by_partition
+    write(rows, path, [*partitions, VERSION], sort, **({"files": files} if clustered else {}))
+    pattern = "/".join([*[f"{p}=*" for p in partitions], f"{VERSION}={version}"])
+    added = [_below(path, f) for f in subfolders(spark, path, pattern)]
+    commit(spark, path, added, drop, replaces)
+    return added
+
+
+def _below(path: str, folder: str) -> str:
+    """``folder`` as seen from ``path``; listings name the file system, paths need not."""
+    return folder.split(path.split("://")[-1].rstrip("/") + "/", 1)[1]
+
+
+def sweep(spark: SparkSession, path: str, older_than: float) -> list[str]:
+    """Delete folders that neither the table nor a kept pointer names and that are ``older_than`` seconds old."""
+    numbers = _pointers(spark, path)
+    named = {f for n in numbers for f in (_pointed(spark, path, n) or Snapshot(n, ())).folders}
+    if not numbers:
+        return []
+    now = snapshot(spark, path)
+    swept = []
+    for depth in range(4):
+        for folder in subfolders(spark, path, "/".join([*["*=*"] * depth, f"{VERSION}=*"])):
+            leaf = _below(path, folder)
+            kept = now.folders if now else ()
+            if leaf not in kept and (age(spark, folder) or 0) >= older_than and (leaf not in named or older_than <= 0):
+                delete(spark, folder)
+                swept.append(leaf)
+    return swept
+
+
+def read(spark: SparkSession, path: str, schema: T.StructType, folders: Collection[str] | None = None) -> DataFrame:
+    """The stored table, or only ``folders`` of it; a plain folder of Parquet files; no rows where nothing was written."""
+    if folders is None:
+        found = snapshot(spark, path)
+        if found is None and exists(spark, path):
+            return spark.read.schema(schema).parquet(path)
+        folders = found.folders if found else ()
+    if not folders:
         nothing = spark.range(1).filter(F.lit(False))
         return nothing.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
-    return spark.read.schema(schema).parquet(path)
+    rows = spark.read.schema(schema).option("basePath", path).parquet(*[f"{path}/{f}" for f in folders])
+    return rows.select(*schema.fieldNames())
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -135,18 +295,15 @@ def write_clustered(
     """
     keys = [*partitions, *sort]
     ranged = df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
-    writer = ranged.sortWithinPartitions(*keys).write.mode("overwrite")
+    writer = ranged.sortWithinPartitions(*keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if partitions:
         writer = writer.partitionBy(*partitions)
     writer.parquet(path)
 
 
-def append_batch(df: DataFrame, path: str, schema: T.StructType, partitions: Sequence[str] = ()) -> None:
+def append_batch(df: DataFrame, path: str, schema: T.StructType, partitions: Sequence[str] = ()) -> list[str]:
     """Insert rows by column name into a table of ``schema``."""
-    writer = conform(df, schema).write.mode("append")
-    if partitions:
-        writer = writer.partitionBy(*partitions)
-    writer.parquet(path)
+    return put(conform(df, schema), path, partitions)
 
 
 def beside(path: str, kind: str) -> str:
@@ -155,45 +312,12 @@ def beside(path: str, kind: str) -> str:
 
 
 def staging_path(path: str) -> str:
-    """Where to write a new version of ``path`` before swapping it in."""
+    """A folder for what a job needs on the way to a new version of ``path``."""
     return f"{beside(path, STAGED)}-{uuid.uuid4().hex[:12]}"
 
 
-def swap_in(spark: SparkSession, staged: str, path: str) -> None:
-    """Replace the folder ``path`` by the complete folder ``staged``.
-
-    What an earlier swap retired may be the only copy, so that swap is finished or undone first.
-    """
-    recover(spark, path)
-    retired = beside(path, RETIRED)
-    if exists(spark, path):
-        move(spark, path, retired)
-    move(spark, staged, path)
-    delete(spark, retired)
-
-
-def recover(spark: SparkSession, path: str) -> None:
-    """Undo a swap that stopped after the old folder was retired and before the new one was in place."""
-    retired = beside(path, RETIRED)
-    if not exists(spark, retired):
-        return
-    if exists(spark, path):
-        delete(spark, retired)
-    else:
-        move(spark, retired, path)
-
-
 def truncate_reload(
     df: DataFrame, path: str, schema: T.StructType, partitions: Sequence[str] = (), sort: Sequence[str] = ()
-) -> None:
+) -> list[str]:
     """Replace a table's content; until the new one is complete ``read`` gives the old version."""
-    spark = df.sparkSession
-    staged = staging_path(path)
-    rows = conform(df, schema)
-    if partitions:
-        write_by_partition(rows, staged, partitions, sort)
-    else:
-        rows.write.parquet(staged)
-    if not exists(spark, staged):
-        rows.limit(0).write.parquet(staged)
-    swap_in(spark, staged, path)
+    return put(conform(df, schema), path, partitions, sort, drop=lambda folder: True)

@@ -14,6 +14,7 @@ WRITERS = {  # run their own jobs and read back a table
     "stream_microbatch", "stream_four_topics", "stream_hourly_rollup", "stream_dedup", "rollup_incremental",
     "truncate_reload", "retention_delete", "ttl_expire", "compact", "repair_fact", "backfill_from_files",
     "backfill_from_topics", "append_batch", "month_partitioned_write", "clustered_write",
+    "compact_contents", "overlapping_loads", "retention_contents",
 }
 
 

@@ -9,11 +9,11 @@ from feeds import as_set, event, moment, staged
 from pyspark.sql import functions as F
 
 from footfall.plans.warehouse import Warehouse
-from footfall.schemas import BROWSER, DEVICE, FACT_SCHEMA, FEEDS, HOURLY_STATE_SCHEMA
+from footfall.schemas import BROWSER, DEVICE, FEEDS, HOURLY_STATE_SCHEMA
 from footfall.sources import messages, tables
 from footfall.sources.fixtures import odd_lines
 from footfall.streaming.ingest import QUARANTINE, ingest_stream, ingest_topics
-from footfall.streaming.rollup import fact_stream, stream_hourly_rollup
+from footfall.streaming.rollup import stream_hourly_rollup
 from footfall.workspace import fresh_folder
 
 
@@ -127,27 +127,36 @@ def test_load_audit_warns_of_keyless_records(spark):
     ]
 
 
-def fact_row(spark, event_id, ts, user="u"):
-    frame = staged(spark, BROWSER, [event(event_id, ts=ts)])
-    rows = tables.with_month(frame.withColumn("user_domain_id", F.lit(user)).withColumn("load_id", F.lit("l")))
-    return tables.conform(rows, FACT_SCHEMA)
-
-
-def test_stream_rollup_adds_partials_per_batch(wh):
-    fact, state = wh.path("fact_events"), wh.path("state")
+def test_stream_rollup_adds_each_load_once_whatever_upkeep_does(wh):
+    state = wh.path("state")
+    drain_loads = lambda: stream_hourly_rollup(wh, state, wh.path("_rollup")).awaitTermination()
     for n, ts in enumerate(["2024-01-01 10:05:00", "2024-01-01 10:50:00", "2024-01-01 11:00:00"]):
-        rows = fact_row(wh.spark, str(n), ts)
-        rows.write.mode("append").partitionBy("event_month", "load_id").parquet(fact)
-        stream_hourly_rollup(fact_stream(wh.spark, fact), state, wh.path("_checkpoints")).awaitTermination()
-    partials = tables.read(wh.spark, state, HOURLY_STATE_SCHEMA)
-    assert partials.count() == 3
-    merged = partials.groupBy("event_hour").agg(F.sum("total_events").alias("n"))
+        wh.stage(BROWSER, staged(wh.spark, BROWSER, [event(str(n), ts=ts)]), f"b{n}")
+        wh.load(f"l{n}")
+        if n < 2:
+            drain_loads()
+    wh.compact()  # before the last load has been streamed
+    wh.sweep()
+    drain_loads()
+    wh.compact()
+    drain_loads()
+    merged = tables.read(wh.spark, state, HOURLY_STATE_SCHEMA).groupBy("event_hour").agg(F.sum("total_events").alias("n"))
     assert as_set(merged, "event_hour", "n") == [
         (moment("2024-01-01 10:00:00"), 2),
         (moment("2024-01-01 11:00:00"), 1),
     ]
 
 
+def test_a_half_written_batch_is_not_staged(wh):
+    wh.stage(BROWSER, staged(wh.spark, BROWSER, [event("a")]), "b0")
+    broken = staged(wh.spark, BROWSER, [event("b"), event("c")]).repartition(2)
+    broken = broken.withColumn("event_type", F.when(F.col("event_id") == "c", F.raise_error(F.lit("no"))).otherwise("view").cast("string"))
+    with pytest.raises(Exception, match="no"):
+        wh.stage(BROWSER, broken, "b1")
+    assert wh.open_batches() == ["b0"]
+    assert as_set(wh.read(BROWSER.table), "event_id") == [("a",)]
+
+
 def test_repeats_are_equal_rows_and_updates_are_kept(wh):
     rows = [{"click_id": "c", "os": "old"}, {"click_id": "c", "os": "old"}, {"click_id": "c", "os": "new"}]
     put(wh, "a", [json.dumps(r) for r in rows] + ["[]", "[]"])

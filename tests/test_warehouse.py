@@ -9,14 +9,14 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from footfall.operators import rollups
-from footfall.plans import dims, reports
+from footfall.plans import dims, lease, reports
 from footfall.plans import warehouse as wh_module
 from footfall.plans.fact import fact_events
 from footfall.plans.warehouse import Warehouse
 from footfall.registry.inputs import stage_feeds
 from footfall.schemas import BROWSER, DEVICE, FACT_COLUMNS, FEEDS, HOURLY_KEYS
 from footfall.sources import fixtures, tables
-from footfall.workspace import fresh_folder
+from footfall.workspace import fresh_folder, side_by_side
 
 CLOCK = fixtures.CLOCK
 
@@ -115,6 +115,9 @@ def test_failure_between_fact_and_states_is_made_good(wh, small_dir, full):
 def test_a_dead_load_is_made_good_by_one_of_another_id(wh, small_dir, full):
     stage_feeds(wh, small_dir)
     wh.load_fact("20240131T0015", as_of=CLOCK)  # and then the job dies
+    with pytest.raises(lease.Busy):
+        wh.load("20240131T0030", as_of=CLOCK)  # which nobody can know before its lease is old
+    wh.lease_seconds = 0
     assert wh.load("20240131T0030", as_of=CLOCK) == 1000
     assert (fact_rows(wh), hourly(wh)) == full
     assert {r.load_id for r in wh.read("fact_events").select("load_id").distinct().collect()} == {"20240131T0030"}
@@ -148,13 +151,13 @@ def test_compaction_keeps_every_row_and_merges_states(wh, small_dir, full):
     assert as_set(wh.read("fact_events").select("load_id").distinct(), "load_id") == [("merged",)]
     assert wh.load("two", as_of=CLOCK) == 0
     assert wh.load("four", as_of=CLOCK) == 0
-    for month in tables.subfolders(wh.spark, wh.path("fact_events"), "event_month=*"):
-        assert tables.data_files(wh.spark, month)[0] == 1
+    for folder in wh.folders("fact_events"):
+        assert tables.data_files(wh.spark, f"{wh.path('fact_events')}/{folder}")[0] == 1
 
 
 def test_a_month_is_not_copied_for_a_few_new_files(wh, small_dir, monkeypatch):
     two_loads(wh, small_dir)
-    files, size = tables.data_files(wh.spark, tables.subfolders(wh.spark, wh.path("fact_events"), "event_month=*")[0])
+    files, size = map(sum, zip(*(tables.data_files(wh.spark, f"{wh.path('fact_events')}/{f}") for f in wh.folders("fact_events"))))
     monkeypatch.setattr(tables, "FILE_BYTES", size // 8)
     assert tables.files_for(size) >= 8 > files
     assert not [f for f in wh.compact() if "fact_events" in f]
@@ -162,9 +165,10 @@ def test_a_month_is_not_copied_for_a_few_new_files(wh, small_dir, monkeypatch):
 
 def test_a_compacted_month_has_files_of_the_wanted_size(wh, small_dir, full, monkeypatch):
     two_loads(wh, small_dir)
-    month = tables.subfolders(wh.spark, wh.path("fact_events"), "event_month=*")[0]
-    wh._merge_month("fact_events", month, ["one", "two"], [], 4)
-    assert tables.data_files(wh.spark, month)[0] == 4
+    month = wh.folders("fact_events")[0].split("/")[0]
+    wh._merge("fact_events", [f for f in wh.folders("fact_events") if f.startswith(month)], 4)
+    (merged,) = [f for f in wh.folders("fact_events") if f.startswith(month)]
+    assert tables.data_files(wh.spark, f"{wh.path('fact_events')}/{merged}")[0] == 4
     assert fact_rows(wh) == full[0]
 
 
@@ -193,41 +197,135 @@ def test_repair_that_dies_before_the_states(wh, small_dir, full, monkeypatch):
     assert (fact_rows(wh), hourly(wh)) == full
 
 
-def test_interrupted_swap_is_undone(wh, small_dir):
+def contents(wh):
+    """Every table as rows, the states merged and loads left out."""
+    fact = sorted(map(str, wh.read("fact_events").select(*FACT_COLUMNS).collect()))
+    return fact, hourly(wh), *(sorted(map(str, wh.read(t).drop("load_id").collect())) for t in ("events_browser_raw", "dim_users"))
+
+
+class Died(Exception):
+    pass
+
+
+def stops(monkeypatch, names=("create_once", "delete", "touch", "commit", "write_by_partition", "write_clustered")):
+    """Counts the file operations of ``tables`` from now on; the one with the given number is the last to succeed."""
+    state = {"done": 0, "last": None}
+
+    def wrap(run):
+        def counted(*args, **options):
+            if state["last"] is not None and state["done"] >= state["last"]:
+                raise Died
+            state["done"] += 1
+            return run(*args, **options)
+
+        return counted
+
+    for name in names:
+        monkeypatch.setattr(tables, name, wrap(getattr(tables, name)))
+    return state
+
+
+def test_a_stop_after_any_file_operation_loses_nothing(spark, monkeypatch):
+    """Loads, upkeep and reload, stopped after each of their file operations, then run again and compared by content."""
+    days = ["2023-01-10", "2024-01-02", "2024-01-03"]
+
+    def prepared():
+        wh = Warehouse(spark, fresh_folder(spark, "stops"))
+        for n, day in enumerate(days[:2]):
+            wh.stage(BROWSER, staged(spark, BROWSER, [event(f"{n}{k}", ts=f"{day} 10:00:00", click=f"c{k}") for k in range(3)]), f"b{n}")
+        wh.stage(DEVICE, staged(spark, DEVICE, [{"click_id": "c1", "user_domain_id": "u"}]), "b")
+        wh.load("one", as_of=CLOCK)
+        wh.stage(BROWSER, staged(spark, BROWSER, [event("x", ts=f"{days[2]} 10:00:00")]), "b2")
+        return wh
+
+    def work(wh):
+        wh.load("two", as_of=CLOCK)
+        wh.rebuild_dims()
+        wh.compact()
+        wh.backfill(DEVICE, staged(spark, DEVICE, [{"click_id": "c2", "user_domain_id": "v"}]))
+        wh.ttl_expire("2024-01-05 12:00:00")
+
+    whole = prepared()
+    with monkeypatch.context() as patch:
+        state = stops(patch)
+        work(whole)
+        operations = state["done"]
+    expected = contents(whole)
+    assert len(expected[0]) == 7 and operations > 25
+    for last in sorted({1, operations // 5, operations // 2, operations * 4 // 5}):
+        wh = prepared()
+        with monkeypatch.context() as patch:
+            state = stops(patch)
+            state["last"] = last
+            with pytest.raises(Died):
+                work(wh)
+        assert len(fact_rows(wh)) in (6, 7)  # readers see one state or the next
+        wh.lease_seconds = 0
+        work(wh)
+        assert contents(wh) == expected, last
+        wh.sweep(older_than=0)
+        assert contents(wh) == expected, last
+
+
+def test_a_load_that_runs_is_not_taken_for_one_that_died(wh, small_dir, full):
     stage_feeds(wh, small_dir)
-    wh.load("all", as_of=CLOCK)
-    wh.rebuild_dims()
-    rows = wh.read("dim_users").count()
-    tables.move(wh.spark, wh.path("dim_users"), tables.beside(wh.path("dim_users"), tables.RETIRED))
-    month = tables.subfolders(wh.spark, wh.path("fact_events"), "event_month=*")[0]
-    tables.move(wh.spark, month, tables.beside(month, tables.RETIRED))
-    assert wh.read("fact_events").count() == 0
-    wh.recover()
-    assert wh.read("dim_users").count() == rows
-    assert wh.read("fact_events").count() == 1000
+    batches = wh.load_fact("a", as_of=CLOCK)
+    with pytest.raises(lease.Busy):
+        wh.load_fact("b", as_of=CLOCK)
+    assert wh.finish_load("a", batches, as_of=CLOCK) == 1000
+    assert wh.load("c", as_of=CLOCK) == 0
+    assert (fact_rows(wh), hourly(wh)) == full
 
 
-def test_a_load_after_a_swap_that_died_loses_nothing(wh, small_dir, full):
-    first, second = fixtures.two_batches(wh.spark, small_dir)
-    stage_feeds(wh, small_dir, browser=first)
-    wh.load("one", as_of=CLOCK)
-    month = tables.subfolders(wh.spark, wh.path("fact_events"), "event_month=*")[0]
-    tables.move(wh.spark, month, tables.beside(month, tables.RETIRED))
-    tables.move(wh.spark, wh.path("load_log"), tables.beside(wh.path("load_log"), tables.RETIRED))
-    assert wh.committed(["one"]) == {"one"}
-    wh.stage(BROWSER, second, "second")
-    assert wh.load("two", as_of=CLOCK) == 480
-    wh.recover()
+def test_a_load_that_was_taken_over_is_not_logged(wh, small_dir, full):
+    stage_feeds(wh, small_dir)
+    batches = wh.load_fact("a", as_of=CLOCK)
+    wh.lease_seconds = 0
+    wh.load_fact("b", as_of=CLOCK)  # takes a's lease, discards its rows, and dies
+    with pytest.raises(lease.Lost):
+        wh.finish_load("a", batches, as_of=CLOCK)
+    assert wh.committed(["a", "b"]) == set()
+    assert wh.load("c", as_of=CLOCK) == 1000
+    assert (fact_rows(wh), hourly(wh)) == full
+
+
+def test_a_load_whose_rows_are_gone_is_not_logged(wh, small_dir, full):
+    stage_feeds(wh, small_dir)
+    batches = wh.load_fact("a", as_of=CLOCK)
+    tables.commit(wh.spark, wh.path("fact_events"), (), lambda folder: folder == wh.folders("fact_events")[0])
+    with pytest.raises(wh_module.Incomplete):
+        wh.finish_load("a", batches, as_of=CLOCK)
+    assert wh.load("b", as_of=CLOCK) == 1000
     assert (fact_rows(wh), hourly(wh)) == full
 
 
-def test_a_swap_does_not_delete_the_only_copy(wh):
-    path, new = wh.path("dim_users"), wh.path("new")
-    wh.spark.range(3).write.parquet(tables.beside(path, tables.RETIRED))
-    wh.spark.range(5).write.parquet(new)
-    tables.swap_in(wh.spark, new, path)
-    assert wh.spark.read.parquet(path).count() == 5
-    assert not tables.exists(wh.spark, tables.beside(path, tables.RETIRED))
+def test_commits_at_the_same_time_all_count(spark):
+    path = fresh_folder(spark, "pointer")
+    side_by_side(lambda n: tables.commit(spark, path, [f"version={n}"], lambda folder: False), range(12), at_once=6)
+    assert sorted(tables.live(spark, path)) == sorted(f"version={n}" for n in range(12))
+    with pytest.raises(tables.Conflict):
+        tables.commit(spark, path, ["version=x"], lambda folder: False, ["version=1", "version=gone"])
+    assert "version=x" not in tables.live(spark, path)
+
+
+def test_a_pointer_whose_writer_died_is_passed_over(spark, monkeypatch):
+    path = fresh_folder(spark, "pointer")
+    tables.commit(spark, path, ["version=a"], lambda folder: False)
+    tables.create_once(spark, f"{path}/{tables.POINTER}/{2:012d}.json", '{"fold')
+    assert tables.live(spark, path) == ("version=a",)
+    monkeypatch.setattr(tables, "UNWRITTEN_SECONDS", 0)
+    tables.commit(spark, path, ["version=b"], lambda folder: False)
+    assert tables.live(spark, path) == ("version=a", "version=b")
+
+
+def test_readers_keep_what_was_replaced_until_it_is_swept(wh, small_dir):
+    two_loads(wh, small_dir)
+    held = wh.read("fact_events")
+    wh.compact()
+    assert held.count() == 1000
+    assert wh.sweep() == []
+    assert wh.sweep(older_than=0)
+    assert wh.read("fact_events").count() == 1000
 
 
 def test_a_batch_staged_again_after_midnight_counts_once(wh):
