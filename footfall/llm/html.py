@@ -425,8 +425,18 @@ def _paragraph_words(html: str) -> tuple[str, ...]:
 
 
 def train(pages: DataFrame, at_most: int = SAMPLE_PAGES) -> Trees:
-    """Fits to layouts filled with paragraphs of at most ``at_most`` pages, chosen by a hash of their ids."""
-    rows = pages.where(F.col("html").isNotNull()).orderBy(F.xxhash64("page_id"), "page_id", F.xxhash64("html")).limit(at_most).select("html").collect()
+    """Fits to layouts filled with paragraphs of at most ``at_most`` pages, chosen by a hash of their ids.
+
+    The choice is made without the pages; only those chosen, each once if it is repeated, go to the driver. Null pages
+    take no part. An empty table gives a model, too.
+    """
+    keyed = pages.where(F.col("html").isNotNull()).select(
+        F.xxhash64("page_id").alias("place"), F.col("page_id").alias("own"), F.xxhash64("html").alias("digest"), "html"
+    )
+    order = ["place", "own", "digest"]
+    chosen = keyed.select(*order).distinct().orderBy(*order).limit(at_most).withColumnsRenamed({c: f"chosen_{c}" for c in order})
+    same = (F.col("own").eqNullSafe(F.col("chosen_own"))) & (F.col("digest") == F.col("chosen_digest"))
+    rows = keyed.join(F.broadcast(chosen), same, "left_semi").dropDuplicates(order).orderBy(*order).collect()
     return fit([t[:2000] for r in rows for t in _paragraph_words(r.html)][: 50 * at_most])
 
 

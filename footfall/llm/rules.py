@@ -230,4 +230,5 @@ def judged(counted: DataFrame, rules: list[tuple[Condition, ...]]) -> DataFrame:
         base.alias("base_failed"),
         rejects(rules, measures()).alias("rule"),
     )
-    return told.withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0))
+    counts = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    return told.select(*counts, (~F.col("base_failed") & (F.col("rule") == 0)).alias("kept"), "rule")

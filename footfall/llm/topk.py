@@ -153,7 +153,8 @@ def search(q_ids: np.ndarray, q: np.ndarray, d_ids: np.ndarray, d: np.ndarray, k
 
 def _centres(rows: DataFrame, dims: int) -> np.ndarray:
     """Centres far from one another that cover a bounded sample: the top of the tree."""
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
+    chosen = rows.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(SAMPLE)  # without the vectors
+    sample = rows.join(F.broadcast(chosen), "id", "left_semi").dropDuplicates(["id"]).orderBy(F.xxhash64("id"), "id").collect()
     points = np.array([r.v for r in sample], float).reshape(-1, dims)
     if not len(points):
         return np.zeros((1, dims))

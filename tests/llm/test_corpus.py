@@ -260,3 +260,22 @@ def test_the_draw_is_the_definition(docs, empty, shipped, texts):
     assert Counter(tuple(r) for r in found) == Counter(map(tuple, rows))
     assert importance.resample(empty, target).count() == 0
     assert importance.resample(docs, empty).count() == len(texts)
+
+
+def test_page_model_takes_nulls_repeats_and_empty_tables(shipped):
+    from footfall.llm import html
+
+    page = "<html><body><nav><a href='/'>Home</a></nav><article><p>%s</p></article><footer>About us</footer></body></html>"
+    text = "A sentence of the article that is long enough to be one of its paragraphs, number %d. It goes on for a while."
+    rows = [(i, f"u{i}", page % (text % i), "x") for i in range(30)] + [(None, None, None, "x"), (31, "e", "", "x"), *[(7, "u7", page % (text % 7), "x")] * 20]
+    pages = shipped.createDataFrame(rows, "page_id long, url string, html string, place string")
+    model = html.train(pages)
+    found = html.extract(pages, model).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        assert r.n_chars == len(r.text)
+        if r.page_id is None or r.page_id == 31:
+            assert r.text == ""
+    right = sum(r.text == text % r.page_id for r in found if r.url and r.page_id != 31)
+    assert right >= 40  # of 50
+    assert html.extract(pages.limit(0), html.train(pages.limit(0))).count() == 0
