@@ -46,12 +46,18 @@ def filter_bool_pair(
 
 
 def dashboard_filters(df: DataFrame, filters: Mapping[str, str | Iterable[str]] | None = None) -> DataFrame:
-    """Narrow a report to given values of the four dashboard columns; no filters keep every row."""
+    """Narrow a report to given values of the four dashboard columns; no filters keep every row.
+
+    Stored states lack some of the columns: a filter on one of those is an error that names it, to be asked of the fact.
+    """
     if not filters:
         return df
     unknown = set(filters) - set(DASHBOARD_COLUMNS)
     if unknown:
         raise ValueError(f"not a dashboard filter: {sorted(unknown)}")
+    lacking = set(filters) - set(df.columns)
+    if lacking:
+        raise ValueError(f"{sorted(lacking)} not kept in these rows; filter a report over the fact")
     conditions = [
         F.col(column).isin([wanted] if isinstance(wanted, str) else list(wanted))
         for column, wanted in filters.items()

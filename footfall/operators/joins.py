@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions.values import fill_blanks
@@ -69,7 +71,32 @@ def orphans_device(device: DataFrame, fact: DataFrame) -> DataFrame:
 
 
 def orphan_count(rows: DataFrame, fact: DataFrame, key: str) -> DataFrame:
-    """How many ``rows`` have a key the fact lacks: counted per key before the join, so no key is heavy."""
-    per_key = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    missing = per_key.join(fact.select(key).distinct(), key, "left_anti")
-    return missing.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("count"))
+    """How many ``rows`` have a key the fact lacks; a row without a key has none there.
+
+    Both sides are counted per key in one aggregation, so there is one shuffle, no join, and no key is heavy.
+    """
+    per_key = tallies([(rows, key, "staged", key), (fact, key, "loaded", key)], ("staged", "loaded"))
+    return per_key.agg(F.coalesce(F.sum(unmatched()), F.lit(0)).alias("count"))
+
+
+def tallies(parts: Sequence[tuple[DataFrame, str, str, str]], sides: Sequence[str]) -> DataFrame:
+    """``kind``, ``id`` and how often each of ``sides`` holds it, in one aggregation over all ``parts``.
+
+    A part is a frame, the column that holds its ids, the side it counts for, and the kind of its ids. Parts of the same
+    frame and side are read in one scan.
+    """
+    frames: dict[tuple[int, str], tuple[DataFrame, str, list[Column]]] = {}
+    for df, ids, side, kind in parts:
+        entry = frames.setdefault((id(df), side), (df, side, []))
+        entry[2].append(F.struct(F.lit(kind).alias("kind"), F.col(ids).cast("string").alias("id")))
+    rows = None
+    for df, side, keys in frames.values():
+        one = df.select(F.inline(F.array(*keys))) if len(keys) > 1 else df.select(keys[0].alias("k")).select("k.*")
+        one = one.select("kind", "id", *[F.lit(int(s == side)).cast("long").alias(s) for s in sides])
+        rows = one if rows is None else rows.unionByName(one)
+    return rows.groupBy("kind", "id").agg(*[F.sum(s).alias(s) for s in sides])
+
+
+def unmatched() -> Column:
+    """Staged rows of one tally whose id the fact lacks."""
+    return F.when((F.col("loaded") == 0) | F.col("id").isNull(), F.col("staged")).otherwise(F.lit(0))

@@ -11,7 +11,7 @@ from footfall.functions.clock import age_hours
 from footfall.functions.values import is_blank
 from footfall.operators.dedup import key_counts
 from footfall.operators.filters import contradicts
-from footfall.operators.joins import orphan_count
+from footfall.operators.joins import orphan_count, tallies, unmatched
 
 # Hours before data counts as stale, reported duplicate keys and samples, tolerated issues.
 STALE_HOURS = 2
@@ -117,7 +117,7 @@ def dq_device_consistency(fact: DataFrame) -> DataFrame:
 def dq_report(tables: Mapping[str, DataFrame], as_of=None) -> DataFrame:
     """All checks as (check_name, object, count, status) and a summary row with the number of issues.
 
-    Checks of the fact's own columns share one scan.
+    Checks of the fact's own columns share one scan, and repeated and orphaned keys one aggregation over all ids.
     """
     fact, users = tables["fact_events"], tables["dim_users"]
     scan = fact.agg(
@@ -146,17 +146,38 @@ def dq_report(tables: Mapping[str, DataFrame], as_of=None) -> DataFrame:
 
     warn = _status(F.col("count"))
     blank_users = users.agg(F.count_if(is_blank(users, "user_domain_id")).alias("count"))
-    repeated = key_counts(fact, "event_id").agg(F.count(F.lit(1)).alias("count"))
-    failed = F.when(F.col("count") > 0, "failed").otherwise("passed")
-    browser = orphan_count(tables["events_browser_raw"], fact, "event_id")
-    device = orphan_count(tables["events_device_raw"], fact, "click_id")
-    checks = (
-        checks.unionByName(labelled(blank_users, "null_user_domain_id", "dim_users", warn))
-        .unionByName(labelled(repeated, "duplicate_event_ids", "fact_events", failed))
-        .unionByName(labelled(browser, "browser_events_orphaned", "events_browser_raw", warn))
-        .unionByName(labelled(device, "device_events_orphaned", "events_device_raw", warn))
+    checks = checks.unionByName(labelled(blank_users, "null_user_domain_id", "dim_users", warn))
+    return _scored(checks.unionByName(_key_checks(fact, tables["events_browser_raw"], tables["events_device_raw"])))
+
+
+def _key_checks(fact: DataFrame, browser: DataFrame, device: DataFrame) -> DataFrame:
+    """Repeated event ids of the fact and staged keys that it lacks: three scans, one shuffle of ids."""
+    per_key = tallies(
+        [
+            (fact, "event_id", "loaded", "event"),
+            (fact, "click_id", "loaded", "click"),
+            (browser, "event_id", "staged", "event"),
+            (device, "click_id", "staged", "click"),
+        ],
+        ("loaded", "staged"),
     )
-    return _scored(checks)
+    event = F.col("kind") == "event"
+    counts = per_key.agg(
+        F.count_if(event & (F.col("loaded") > 1)).alias("repeated"),
+        F.coalesce(F.sum(F.when(event, unmatched())), F.lit(0)).alias("browser"),
+        F.coalesce(F.sum(F.when(~event, unmatched())), F.lit(0)).alias("device"),
+    )
+    failed = F.when(F.col("repeated") > 0, "failed").otherwise("passed")
+    rows = [
+        ("duplicate_event_ids", "fact_events", "repeated", failed),
+        ("browser_events_orphaned", "events_browser_raw", "browser", _status(F.col("browser"))),
+        ("device_events_orphaned", "events_device_raw", "device", _status(F.col("device"))),
+    ]
+    line = [
+        F.struct(F.lit(n).alias("check_name"), F.lit(t).alias("object"), F.col(c).alias("count"), s.alias("status"))
+        for n, t, c, s in rows
+    ]
+    return counts.select(F.inline(F.array(*line)))
 
 
 def _scored(checks: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from footfall import schemas
 from footfall.functions.clock import before, event_month, moment
 from footfall.operators import rollups
-from footfall.operators.dedup import latest_per_key
+from footfall.operators.dedup import key_counts, latest_per_key
 from footfall.operators.joins import matching
 from footfall.plans import dims, lease
 from footfall.plans.fact import fact_events, lacks_side, repair_fact
@@ -92,6 +92,7 @@ LAYOUTS: dict[str, Layout] = {
     ),
     "dim_geo_state": Layout(schemas.DIM_GEO_STATE_SCHEMA, schemas.FACT_PARTITIONS, tuple(schemas.GEO_KEYS)),
     "load_log": Layout(schemas.LOAD_LOG_SCHEMA),
+    "ingest_log": Layout(schemas.INGEST_LOG_SCHEMA, schemas.INGEST_LOG_PARTITIONS),
 }
 
 STAGING_TABLES = tuple(feed.table for feed in schemas.FEEDS.values())
@@ -172,6 +173,15 @@ class Warehouse:
         same = lambda folder: _value(folder, "batch_id") == batch_id
         tables.put(rows, self.path(feed.table), feed.partitions, feed.sort, drop=same)
 
+    def log_batch(self, feed: schemas.Feed, counts: DataFrame, batch_id: str, run_id: str) -> None:
+        """Enter a micro-batch's counts, one row, into the ingest log; the same batch again replaces its entry."""
+        entry = counts.withColumns({"topic": F.lit(feed.topic), "batch_id": F.lit(_checked_id(batch_id))})
+        entry = entry.withColumns({"run_id": F.lit(run_id), "stored_at": F.current_timestamp()})
+        mine = f"topic={feed.topic}/batch_id={batch_id}/"
+        layout = LAYOUTS["ingest_log"]
+        rows = tables.conform(entry, layout.schema)
+        tables.put(rows, self.path("ingest_log"), layout.partitions, drop=lambda folder: folder.startswith(mine))
+
     def backfill(self, feed: schemas.Feed, records: DataFrame, as_of=None) -> None:
         """Replace a staging table by ``records``, as a batch no load has covered."""
         rows = self._staged_rows(feed, records, f"backfill-{uuid4().hex[:12]}", as_of)
@@ -424,12 +434,29 @@ class Warehouse:
                 rows = latest_per_key(self.read(table), key, version) if version else self.read(table)
                 tables.truncate_reload(rows.sort(key), self.path(table), LAYOUTS[table].schema)
                 rewritten.append(self.path(table))
+        self._merge_ingest_log(max_files)
         log = self.folders("load_log")
         if self._scattered("load_log", log, max_files):
             rows = tables.read(self.spark, self.path("load_log"), schemas.LOAD_LOG_SCHEMA, log)
             tables.put(rows.coalesce(1), self.path("load_log"), replaces=log)
         return rewritten
 
+    def _merge_ingest_log(self, max_files: int) -> None:
+        """Sum the entries of the ingest log by run, but for each topic's last batch, which alone may come again."""
+        folders = self.folders("ingest_log")
+        last: dict[str, int] = {}
+        for folder in folders:
+            if _value(folder, "batch_id") != MERGED:
+                topic = _value(folder, "topic")
+                last[topic] = max(last.get(topic, -1), int(_value(folder, "batch_id")))
+        old = [f for f in folders if _value(f, "batch_id") != str(last.get(_value(f, "topic")))]
+        if len(old) <= max(max_files, len(last)):
+            return
+        rows = tables.read(self.spark, self.path("ingest_log"), schemas.INGEST_LOG_SCHEMA, old)
+        sums = [F.sum(c).alias(c) for c in ("consumed", "inserted", "failed", "skipped")]
+        merged = rows.groupBy("topic", "run_id").agg(*sums, F.max("stored_at").alias("stored_at"))
+        self._write("ingest_log", merged.withColumn("batch_id", F.lit(MERGED)), replaces=old)
+
     def _compact_month(self, table: str, month: str, live: Collection[str], max_files: int) -> bool:
         own = [f for f in live if f.startswith(f"{month}/")]
         loads = {_value(f, "load_id") for f in own}
@@ -496,10 +523,58 @@ class Warehouse:
         tables.delete(self.spark, looked_up)
         return sum(row["n"] for row in months)
 
+    def deduplicate(self, table: str = "fact_events", key: str = "event_id", version: str = "created_at") -> int:
+        """Keep one row per key of a stored table, that of the highest ``version``, ties broken by the other columns;
+        rows without a key stay. The number of rows taken out.
+
+        Keys are counted in one pass over one column. Only partitions that hold a repeated key are written anew, all of
+        them in one step, and the states of their months after them. Rows of loads that are not finished are left alone.
+        """
+        layout, path = LAYOUTS[table], self.path(table)
+        own = list(self.folders(table))
+        loaded = "load_id" in layout.partitions
+        if loaded:
+            done = self.committed(sorted({_value(f, "load_id") for f in own})) | {MERGED}
+            own = [f for f in own if _value(f, "load_id") in done]
+        rows = tables.read(self.spark, path, layout.schema, own)
+        known = F.coalesce(F.col(key).cast("string"), F.lit("")) != ""
+        looked_up = tables.staging_path(path)
+        key_counts(rows.select(key).filter(known), key).write.parquet(looked_up)
+        keys = T.StructType([layout.schema[key], T.StructField("cnt", T.LongType())])
+        repeated = tables.read(self.spark, looked_up, keys)
+        surplus = repeated.agg(F.sum(F.col("cnt") - 1).alias("n")).first()["n"] or 0
+        if surplus:
+            again = rows.join(repeated.select(key), key, "left_semi").select(*rows.columns)
+            # One row per partition folder: bounded by the calendar, the loads and the batches kept.
+            where = again.select(*layout.partitions).distinct().collect()
+            touched = {self._partition(row, layout.partitions) for row in where}
+            stale = [f for f in own if f.rsplit("/", 1)[0] in touched]
+            others = tables.read(self.spark, path, layout.schema, stale).join(repeated.select(key), key, "left_anti")
+            best = latest_per_key(again, key, version)
+            self._change_months(table, others.select(*rows.columns).unionByName(best), stale)
+        tables.delete(self.spark, looked_up)
+        return surplus
+
+    def _change_months(self, table: str, rows: DataFrame, stale: Sequence[str]) -> None:
+        """Replace folders by ``rows``; of the fact, rebuild the states of their months, noted first for ``recover``."""
+        months = sorted({f.split("/", 1)[0] for f in stale}) if table == "fact_events" else []
+        notes = [f"{self.root}/{_REPAIRED}/{month}" for month in months]
+        for note in notes:
+            tables.make_folder(self.spark, note)
+        size = sum(tables.data_files(self.spark, f"{self.path(table)}/{f}")[1] for f in stale)
+        self._write(table, rows, replaces=stale, clustered=True, files=max(len(stale), tables.files_for(size)))
+        for month, note in zip(months, notes):
+            self._rebuild_states(month)
+            tables.delete(self.spark, note)
+
     def _rebuild_states(self, month: str, states: Sequence[str] = tuple(STATES)) -> None:
-        """States of one month from its finished loads; an unfinished load writes its own when it finishes."""
+        """States of one month from its finished loads; an unfinished load writes its own when it finishes.
+
+        A load whose last event of the month is gone is named by its states alone, which go too.
+        """
         rows, own = self._month("fact_events", month)
-        done = self.committed(sorted({_value(f, "load_id") for f in own})) | {MERGED}
+        held = [*own, *[f for table in states for f in self.folders(table) if f.startswith(f"{month}/")]]
+        done = self.committed(sorted({_value(f, "load_id") for f in held})) | {MERGED}
         finished = rows.filter(F.col("load_id").isin(list(done)))
 
         def rebuild(table: str) -> None:

@@ -153,10 +153,13 @@ def stamp_insert_time(spark, sf_dir):
     return tables.stamp_insert_time(records, fixtures.CLOCK)
 
 
-@query()
+@query("SELECT least(10, count(*)) as messages, least(10, count(*)) as of_the_topic FROM events_browser_raw")
 def peek_topic(spark, sf_dir):
-    """Ten messages as they come; which ones is not defined."""
-    return messages.peek(messages.read_lines(spark, inputs.topics(spark, sf_dir)["browser"]))
+    """Ten messages as they come; which ones is not defined, but all are messages of the topic."""
+    lines = messages.read_lines(spark, inputs.topics(spark, sf_dir)["browser"])
+    known = lines.distinct().withColumn("known", F.lit(True))
+    peeked = messages.peek(lines).join(known, "value", "left")
+    return peeked.agg(F.count(F.lit(1)).alias("messages"), F.count_if("known").alias("of_the_topic"))
 
 
 @query(
@@ -174,14 +177,36 @@ def load_audit(spark, sf_dir):
 
 @query(
     f"""SELECT coalesce(topic, 'TOTAL') as topic, cast(sum(n + {_ODD_RECORDS + _SKIPPED}) as bigint) as consumed,
-    cast(sum(n + {_ODD_RECORDS}) as bigint) as inserted, 'ok' as status
+    cast(sum(n + {_ODD_RECORDS}) as bigint) as inserted, cast(0 as bigint) as failed,
+    cast(sum({_SKIPPED}) as bigint) as skipped, 'ok' as status
     FROM ({_TOPIC_COUNTS}) GROUP BY ROLLUP (topic)"""
 )
 def ingest_audit(spark, sf_dir):
-    wh = _drain_bad_topics(spark, sf_dir, "ingest-audit")
+    """What one run took in, by its entries in the ingest log, after staging has been cleared and the log merged."""
+    wh = inputs.new_warehouse(spark, "ingest-audit")
     paths = inputs.bad_topics(spark, sf_dir)
-    consumed = {name: messages.read_lines(spark, path) for name, path in paths.items()}
-    return messages.ingest_audit(consumed, {name: wh.read(feed.table) for name, feed in FEEDS.items()})
+    lines = {n: messages.read_lines(spark, path, stream=True, files_per_batch=3) for n, path in paths.items()}
+    run = ingest_topics(lines, wh, f"{wh.root}/_checkpoints", as_of=fixtures.CLOCK)
+    wh.retention_delete("2024-06-01 00:00:00")
+    wh.compact()
+    return messages.ingest_audit(wh.read("ingest_log"), FEEDS, run)
+
+
+@query(
+    """SELECT 'browser_events' as topic, count(*) as sent, cast(count_if(event_id = '') as bigint) as keyless FROM null_keys
+    UNION ALL SELECT 'device_events', count(*), 0 FROM events_device_raw UNION ALL
+    SELECT 'geo_events', count(*), 0 FROM events_geo_raw UNION ALL
+    SELECT 'location_events', count(*), 0 FROM events_location_raw"""
+)
+def publish_counts(spark, sf_dir):
+    """What a run of publishing has sent, some events of which have lost their id."""
+    root, counts = fresh_folder(spark, "published"), []
+    for name, build in fixtures.FEED_BUILDERS.items():
+        rows = fixtures.null_keys(spark, sf_dir) if name == "browser" else build(spark, sf_dir)
+        sent = messages.publish_lines(rows, FEEDS[name], f"{root}/{name}")
+        counts.append(F.struct(F.lit(FEEDS[name].topic).alias("topic"), F.lit(sent.sent).cast("long").alias("sent"),
+                               F.lit(sent.keyless).cast("long").alias("keyless")))
+    return spark.range(1).select(F.inline(F.array(*counts)))
 
 
 @query(

@@ -6,11 +6,13 @@ from contextlib import suppress
 
 from pyspark.sql import functions as F
 
+from footfall.operators import rollups
 from footfall.plans import dims, lease
-from footfall.plans.warehouse import DWH_TABLES, LAYOUTS, STAGING_TABLES, Warehouse, table_counts
+from footfall.plans.warehouse import DWH_TABLES, LAYOUTS, STAGING_TABLES, Warehouse, summary, table_counts
 from footfall.registry import inputs
 from footfall.registry.book import Book
-from footfall.schemas import BROWSER, DEVICE, FACT_COLUMNS
+from footfall.registry.oracle import USERS
+from footfall.schemas import BROWSER, DEVICE, FACT_COLUMNS, HOURLY_KEYS
 from footfall.sources import fixtures, tables
 from footfall.sources.fixtures import CLOCK
 from footfall.workspace import fresh_folder
@@ -44,18 +46,54 @@ def retention_delete(spark, sf_dir):
 
 _TTL_CLOCK = "2024-04-15 12:00:00"
 _TTL_STAGING = "2024-01-16 12:00:00"
+# 365 days after a midnight of the data.
+_TTL_WAREHOUSE_CLOCK = "2025-01-15 00:00:00"
+_TTL_WAREHOUSE = "2024-01-16 00:00:00"
+_LIVING = f"(SELECT * FROM fact_events WHERE event_timestamp >= TIMESTAMP '{_TTL_WAREHOUSE}')"
 
 
 @query(
     _kept("events_browser_raw", _TTL_STAGING, "event_timestamp")
     + " UNION ALL "
     + " UNION ALL ".join(_kept(t, _TTL_STAGING, "inserted_at") for t in STAGING_TABLES[1:])
+    + " UNION ALL "
+    + " UNION ALL ".join(
+        _kept(t, _TTL_WAREHOUSE, column)
+        for t, column in (("fact_events", "event_timestamp"), ("agg_events_hourly", "event_hour"), ("agg_traffic_sources", "date"))
+    )
+    + f" UNION ALL SELECT 'dim_users', count(*) FROM ({USERS.format(fact=_LIVING)})"
 )
 def ttl_expire(spark, sf_dir):
-    """Staging at a clock 90 days after the middle of its data."""
+    """Staging at a clock 90 days after the middle of its data; fact, states and dimensions 365 days after."""
     wh = inputs.stage_feeds(inputs.new_warehouse(spark, "ttl"), sf_dir)
+    wh.load("one", as_of=CLOCK)
     wh.ttl_expire(_TTL_CLOCK)
-    return table_counts({t: wh.read(t) for t in STAGING_TABLES})
+    staging = table_counts({t: wh.read(t) for t in STAGING_TABLES})  # of the folders that are live now
+    wh.ttl_expire(_TTL_WAREHOUSE_CLOCK)
+    wh.rebuild_dims()
+    kept = summary({t: wh.read(t) for t in DWH_TABLES if t != "dim_geo"})
+    return staging.unionByName(kept.select("table_name", "rows"))
+
+
+@query(f"SELECT {', '.join(FACT_COLUMNS)} FROM fact_events")
+def dedup_stored(spark, sf_dir):
+    """A stored fact with repeated deliveries in it, deduplicated in place."""
+    wh = inputs.stage_feeds(inputs.new_warehouse(spark, "dedup"), sf_dir, browser=fixtures.browser_dup(spark, sf_dir))
+    wh.load("one", dedup=False, as_of=CLOCK)
+    wh.deduplicate("fact_events", "event_id")
+    return wh.read("fact_events").select(*FACT_COLUMNS)
+
+
+@query(
+    """SELECT event_hour, event_type, browser_name, device_type, geo_country, utm_source, utm_campaign, total_events
+    FROM agg_events_hourly"""
+)
+def dedup_stored_states(spark, sf_dir):
+    """The hourly aggregate after repeats have been taken out of the fact."""
+    wh = inputs.stage_feeds(inputs.new_warehouse(spark, "dedup"), sf_dir, browser=fixtures.browser_dup(spark, sf_dir))
+    wh.load("one", dedup=False, as_of=CLOCK)
+    wh.deduplicate("fact_events", "event_id")
+    return rollups.merge(wh.read("agg_events_hourly"), HOURLY_KEYS).select(*HOURLY_KEYS, "total_events")
 
 
 @query(

@@ -216,6 +216,13 @@ LOAD_LOG_SCHEMA = _struct(load_id="string", rows="long", committed_at="timestamp
     "batches", T.ArrayType(T.StringType())
 ).add("folders", T.ArrayType(T.StringType()))
 
+# One row per micro-batch of a topic: what it consumed and what became of it. Old ones are summed by run.
+INGEST_LOG_SCHEMA = _struct(
+    run_id="string", consumed="long", inserted="long", failed="long", skipped="long", stored_at="timestamp",
+    topic="string", batch_id="string",
+)
+INGEST_LOG_PARTITIONS = ("topic", "batch_id")
+
 # Days kept: staging and warehouse time-to-live, and the shorter staging clear-out after a build.
 STAGING_TTL_DAYS = 90
 WAREHOUSE_TTL_DAYS = 365

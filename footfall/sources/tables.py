@@ -9,6 +9,7 @@ never sees half a change. Folders that no pointer names stay for readers that st
 from __future__ import annotations
 
 import json
+import os
 import time
 import uuid
 from collections.abc import Callable, Collection, Sequence
@@ -62,6 +63,8 @@ def make_folder(spark: SparkSession, path: str) -> None:
 def create_once(spark: SparkSession, path: str, text: str) -> bool:
     """Write a small file unless there is one already; whether this call has written it."""
     fs, p = _fs(spark, path)
+    if fs.getUri().getScheme() == "file":
+        return _link_once(p.toUri().getPath(), text)
     try:
         out = fs.create(p, False)
     except Exception as error:  # the gateway's error, with the file system's inside
@@ -75,6 +78,22 @@ def create_once(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+def _link_once(path: str, text: str) -> bool:
+    """``create_once`` on a local disk, where Hadoop's exclusive create looks first and writes later, so that two writers
+    may both succeed: a file written beforehand gets its name in one step, if nobody has it."""
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    draft = f"{os.path.dirname(path)}/.{uuid.uuid4().hex}"
+    with open(draft, "w", encoding="utf-8") as out:
+        out.write(text)
+    try:
+        os.link(draft, path)
+    except FileExistsError:
+        return False
+    finally:
+        os.unlink(draft)
+    return True
+
+
 def text_of(spark: SparkSession, path: str) -> str | None:
     """The content of a small file, or None where there is none."""
     fs, p = _fs(spark, path)

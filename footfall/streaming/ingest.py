@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from uuid import uuid4
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from footfall.plans.warehouse import Warehouse
 from footfall.schemas import FEEDS, Feed
 from footfall.sources import tables
-from footfall.sources.messages import accepted, parse_lines, quarantined
+from footfall.sources.messages import accepted, outcome_counts, parse_lines, quarantined
 
 QUARANTINE = "quarantine"
 
@@ -34,12 +35,15 @@ def ingest_stream(
     *,
     as_of=None,
     dedup_within: str | None = None,
+    run_id: str | None = None,
 ) -> StreamingQuery:
     """Drain what a topic holds into its staging table, and lines that cannot be loaded into quarantine.
 
     The checkpoint is the consumer's position. A micro-batch repeated after a failure replaces its own
     partitions, so no failure stores a message twice. Checkpoint and tables belong together: reset both or neither.
+    Each batch enters the ingest log under ``run_id`` with its counts; repeats that ``dedup_within`` drops are in none.
     """
+    run_id = run_id or uuid4().hex[:12]
     parsed = tables.stamp_insert_time(parse_lines(lines, feed), as_of)
     if dedup_within:
         parsed = drop_repeats(parsed, feed, dedup_within)
@@ -51,6 +55,8 @@ def ingest_stream(
             warehouse.stage(feed, accepted(batch, feed, keep=["inserted_at"]), str(batch_id))
             rejected = quarantined(batch, feed).withColumn("batch_id", F.lit(str(batch_id)))
             tables.write_by_partition(rejected, warehouse.path(QUARANTINE), ["topic", "batch_id"])
+            # Counted over the stored parse, not observed in the write: a map task that runs again would count twice.
+            warehouse.log_batch(feed, batch.agg(*outcome_counts("consumed")), str(batch_id), run_id)
         finally:
             batch.unpersist()
 
@@ -58,8 +64,10 @@ def ingest_stream(
     return writer.option("checkpointLocation", f"{checkpoint}/{feed.topic}").foreachBatch(store).start()
 
 
-def ingest_topics(sources: Mapping[str, DataFrame], warehouse: Warehouse, checkpoint: str, **options) -> None:
-    """Drain several topics at the same time and wait for all of them."""
+def ingest_topics(sources: Mapping[str, DataFrame], warehouse: Warehouse, checkpoint: str, **options) -> str:
+    """Drain several topics at the same time and wait for all of them; the run's id in the ingest log."""
+    options = {**options, "run_id": options.get("run_id") or uuid4().hex[:12]}
     running = [ingest_stream(lines, FEEDS[name], warehouse, checkpoint, **options) for name, lines in sources.items()]
     for query in running:
         query.awaitTermination()
+    return options["run_id"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 from footfall import registry
-from footfall.plans import reports
+from footfall.plans import quality, reports
 from footfall.registry import inputs
 from footfall.sources.fixtures import CLOCK
 
@@ -14,7 +14,8 @@ WRITERS = {  # run their own jobs and read back a table
     "stream_microbatch", "stream_four_topics", "stream_hourly_rollup", "stream_dedup", "rollup_incremental",
     "truncate_reload", "retention_delete", "ttl_expire", "compact", "repair_fact", "backfill_from_files",
     "backfill_from_topics", "append_batch", "month_partitioned_write", "clustered_write",
-    "compact_contents", "overlapping_loads", "retention_contents",
+    "compact_contents", "overlapping_loads", "retention_contents", "dedup_stored", "dedup_stored_states",
+    "publish_counts",
 }
 
 
@@ -59,3 +60,17 @@ def test_fact_shuffles_each_side_once(spark, small_dir):
 def test_counting_reports_aggregate_before_the_shuffle(spark, small_dir):
     text = plan(reports.campaigns_by_source(inputs.fact(spark, small_dir)))
     assert "partial_count" in text
+
+
+def test_the_quality_report_shuffles_ids_once(spark, small_dir):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        staging, fact = inputs.staging(spark, small_dir), inputs.fact(spark, small_dir)
+        stored = {t: staging.read(t) for t in ("events_browser_raw", "events_device_raw")}
+        users = inputs.warehouse(spark, small_dir).read("dim_users")
+        text = plan(quality.dq_report({"fact_events": fact, "dim_users": users, **stored}, CLOCK))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("FileScan parquet") == 5
+    assert text.count("Exchange hashpartitioning(kind") == 1
+    assert "Join" not in text

@@ -104,18 +104,56 @@ def test_topics_drain_together_and_audit(wh):
         lines = odd_lines(feed) if name != "geo" else []
         wh.spark.createDataFrame([(text,) for text in lines], "value string").write.text(paths[name])
     lines = {name: messages.read_lines(wh.spark, path, stream=True) for name, path in paths.items()}
-    ingest_topics(lines, wh, wh.path("_checkpoints"))
-    audit = messages.ingest_audit(
-        {name: messages.read_lines(wh.spark, path) for name, path in paths.items()},
-        {name: wh.read(feed.table) for name, feed in FEEDS.items()},
-    )
-    assert as_set(audit, "topic", "consumed", "inserted", "status") == [
-        ("TOTAL", 12, 6, "ok"),
-        ("browser_events", 4, 2, "ok"),
-        ("device_events", 4, 2, "ok"),
-        ("geo_events", 0, 0, "no data"),
-        ("location_events", 4, 2, "ok"),
+    first = ingest_topics(lines, wh, wh.path("_checkpoints"))
+    second = ingest_topics(lines, wh, wh.path("_checkpoints"))
+    log, columns = wh.read("ingest_log"), ("topic", "consumed", "inserted", "skipped", "status")
+    assert as_set(messages.ingest_audit(log, FEEDS, first), *columns) == [
+        ("TOTAL", 12, 6, 6, "ok"),
+        ("browser_events", 4, 2, 2, "ok"),
+        ("device_events", 4, 2, 2, "ok"),
+        ("geo_events", 0, 0, 0, "no data"),
+        ("location_events", 4, 2, 2, "ok"),
     ]
+    # nothing new came, and that run says so
+    assert {row["status"] for row in messages.ingest_audit(log, FEEDS, second).collect()} == {"no data"}
+
+
+def test_a_batch_that_comes_again_is_logged_once(wh):
+    counts = wh.spark.sql("select 4L as consumed, 3L as inserted, 0L as failed, 1L as skipped")
+    for batch, run in (("0", "a"), ("1", "a"), ("1", "b")):
+        wh.log_batch(BROWSER, counts, batch, run)
+    assert as_set(wh.read("ingest_log"), "batch_id", "run_id", "consumed") == [("0", "a", 4), ("1", "b", 4)]
+
+
+def test_merging_the_ingest_log_keeps_every_count_and_the_last_batch(wh):
+    counts = wh.spark.sql("select 4L as consumed, 3L as inserted, 0L as failed, 1L as skipped")
+    for batch in range(4):
+        wh.log_batch(BROWSER, counts, str(batch), "a")
+    wh.log_batch(DEVICE, counts, "0", "a")
+    before = as_set(messages.ingest_audit(wh.read("ingest_log"), FEEDS), "topic", "consumed", "inserted", "status")
+    wh.compact()
+    assert as_set(wh.read("ingest_log"), "topic", "batch_id", "consumed") == [
+        ("browser_events", "3", 4),
+        ("browser_events", "merged", 12),
+        ("device_events", "0", 4),
+    ]
+    assert as_set(messages.ingest_audit(wh.read("ingest_log"), FEEDS), "topic", "consumed", "inserted", "status") == before
+
+
+def test_a_topic_comes_in_bounded_batches(wh):
+    for n in range(4):
+        put(wh, f"f{n}", [line(f"{n}-{k}") for k in range(5)])
+    lines = messages.read_lines(wh.spark, wh.path("topic/*"), stream=True, bytes_per_batch=1)
+    ingest_stream(lines, BROWSER, wh, wh.path("_checkpoints")).awaitTermination()
+    assert sorted(row["consumed"] for row in wh.read("ingest_log").collect()) == [5, 5, 5, 5]
+    assert wh.read(BROWSER.table).count() == 20
+
+
+def test_publishing_tells_what_it_sent(wh):
+    rows = staged(wh.spark, BROWSER, [event("1"), event("2"), event("")])
+    assert messages.publish_lines(rows, BROWSER, wh.path("topic/a")) == messages.Published(sent=3, keyless=1)
+    none = messages.publish_lines(rows.filter("false"), BROWSER, wh.path("topic/b"))
+    assert none == messages.Published(sent=0, keyless=0)
 
 
 def test_load_audit_warns_of_keyless_records(spark):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from footfall import workspace
 from footfall.schemas import BROWSER, DEVICE
 from footfall.sources import fixtures, tables
-from footfall.workspace import fresh_folder, shared_root
+from footfall.workspace import fresh_folder, shared_root, side_by_side
 
 
 def test_columns_align_by_name(spark):
@@ -111,3 +111,16 @@ class _Cluster:
 def test_a_cluster_without_a_shared_folder_is_refused():
     with pytest.raises(RuntimeError):
         workspace.shared_root(_Cluster)
+
+
+def test_of_many_writers_at_once_each_commit_counts(spark):
+    path = fresh_folder(spark, "commits")
+    side_by_side(lambda n: tables.commit(spark, path, [f"f{n}"], lambda folder: False), range(24))
+    assert sorted(tables.live(spark, path)) == sorted(f"f{n}" for n in range(24))
+
+
+def test_a_name_is_taken_once(spark):
+    path = f"{fresh_folder(spark, 'once')}/x.json"
+    won = side_by_side(lambda n: tables.create_once(spark, path, str(n)), range(16))
+    assert sum(won) == 1
+    assert tables.text_of(spark, path) == str(won.index(True))

@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from footfall.operators import rollups
+from footfall.operators.filters import dashboard_filters
 from footfall.plans import dims, lease, reports
 from footfall.plans import warehouse as wh_module
 from footfall.plans.fact import fact_events
@@ -437,3 +438,61 @@ def test_states_merge_the_same_however_events_are_split(spark, small_dir, cuts):
     expected = sorted(map(tuple, whole.collect()))
     assert sorted(map(tuple, merged.collect())) == expected
     assert sorted(map(tuple, collapsed.collect())) == expected
+
+
+def test_deduplicating_a_table_rewrites_only_months_with_repeats(wh):
+    rows = [("a", "2024-01-05"), ("a", "2024-02-05"), ("b", "2024-02-06"), ("c", "2024-03-01"), ("", "2024-02-07"), ("", "2024-02-07")]
+    events = [event(key, ts=f"{day} 10:00:00") for key, day in rows]
+    wh.stage(BROWSER, staged(wh.spark, BROWSER, events), "b0")
+    wh.load("one", dedup=False)
+    before = set(wh.folders("fact_events"))
+    assert wh.deduplicate("fact_events", "event_id") == 1
+    kept = wh.read("fact_events")
+    assert as_set(kept, "event_id", "event_timestamp") == [
+        ("", moment("2024-02-07 10:00:00")),
+        ("", moment("2024-02-07 10:00:00")),
+        ("a", moment("2024-02-05 10:00:00")),
+        ("b", moment("2024-02-06 10:00:00")),
+        ("c", moment("2024-03-01 10:00:00")),
+    ]
+    same = before & set(wh.folders("fact_events"))
+    assert [f.split("/")[0] for f in same] == ["event_month=202403"]
+    assert sum(n for *_, n in as_set(rollups.merge(wh.read("agg_events_hourly"), HOURLY_KEYS), "event_hour", "total_events")) == 5
+    assert wh.deduplicate("fact_events", "event_id") == 0
+
+
+def test_deduplicating_leaves_loads_that_run_alone(wh):
+    wh.stage(BROWSER, staged(wh.spark, BROWSER, [event("a"), event("a")]), "b0")
+    batches = wh.load_fact("one", dedup=False)
+    assert wh.deduplicate("fact_events", "event_id") == 0
+    assert wh.finish_load("one", batches) == 2
+    assert wh.deduplicate("fact_events", "event_id") == 1
+
+
+def test_deduplicating_a_feed_keeps_the_latest_row(wh):
+    for n, os in enumerate(["old", "new"]):
+        records = [{"click_id": "c", "os": os}, {"click_id": f"d{n}", "os": os}]
+        wh.stage(DEVICE, staged(wh.spark, DEVICE, records, inserted_at=f"2024-01-0{n + 1} 00:00:00"), f"b{n}")
+    assert wh.deduplicate(DEVICE.table, "click_id", "inserted_at") == 1
+    assert as_set(wh.read(DEVICE.table), "click_id", "os") == [("c", "new"), ("d0", "old"), ("d1", "new")]
+
+
+def test_deduplicating_an_empty_table(wh):
+    assert wh.deduplicate("fact_events", "event_id") == 0
+
+
+def test_filters_on_states_name_the_column_they_lack(wh):
+    with pytest.raises(ValueError, match="geo_country"):
+        dashboard_filters(wh.read("agg_traffic_sources"), {"geo_country": "FRANCE"})
+
+
+def test_a_month_that_expires_whole_leaves_the_dimensions(wh):
+    for n, day in enumerate(["2023-01-05", "2024-01-05"]):
+        wh.stage(BROWSER, staged(wh.spark, BROWSER, [event(str(n), ts=f"{day} 10:00:00", click=f"c{n}")]), f"b{n}")
+        wh.stage(DEVICE, staged(wh.spark, DEVICE, [{"click_id": f"c{n}", "user_domain_id": f"u{n}"}]), f"b{n}")
+        wh.load(f"l{n}")
+    wh.rebuild_dims()
+    assert as_set(wh.read("dim_users"), "user_domain_id") == [("u0",), ("u1",)]
+    wh.ttl_expire("2024-06-01 00:00:00")
+    wh.rebuild_dims()
+    assert as_set(wh.read("dim_users"), "user_domain_id") == [("u1",)]
