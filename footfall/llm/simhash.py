@@ -2,8 +2,10 @@
 
 Two fingerprints of eight bytes that differ in at most k bits share at least 8 - k bytes by position. Each different
 fingerprint is posted under every choice of 8 - k of its positional bytes, so a pair that shares the guaranteed number
-meets in a posting list, and one that shares fewer never does. The shared bytes of a pair are counted, too few drop
-out, and the bits decide. Copies of one fingerprint are one entry of the index, whatever their number.
+meets in a posting list, and one that shares fewer never does: the choice does the counting, and the bits decide. Lists
+of single bytes with a tally for each pair would give the same links, but every list holds a 256th of all fingerprints
+or more, so that their pairs grow with the square of the input. Copies of one fingerprint are one entry of the index,
+whatever their number.
 """
 
 from __future__ import annotations
@@ -64,20 +66,17 @@ def links(prints: DataFrame, max_bits: int = 2) -> DataFrame:
     """
     shared = BYTES - max_bits
     choices = list(combinations(range(BYTES), shared))
-    byte = lambda c, p: F.shiftrightunsigned(c, 8 * p).bitwiseAND(F.lit(255))
     masks = [sum(255 << 8 * p for p in c) for c in choices]
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     keys = F.array(*[F.struct(F.lit(i).alias("choice"), F.col("fp").bitwiseAND(F.lit(m)).alias("bytes")) for i, m in enumerate(signed)])
     posted = prints.select("fp", F.explode(keys).alias("key")).select("fp", "key.choice", "key.bytes")
     a, b = F.col("l.fp"), F.col("r.fp")
-    same = [byte(a.bitwiseXOR(b), p) == 0 for p in range(BYTES)]
-    tally = sum((s.cast("int") for s in same), F.lit(0))
     # the first choice of positions in which the pair agrees everywhere
     first = F.coalesce(*[F.when(a.bitwiseXOR(b).bitwiseAND(F.lit(m)) == 0, F.lit(i)) for i, m in enumerate(signed)])
     near = F.bit_count(a.bitwiseXOR(b)) <= max_bits
     pairs = posted.alias("l").join(
         posted.alias("r"),
-        (F.col("l.choice") == F.col("r.choice")) & (F.col("l.bytes") == F.col("r.bytes")) & (a < b) & (tally >= shared) & near & (F.col("l.choice") == first),
+        (F.col("l.choice") == F.col("r.choice")) & (F.col("l.bytes") == F.col("r.bytes")) & (a < b) & near & (F.col("l.choice") == first),
     )
     return pairs.select(a.alias("a"), b.alias("b"))
 
@@ -100,6 +99,15 @@ def components(pairs: DataFrame) -> DataFrame:
             return labels
 
 
+def _groups(rows: DataFrame, max_bits: int) -> DataFrame:
+    """``fp``, ``root`` (its group), ``component_id`` (smallest id of the group), stored, for each fingerprint of ``rows``."""
+    prints = rows.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
+    grouped = components(links(prints.select("fp"), max_bits))
+    joined = prints.join(grouped, prints.fp == grouped.node, "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
+    least = joined.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    return stored(joined.select("fp", "root").join(least, "root"), "groups")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, seed: int = 42) -> DataFrame:
     """``doc_id``, ``fp`` (signed), ``root`` (its group), ``component_id`` (smallest id of the group) for every row.
 
@@ -107,19 +115,21 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, seed:
     id is no one's smallest id; a group of null ids only has a null ``component_id``. An empty table gives no rows.
     """
     rows = stored(docs.select("doc_id", fingerprint(F.col("text"), shingle, seed).alias("fp")), "prints")
-    prints = rows.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
-    grouped = components(links(prints.select("fp"), max_bits))
-    joined = prints.join(grouped, prints.fp == grouped.node, "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
-    least = joined.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    of_print = stored(joined.select("fp", "root").join(least, "root"), "groups")
-    return rows.join(of_print, "fp").select("doc_id", "fp", "root", "component_id")
+    return rows.join(_groups(rows, max_bits), "fp").select("doc_id", "fp", "root", "component_id")
 
 
 def kept(docs: DataFrame, shingle: int = 3, max_bits: int = 2, seed: int = 42) -> DataFrame:
-    """``docs`` with one row of each group: that of the smallest id (one of equal ids; any row if all ids are null)."""
-    root, least, fp = own_name("root"), own_name("least"), own_name("fp")
-    found = near_duplicates(docs, shingle, max_bits, seed)
-    of_print = found.groupBy(F.col("fp").alias(fp)).agg(F.first("root").alias(root), F.first("component_id").alias(least))
-    rows = docs.withColumn(fp, fingerprint(F.col("text"), shingle, seed)).join(of_print, fp)
-    rows = rows.where(F.col("doc_id").eqNullSafe(F.col(least)))
-    return rows.dropDuplicates([root]).drop(root, least, fp)
+    """``docs`` with one row of each group: that of the smallest id, of equal ids that of the smallest hash of its row.
+
+    A null id comes after all others. Of rows equal throughout one stays. Columns with maps do not enter the hash: of rows
+    that differ in those alone any one stays. Texts are hashed once and move once, to the choice of their group, which is
+    made from ids, hashes and fingerprints alone: first for each fingerprint, so that no group of copies is a heavy key.
+    """
+    pick, row = own_name("pick"), F.xxhash64(*[F.col(f.name) for f in docs.schema if "map<" not in f.dataType.simpleString()])
+    rows = stored(docs.select("doc_id", row.alias("row"), fingerprint(F.col("text"), shingle, seed).alias("fp")), "prints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row"))
+    best = rows.groupBy("fp").agg(first.alias("best")).join(_groups(rows, max_bits), "fp")
+    chosen = best.groupBy("root").agg(F.min("best").alias("best"))
+    label = lambda doc_id, hashed: F.concat_ws(":", doc_id.cast("string"), hashed.cast("string"))
+    chosen = chosen.select(label(F.col("best.doc_id"), F.col("best.row")).alias(pick)).distinct()
+    return docs.withColumn(pick, label(F.col("doc_id"), row)).join(chosen, pick, "left_semi").dropDuplicates([pick]).drop(pick)

@@ -429,3 +429,80 @@ def test_pipeline_stages_follow_each_other(shipped, docs):
         left = stage(shipped, left, "")
         assert left.columns == docs.columns
     assert corpus_pipeline.STAGES[-1][1](shipped, left, "").columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def plain_groups(prints: list[int], max_bits: int = 2) -> list[int]:
+    """The smallest position of each one's group, by all pairs."""
+    root = list(range(len(prints)))
+    for _ in prints:
+        for a, b in itertools.combinations(range(len(prints)), 2):
+            if (prints[a] ^ prints[b]).bit_count() <= max_bits:
+                root[a] = root[b] = min(root[a], root[b])
+    return root
+
+
+def test_one_document_of_each_group_stays(shipped, empty):
+    """Copies with many ids, with one id, without an id, and equal rows; the same id in two groups; maps among the columns."""
+    deal = random.Random(12)
+    text = lambda: " ".join(deal.choice("abcdefgh") + str(deal.randrange(90)) for _ in range(40))
+    a, b, c, d = (text() for _ in range(4))
+    rows = [(i, a, "s") for i in range(40, 20, -1)] + [(7, b, "s"), (7, c, "s"), (9, b, "s"), (8, c, "t"), (8, c, "t")]
+    rows += [(None, d, "s"), (None, d, "t"), (None, d, "t"), (3, None, "s"), (3, "", "s"), (None, " ", "s")]
+    frame = shipped.createDataFrame(rows_of(rows), SCHEMA).withColumn("extra", F.create_map(F.lit("k"), F.col("doc_id")))
+    roots = plain_groups([plain_fingerprint(t or "") for _, t, _ in rows])
+    want = []
+    for group in set(roots):
+        ids = [rows[k][0] for k in range(len(rows)) if roots[k] == group]
+        want.append((group, min((i for i in ids if i is not None), default=None)))
+    first = simhash.kept(frame)
+    assert first.columns == frame.columns
+    found = sorted(first.collect(), key=str)
+    by_text = {(t or ""): root for (_, t, _), root in zip(rows, roots)}
+    assert sorted(((by_text[r.text or ""], r.doc_id) for r in found), key=str) == sorted(want, key=str)
+    assert sorted(simhash.kept(frame.repartition(5)).collect(), key=str) == found
+    assert simhash.kept(empty).count() == 0
+
+
+def test_the_rows_of_the_pipeline(shipped, tmp_path):
+    """``run`` on a folder of tables against the stages done plainly: toxic texts, near lines and copies go."""
+    import sentencepiece
+
+    deal = random.Random(21)
+    words = [f"{a}{b}{c}" for a in "bdfgklmn" for b in "aeiou" for c in "rst"]
+    line = lambda n: " ".join(deal.choice(words) for _ in range(n))
+    shared, near = line(30), line(40)
+    texts: dict[int, str] = {i: "\n".join(line(deal.randint(18, 30)) for _ in range(4)) for i in range(300)}
+    toxic = set(range(0, 300, 3))
+    for i in toxic:
+        texts[i] += " " + deal.choice(["blorgush", "blorgen", "blorgtum"])
+    for i in (1, 4, 7, 10):
+        texts[i] += "\n" + shared
+    texts[13] += "\n" + near
+    texts[16] += "\n" + moved(deal, near, 1)
+    rows = [(i, t, f"s{i % 2}") for i, t in texts.items()]
+    rows += [(400, None, "s0"), (401, "", "s0"), (402, texts[2], "s1"), (403, texts[2], "s1")]
+    shipped.createDataFrame(rows_of(rows), SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(i, 1, int(i in toxic)) for i in texts]
+    shipped.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+
+    clean = [(i, t, s) for i, t, s in rows if i not in toxic]
+    placed = sorted((i, 0, n, x.strip()) for i, t, _ in clean for n, x in enumerate((t or "").split("\n")) if x.strip())
+    stay = {placed[k][:3] for k in staying(placed, lines.MIN_WORDS)}
+    left = []
+    for i, t, s in clean:
+        own = (t or "").split("\n")
+        keep = [n for n in range(len(own)) if (i, 0, n) in stay]
+        left.append((i, None if t is None else "\n".join(x for n, x in enumerate(own) if n in keep or not x.strip()) if keep else "", s))
+    roots = plain_groups([plain_fingerprint(t or "") for _, t, _ in left])
+    single = [left[k] for k in sorted(set(roots))]
+    assert {16, 4, 402, 403, 401} & {i for i, _, _ in single} == {16, 4}
+    copies = {r.doc_id: r.copies for r in mixing.mix(shipped.createDataFrame(rows_of(single), SCHEMA)).collect()}
+    library = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path())
+    sha = lambda s: hashlib.sha256(s.encode("utf-8")).hexdigest()
+    want: list[tuple] = []
+    for i, t, _ in single:
+        ids = library.encode(t or "")
+        want += [(i, len(ids), sha(",".join(map(str, ids))), sha(library.decode(ids)))] * copies[i]
+    found = corpus_pipeline.run(shipped, str(tmp_path)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()
+    assert sorted(tuple(r) for r in found) == sorted(want)
+    assert corpus_pipeline.ORACLE_SQL is None
