@@ -19,7 +19,7 @@ def toxic_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that stand earlier in the corpus, up to two edits, are taken out of the texts; no document goes."""
+    """Lines near to one that stands earlier in the corpus and stays are taken out of the texts; no document goes."""
     ship(spark)
     return lines.dedup(docs)
 
@@ -50,8 +50,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("piece encoding", encoding),
 ]
 
-#: SQL has no support vector machines, edit joins or piece encoders; the tests hold operators
-#: against brute force or held-out cases, and the stages only in their columns; the rows of ``run`` are compared with nothing.
+#: SQL has no support vector machines, edit joins or piece encoders; a test holds the rows of ``run`` against the stages
+#: done plainly on a small folder of tables.
 ORACLE_SQL = None
 
 
