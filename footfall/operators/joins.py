@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions.values import fill_blanks
 from footfall.operators.dedup import latest_per_key
+from footfall.operators.sieve import thinned
 from footfall.operators.skew import HotKeys, join
 from footfall.schemas import DEVICE, GEO, LOCATION, Feed
 
@@ -39,27 +40,18 @@ def join_location(events: DataFrame, location: DataFrame, *, dedup: bool = True,
 
 
 def new_events_only(
-    events: DataFrame, fact: DataFrame, hot: HotKeys | None = None, few_ids: DataFrame | None = None
+    events: DataFrame, fact: DataFrame, hot: HotKeys | None = None, ids: DataFrame | None = None
 ) -> DataFrame:
     """Events whose id is not in the fact yet.
 
-    ``few_ids`` are the ids of ``events`` where the caller has checked that they are few enough to broadcast:
-    then one column of the fact is scanned and nothing of it is shuffled but the ids already loaded. Without
-    it the fact's ids are shuffled, repeated ones once per task.
+    One column of the fact is scanned and thinned out by a bitmap of the events' ids, so that of the fact hardly more is
+    shuffled than the ids that come again. ``ids`` holds the events' ids and perhaps others, where it is cheaper to read
+    than ``events``.
     """
-    loaded = fact.select("event_id")
-    if few_ids is not None:
-        loaded = loaded.join(F.broadcast(few_ids), "event_id", "left_semi")
+    loaded = thinned(fact.select("event_id"), events if ids is None else ids, "event_id")
     return join(events, loaded.distinct(), "event_id", "left_anti", hot)
 
 
-def matching(rows: DataFrame, keys: DataFrame, key: str, *, few: bool) -> DataFrame:
-    """The rows whose key is among ``keys``, which are broadcast where the caller knows them to be ``few``."""
-    if few:
-        return rows.join(F.broadcast(keys), key, "left_semi")
-    return join(rows, keys, key, "left_semi")
-
-
 def orphans_browser(browser: DataFrame, fact: DataFrame) -> DataFrame:
     """Browser staging rows whose event never reached the fact."""
     return join(browser, fact.select("event_id").distinct(), "event_id", "left_anti")

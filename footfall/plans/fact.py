@@ -39,33 +39,28 @@ def fact_events(
     fact: DataFrame | None = None,
     *,
     dedup: bool = True,
-    few: bool = False,
     as_of=None,
 ) -> DataFrame:
     """Fact rows of the browser events that ``fact`` does not hold yet.
 
     With ``dedup`` repeated deliveries count once and the latest row per join key enriches an event; without
     it every match is kept, so repeated rows multiply. Both event_id steps come first and share one shuffle,
-    then both click_id joins share another. ``few`` says that the caller has checked the number of browser
-    rows, and their ids may be broadcast.
+    then both click_id joins share another.
     """
     hot_clicks = skew.hot_keys(browser, "click_id")
-    few_ids = fill_blanks(browser.select("event_id")).distinct() if few else None
-    events = _with_pages(browser, location, fact, dedup, few_ids)
+    events = _with_pages(browser, location, fact, dedup)
     events = skew.spread(events, "click_id", hot_clicks)
     events = join_device(events, device, dedup=dedup, hot=hot_clicks)
     events = join_geo(events, geo, dedup=dedup, hot=hot_clicks)
     return project_fact(skew.gather(events), as_of)
 
 
-def _with_pages(
-    browser: DataFrame, location: DataFrame, fact: DataFrame | None, dedup: bool, few_ids: DataFrame | None
-) -> DataFrame:
+def _with_pages(browser: DataFrame, location: DataFrame, fact: DataFrame | None, dedup: bool) -> DataFrame:
     if not dedup:
         events = fill_blanks(browser.select(*BROWSER.columns))
         hot_ids = skew.hot_keys(events, "event_id")
         if fact is not None:
-            events = new_events_only(events, fact.filter(F.col("event_id") != ""), hot_ids, few_ids)
+            events = new_events_only(events, fact.filter(F.col("event_id") != ""), hot_ids, browser)
         return join_location(events, location, dedup=False, hot=hot_ids)
 
     rows = browser.select(*BROWSER.columns, "inserted_at")
@@ -73,7 +68,7 @@ def _with_pages(
     # The id itself has no blanks to fill, and as it is the aggregate's partitioning serves the next joins.
     named = fill_blanks(named, BROWSER.columns[1:])
     if fact is not None:
-        named = new_events_only(named, fact.filter(F.col("event_id") != ""), skew.HotKeys(), few_ids)
+        named = new_events_only(named, fact.filter(F.col("event_id") != ""), skew.HotKeys(), browser)
     named = join_location(named, location, hot=skew.HotKeys())
 
     # Events without an id cannot be told apart: all are kept, of every load, and they meet at most one page row. A

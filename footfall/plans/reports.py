@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions.clock import before, event_day, event_hour, moment, since
 from footfall.functions.values import merged_estimate, percent, ratio
-from footfall.operators import rollups, skew
+from footfall.operators import rollups
 from footfall.operators.aggregates import count_by, having, sort_multi, sum_measure, top_k
 from footfall.operators.filters import dashboard_filters, filter_in_list, filter_nonempty
 from footfall.schemas import HOURLY_KEYS
@@ -229,23 +229,37 @@ def funnel_share(fact, as_of=None, filters=None, pages: Sequence[str] = FUNNEL_P
 def funnel_ordered(fact, as_of=None, filters=None, pages: Sequence[str] = FUNNEL_PAGES):
     """Users who reached each page after the one before it.
 
-    A step's time is the earliest visit later than the time of the step before, so each step is one join of
-    its page's visits with the users still in the funnel and one minimum per user.
+    A user's minute is summed up as an array: the step reached by its end for each step reached before it. Minutes in
+    order of time then give the step a user reaches. So the fact is scanned once, distinct visits are shuffled by user and
+    minute, summaries by user, and the length of either list is bounded by the clock, not by the visits of a user.
     """
     rows = filter_nonempty(dashboard_filters(fact, filters), USER)
-    visits = filter_in_list(rows, "page_url_path", pages).select(USER, "page_url_path", "event_timestamp")
-    hot = skew.hot_keys(visits, USER)
-    reached = None
-    counts = None
-    for number, page in enumerate(pages, start=1):
-        at_page = visits.filter(F.col("page_url_path") == page).select(USER, "event_timestamp")
-        if reached is not None:
-            at_page = skew.join(at_page, reached, USER, "inner", hot).filter(F.col("event_timestamp") > F.col("at"))
-        reached = at_page.groupBy(USER).agg(F.min("event_timestamp").alias("at"))
-        count = reached.agg(F.count(F.lit(1)).alias("users"))
-        step = count.select(F.lit(number).alias("step"), F.lit(page).alias("page"), "users")
-        counts = step if counts is None else counts.unionByName(step)
-    return counts
+    at_step = [
+        F.when((F.col("page_url_path") == page) & (F.col("event_timestamp").isNotNull() | F.lit(number == 1)), number)
+        for number, page in enumerate(pages, start=1)
+    ]
+    visits = filter_in_list(rows, "page_url_path", pages).select(
+        USER, "event_timestamp", F.explode(F.array_compact(F.array(*at_step))).alias("step")
+    )
+    # Visits without a time come last and count for the first step only. Of visits at one time the higher step comes
+    # first, so that none follows on another.
+    minute = F.date_trunc("minute", "event_timestamp").alias("minute")
+    visit = F.struct(F.col("event_timestamp").isNull().alias("timeless"), "event_timestamp", (-F.col("step")).alias("back"))
+    minutes = visits.groupBy(USER, minute).agg(F.array_sort(F.collect_set(visit)).alias("visits"))
+    start = F.sequence(F.lit(0), F.lit(len(pages)))
+    after = F.aggregate(
+        "visits", start, lambda reached, v: F.transform(reached, lambda s: F.when(s + 1 == -v["back"], s + 1).otherwise(s))
+    )
+    summary = F.struct(F.col("minute").isNull().alias("timeless"), "minute", after.alias("after"))
+    users = minutes.select(USER, summary.alias("summary")).groupBy(USER)
+    ordered = users.agg(F.array_sort(F.collect_list("summary")).alias("summaries"))
+    furthest = F.aggregate("summaries", F.lit(0), lambda step, m: F.element_at(m["after"], step + 1)).alias("furthest")
+    reached = [F.count_if(F.col("furthest") >= n).alias(f"_{n}") for n in range(1, len(pages) + 1)]
+    steps = [
+        F.struct(F.lit(n).alias("step"), F.lit(page).alias("page"), F.col(f"_{n}").alias("users"))
+        for n, page in enumerate(pages, start=1)
+    ]
+    return ordered.select(furthest).agg(*reached).select(F.inline(F.array(*steps)))
 
 
 def retention_cohort(fact, as_of=None, filters=None):

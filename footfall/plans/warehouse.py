@@ -22,15 +22,12 @@ from footfall import schemas
 from footfall.functions.clock import before, event_month, moment
 from footfall.operators import rollups
 from footfall.operators.dedup import key_counts, latest_per_key
-from footfall.operators.joins import matching
+from footfall.operators.sieve import thinned
 from footfall.plans import dims, lease
 from footfall.plans.fact import fact_events, lacks_side, repair_fact
 from footfall.sources import tables
 from footfall.workspace import side_by_side
 
-# Ids of this many rows are broadcast: tens of megabytes.
-BROADCAST_ROWS = 500_000
-
 # A month of finished loads is worth merging in a regular run from this many files on.
 SMALL_FILES = 100
 
@@ -222,9 +219,8 @@ class Warehouse:
     def load_fact(self, load_id: str, *, dedup: bool = True, as_of=None) -> list[str]:
         """First half of a load: takes the lease and writes the new fact rows; the batches covered.
 
-        Batches of finished loads are not read again. Once there is a fact, the other feeds are narrowed to
-        the keys of this load before they are deduplicated. The keys of a load of at most BROADCAST_ROWS rows
-        are broadcast, so that neither the fact nor a feed is shuffled for them; those of a larger one are not.
+        Batches of finished loads are not read again. Once there is a fact, the other feeds and the fact's ids are
+        thinned out by bitmaps of this load's keys, so that hardly a row without such a key is shuffled.
         A failure gives the lease back; what was written is discarded by the next load.
         """
         token = lease.acquire(self.spark, self.root, load_id, self.lease_seconds)
@@ -233,13 +229,12 @@ class Warehouse:
             batches = self.open_batches()
             browser, *sides = [self.read(table) for table in STAGING_TABLES]
             browser = browser.filter(F.col("batch_id").isin(batches))
-            others, few = None, False
+            others = None
             if self.stored("fact_events"):
                 others = self.read("fact_events").filter(F.col("load_id") != load_id)
-                few = browser.count() <= BROADCAST_ROWS
                 keys = [feed.key for feed in list(schemas.FEEDS.values())[1:]]
-                sides = [matching(s, browser.select(k).distinct(), k, few=few) for s, k in zip(sides, keys)]
-            new = fact_events(browser, *sides, others, dedup=dedup, few=few, as_of=as_of)
+                sides = [thinned(s, browser, k) for s, k in zip(sides, keys)]
+            new = fact_events(browser, *sides, others, dedup=dedup, as_of=as_of)
             lease.renew(self.spark, self.root, token)
             added = self._write("fact_events", tables.with_month(new).withColumn("load_id", F.lit(load_id)))
             rows = tables.read(self.spark, self.path("fact_events"), LAYOUTS["fact_events"].schema, added).count()

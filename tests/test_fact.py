@@ -6,8 +6,8 @@ import pytest
 from feeds import as_set, event, feeds, staged
 from pyspark.sql import functions as F
 
-from footfall.operators import skew
-from footfall.operators.joins import join_device, matching, new_events_only, orphan_count, orphans_device
+from footfall.operators import sieve, skew
+from footfall.operators.joins import join_device, new_events_only, orphan_count, orphans_device
 from footfall.plans.fact import fact_events, repair_fact
 from footfall.schemas import BROWSER, DEVICE, FACT_COLUMNS
 from footfall.sources import fixtures
@@ -176,9 +176,28 @@ def test_narrowing_a_skewed_feed_to_a_loads_keys(spark, low_threshold):
     )
     assert skew.hot_keys(rows, "click_id")
     keys = rows.filter("click_id = 'hot' or id < 50").select("click_id").distinct()
-    few, many = (as_set(matching(rows, keys, "click_id", few=f), "id") for f in (True, False))
-    assert few == many
-    assert len(few) > 1000
+    exact = as_set(rows.join(keys, "click_id", "left_semi"), "id")
+    assert len(exact) > 1000
+    assert as_set(sieve.thinned(rows, keys, "click_id"), "id") == exact
+
+
+@pytest.mark.parametrize("bits", [1 << 10, 1 << 15, 1 << 27])
+def test_a_bitmap_keeps_every_key_and_lets_few_others_pass(spark, bits, monkeypatch):
+    monkeypatch.setattr(sieve, "BITS", bits)
+    keys = spark.range(300).select(F.concat(F.lit("k"), "id").alias("k")).union(spark.createDataFrame([(None,)], "k string"))
+    rows = spark.range(20000).select(F.concat(F.lit("k"), "id").alias("k"), "id")
+    rows = rows.union(spark.createDataFrame([(None, -1), ("", -2)], "k string, id long"))
+    got = {r["id"] for r in sieve.thinned(rows, keys, "k").collect()}
+    assert {-2, -1, *range(300)} <= got
+    assert len(got) - 302 <= 20000 * 300 / bits * 1.5
+    assert sieve.thinned(rows, keys.limit(0), "k").count() == 0
+
+
+@pytest.mark.parametrize("bits", [8, 1 << 27])
+def test_new_events_do_not_hang_on_the_bitmap(spark, bits, monkeypatch):
+    monkeypatch.setattr(sieve, "BITS", bits)
+    events = staged(spark, BROWSER, [event(str(i)) for i in range(40)])
+    assert new_events_only(events, events.filter("event_id < '2'")).count() == events.filter("event_id >= '2'").count()
 
 
 def test_orphans_of_one_click_are_all_found(spark, low_threshold):

@@ -57,6 +57,24 @@ def test_fact_shuffles_each_side_once(spark, small_dir):
     assert text.count("Exchange hashpartitioning") == 6
 
 
+def test_the_fact_is_thinned_out_before_its_ids_are_shuffled(spark, small_dir):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(registry.queries()["new_events_only"](spark, small_dir))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in text
+    assert text.index("SortMergeJoin") < text.index("BroadcastHashJoin")
+    assert "bitmap_construct_agg" in text
+
+
+def test_the_ordered_funnel_reads_the_fact_once(spark, small_dir):
+    text = plan(reports.funnel_ordered(inputs.fact(spark, small_dir)))
+    assert text.count("FileScan parquet") == 1
+    assert text.count("Exchange hashpartitioning") == 2
+    assert "Join" not in text
+
+
 def test_counting_reports_aggregate_before_the_shuffle(spark, small_dir):
     text = plan(reports.campaigns_by_source(inputs.fact(spark, small_dir)))
     assert "partial_count" in text

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from feeds import as_set, event, feeds, moment
 from pyspark.sql import functions as F
@@ -50,6 +52,33 @@ def test_funnel_with_one_user_holding_most_visits(spark, monkeypatch):
     assert as_set(reports.funnel_ordered(many), "step", "users") == [(1, 2), (2, 1), (3, 1), (4, 0)]
 
 
+def test_funnel_equals_a_plain_walk_over_each_users_visits(spark):
+    """Many visits at one time, across minutes, and a page that stands twice in the funnel."""
+    chance = random.Random(5)
+    pages = ["/home", "/product_a", "/home", "/checkout"]
+    steps = [(f"u{chance.randrange(60)}", chance.choice([*pages, "/x"]), chance.randrange(8)) for _ in range(500)]
+    expected = [0] * len(pages)
+    for user in {u for u, _, _ in steps}:
+        at = None
+        for n, page in enumerate(pages):
+            times = [m for u, p, m in steps if u == user and p == page and (at is None or m > at)]
+            if not times:
+                break
+            at = min(times)
+            expected[n] += 1
+    got = as_set(reports.funnel_ordered(visits(spark, *steps), pages=pages), "step", "users")
+    assert got == list(enumerate(expected, start=1))
+    assert expected[-1] > 0
+
+
+def test_funnel_visits_without_a_time_count_for_the_first_step_only(spark):
+    rows = [("a", "/home", None), ("a", "/product_a", None), ("b", "/home", 1), ("b", "/product_a", None)]
+    fact = spark.createDataFrame(rows, "user_domain_id string, page_url_path string, minute int")
+    time = F.expr("timestamp_ntz '2024-01-01 10:00:00' + make_interval(0, 0, 0, 0, 0, minute, 0)")
+    got = as_set(reports.funnel_ordered(fact.withColumn("event_timestamp", time)), "step", "users")
+    assert got == [(1, 2), (2, 0), (3, 0), (4, 0)]
+
+
 def test_ratios_survive_zero_and_round_half_up(spark):
     rows = spark.createDataFrame([(107, 40), (1, 0), (1, 8)], "a long, b long")
     got = [r[0] for r in rows.select(ratio(F.col("a"), F.col("b"))).collect()]

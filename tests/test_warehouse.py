@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from footfall.operators import rollups
+from footfall.operators import rollups, sieve
 from footfall.operators.filters import dashboard_filters
 from footfall.plans import dims, lease, reports
 from footfall.plans import warehouse as wh_module
@@ -68,8 +68,8 @@ def test_loads_in_parts_equal_one_load(wh, small_dir, full):
     assert [len(rows) for rows in dimensions(wh)] == [15, 15]
 
 
-def test_loads_too_large_to_broadcast(wh, small_dir, full, monkeypatch):
-    monkeypatch.setattr(wh_module, "BROADCAST_ROWS", 0)
+def test_loads_whose_keys_fill_the_bitmap(wh, small_dir, full, monkeypatch):
+    monkeypatch.setattr(sieve, "BITS", 8)
     two_loads(wh, small_dir)
     assert (fact_rows(wh), hourly(wh)) == full
 
