@@ -22,8 +22,10 @@ from footfall.llm.common import stored
 SAMPLE, CENTRES = 2_000, 32
 #: Vectors in a block of data or of queries; a cell of more vectors has more blocks.
 BLOCK, QUERY_BLOCK = 8_192, 2_048
-#: Vectors in a leaf of a cover tree; each level halves the covering radius.
-LEAF = 256
+#: Points of a node of a cover tree that is not opened any more.
+LEAF = 32
+#: Data that the queries of a leaf meet before their k-th scores are looked at again.
+MEET = 1_024
 #: Beyond this, products and sums of doubles might not be whole numbers any more; such vectors are multiplied as objects.
 EXACT = 2**53
 
@@ -38,56 +40,66 @@ def quantised(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embeddi
 
 
 class CoverTree:
-    """Nodes over the rows of ``points``, each with a centre and a radius that covers all rows below it.
+    """A simplified cover tree over the rows of ``points``.
 
-    A node that is too large is covered anew by centres half its radius apart; rows go to the nearest of them. Rows
-    are kept in the order of the leaves, so a node is a range.
+    A node of level l is a point that covers all points below it within 2^l. Its children have level l - 1: they are more
+    than 2^(l - 1) from one another, and one of them is the node's own point. Levels at which a point has no child but
+    itself are left out, so a node has the lowest level at which it covers what is below it. A node of at most ``LEAF``
+    points, or of equal points, is not opened. Rows are kept in the order of the leaves, so a node is a range.
     """
 
     def __init__(self, points: np.ndarray):
         self.points = points
         self.order = np.arange(len(points))
-        self.centres: list[np.ndarray] = []
-        self.radius: list[float] = []
+        self.squares = (points**2).sum(axis=1)
+        self.centres: list[int] = []
+        self.levels: list[int | None] = []  # None where all points are equal
         self.span: list[tuple[int, int]] = []
-        self.children: list[list[int]] = []
-        self._build(0, len(points))
-
-    def _build(self, low: int, high: int) -> int:
-        node = len(self.span)
-        own = self.points[self.order[low:high]]
-        centre = own.mean(axis=0) if len(own) else np.zeros(self.points.shape[1])
-        away = np.sqrt(np.maximum(((own - centre) ** 2).sum(axis=1), 0))
-        radius = float(away.max(initial=0.0))
-        self.centres.append(centre)
-        self.radius.append(radius)
-        self.span.append((low, high))
-        self.children.append([])
-        if high - low <= LEAF or radius == 0.0:
-            return node
-        nearest, where = away, np.zeros(len(own), np.int64)
-        chosen = 0
-        nearest = np.full(len(own), np.inf)
-        while chosen < 8 and (chosen == 0 or nearest.max() > radius / 2):
-            far = int(np.argmax(nearest)) if chosen else int(np.argmax(away))
-            distance = np.sqrt(((own - own[far]) ** 2).sum(axis=1))
+        self.children: list[np.ndarray] = []
+        radius: list[float] = []
+        pending = [(None, 0, len(points), 0)]
+        while pending:
+            parent, low, high, point = pending.pop()
+            node = len(self.span)
+            if parent is not None:
+                self.children[parent] = np.append(self.children[parent], node)
+            own = self.order[low:high]
+            away = np.sqrt(((points[own] - points[point]) ** 2).sum(axis=1))
+            widest = float(away.max(initial=0.0))
+            radius.append(widest)
+            self.centres.append(point)
+            self.levels.append(int(np.ceil(np.log2(widest))) if widest > 0 else None)
+            self.span.append((low, high))
+            self.children.append(np.zeros(0, np.int64))
+            if high - low > LEAF and widest > 0:
+                pending += [(node, *below) for below in self._below(low, high, point, away)]
+        self.radius = np.array(radius)
+        self.middle = points[self.centres] if len(points) else np.zeros((1, points.shape[1]))
+        self.norm = np.sqrt((self.middle**2).sum(axis=1))
+
+    def _below(self, low: int, high: int, point: int, away: np.ndarray) -> list[tuple[int, int, int]]:
+        """The children of a node: points farthest from all chosen so far, until every row is covered."""
+        own = self.order[low:high]
+        rows, squares = self.points[own], self.squares[own]
+        apart = 2.0 ** (int(np.ceil(np.log2(away.max()))) - 1)
+        chosen, nearest, where = [point], away.copy(), np.zeros(len(own), np.int64)
+        while nearest.max() > apart:
+            far = int(nearest.argmax())
+            distance = np.sqrt(np.maximum(squares + squares[far] - 2 * (rows @ rows[far]), 0))
+            distance[far] = 0
             closer = distance < nearest
-            nearest[closer], where[closer] = distance[closer], chosen
-            chosen += 1
-        self.order[low:high] = self.order[low:high][np.argsort(where, kind="stable")]
-        at = low
-        for size in np.bincount(where, minlength=chosen):
-            if 0 < size < high - low:
-                self.children[node].append(self._build(at, at + int(size)))
-            at += int(size)
-        return node
+            nearest[closer], where[closer] = distance[closer], len(chosen)
+            chosen.append(int(own[far]))
+        self.order[low:high] = own[np.argsort(where, kind="stable")]
+        ends = low + np.cumsum(np.bincount(where, minlength=len(chosen)))
+        return [(int(e) - int(n), int(e), c) for e, n, c in zip(ends, np.bincount(where, minlength=len(chosen)), chosen) if n]
 
 
-def _bound(q: CoverTree, i: int, d: CoverTree, j: int) -> float:
-    """No inner product of a row below node ``i`` with one below ``j`` is larger."""
-    a, b = q.centres[i], d.centres[j]
-    most = float(a @ b) + q.radius[i] * float(np.sqrt(b @ b)) + d.radius[j] * float(np.sqrt(a @ a)) + q.radius[i] * d.radius[j]
-    return most + 1e-9 * (abs(most) + 1.0) + 1e-6
+def _bounds(q: CoverTree, above: np.ndarray, d: CoverTree, below: np.ndarray) -> np.ndarray:
+    """For nodes of queries (rows) and data (columns): no inner product of points below them is larger."""
+    a, b = q.radius[above], d.radius[below]
+    most = q.middle[above] @ d.middle[below].T + np.outer(a, d.norm[below]) + np.outer(q.norm[above], b) + np.outer(a, b)
+    return most + 1e-9 * (np.abs(most) + 1.0) + 1e-6
 
 
 class _Best:
@@ -121,6 +133,19 @@ class _Best:
             self.score[row, :n], self.ids[row, :n], self.filled[row, :n] = s[best], i[best], True
 
 
+def _meet(best, own_rows, a, b, ids, own, spans: np.ndarray, bound: np.ndarray, slack: float) -> None:
+    """Multiplies queries of a leaf with leaves of data, given from the highest bound down, until none can matter."""
+    at, sizes = 0, spans[:, 1] - spans[:, 0]
+    ends = np.cumsum(sizes)
+    while at < len(spans) and bound[at] >= best.worst(own_rows) - slack:
+        before = int(ends[at] - sizes[at])
+        end = max(at + 1, int(np.searchsorted(ends, before + MEET, side="right")))
+        shift = spans[at:end, 0] - (ends[at:end] - sizes[at:end] - before)
+        place = np.repeat(shift, sizes[at:end]) + np.arange(int(ends[end - 1]) - before)
+        best.add(own_rows, a[own_rows] @ b[place].T, ids[place], own[own_rows])
+        at = end
+
+
 def search(q_ids: np.ndarray, q: np.ndarray, d_ids: np.ndarray, d: np.ndarray, k: int, floor: np.ndarray) -> list[tuple[int, int, int]]:
     """``(query, id, score)`` of the ``k`` best of each query in a block of data, where they reach the query's ``floor``."""
     dims = q.shape[1]
@@ -132,20 +157,23 @@ def search(q_ids: np.ndarray, q: np.ndarray, d_ids: np.ndarray, d: np.ndarray, k
     ids, own, best = d_ids[do], q_ids[qo], _Best(len(q), k, floor[qo], kind)
     rows = np.arange(len(q))
     slack = 1.0 if kind is float else max(1.0, largest * 1e-12)
+    spans = np.array(right.span)
     pending = [(0, 0)]
-    while pending:
+    while pending:  # both nodes are opened; the most promising pairs come first
         i, j = pending.pop()
-        own_rows = rows[slice(*left.span[i])]
-        if _bound(left, i, right, j) < best.worst(own_rows) - slack:
-            continue
-        below_q, below_d = left.children[i], right.children[j]
-        if not below_q and not below_d:
-            low, high = right.span[j]
-            best.add(own_rows, a[own_rows] @ b[low:high].T, ids[low:high], own[own_rows])
-        else:  # the larger side is opened; the most promising pair comes first
-            open_q = below_q and (not below_d or left.radius[i] >= right.radius[j])
-            pairs = [(x, j) for x in below_q] if open_q else [(i, y) for y in below_d]
-            pending += sorted(pairs, key=lambda p: _bound(left, p[0], right, p[1]))
+        above = left.children[i] if len(left.children[i]) else np.array([i])
+        below = right.children[j] if len(right.children[j]) else np.array([j])
+        leaf = np.array([not len(right.children[y]) for y in below])
+        most = _bounds(left, above, right, below)
+        opened = []
+        for x, bound in zip(above, most):
+            own_rows = rows[slice(*left.span[x])]
+            open_ = np.flatnonzero(bound >= best.worst(own_rows) - slack)
+            open_ = open_[np.argsort(-bound[open_], kind="stable")]
+            met = open_ if not len(left.children[x]) else open_[:0]
+            _meet(best, own_rows, a, b, ids, own, spans[below[met[leaf[met]]]], bound[met[leaf[met]]], slack)
+            opened += [(bound[y], int(x), int(below[y])) for y in open_ if not (leaf[y] and not len(left.children[x]))]
+        pending += [(x, y) for _, x, y in sorted(opened)]
     return [
         (int(own[r]), int(best.ids[r, c]), int(best.score[r, c])) for r in rows for c in np.flatnonzero(best.filled[r])
     ]

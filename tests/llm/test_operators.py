@@ -309,6 +309,45 @@ def test_pieces_agree_with_the_library(shipped, docs, empty):
     assert all(r.again == (r.text or "") for r in again.collect())
 
 
+@pytest.mark.parametrize("spread", [0.0, 0.1, 1.0])
+def test_cover_trees_cover_and_separate(spread):
+    deal = np.random.default_rng(3)
+    middles = 64 * deal.normal(size=(12, 8))
+    points = np.floor(middles[deal.integers(0, 12, 3000)] + 64 * spread * deal.normal(size=(3000, 8)))
+    tree = topk.CoverTree(points)
+    assert sorted(tree.order) == list(range(3000))
+    for node, below in enumerate(tree.children):
+        level = tree.levels[node]
+        rows = points[tree.order[slice(*tree.span[node])]]
+        away = np.sqrt(((rows - points[tree.centres[node]]) ** 2).sum(axis=1)).max()
+        assert away == tree.radius[node]
+        assert away <= (0 if level is None else 2.0**level)
+        if not len(below):
+            assert len(rows) <= topk.LEAF or level is None
+            continue
+        centres = [tree.centres[x] for x in below]
+        assert tree.centres[node] in centres
+        assert all(tree.levels[x] is None or tree.levels[x] < level for x in below)
+        apart = np.sqrt(((points[centres][:, None] - points[centres][None]) ** 2).sum(axis=2))
+        assert len(centres) == 1 or apart[~np.eye(len(centres), dtype=bool)].min() > 2.0 ** (level - 1)
+
+
+def test_dual_tree_search_multiplies_few_pairs_of_clustered_points(monkeypatch):
+    deal = np.random.default_rng(4)
+    middles = deal.normal(size=(40, 64))
+    x = np.floor(64 * (middles[deal.integers(0, 40, 4000)] + 0.1 * deal.normal(size=(4000, 64)))).astype(np.int64)
+    ids, asked = np.arange(4000), np.arange(4000) % 20 == 0
+    met, add = [], topk._Best.add
+    monkeypatch.setattr(topk._Best, "add", lambda self, rows, scores, *rest: (met.append(scores.size), add(self, rows, scores, *rest)))
+    got = topk.search(ids[asked], x[asked], ids, x, 20, np.full(asked.sum(), -np.inf))
+    want = []
+    for q in ids[asked]:
+        scores = x @ x[q]
+        want += [(q, i, scores[i]) for i in np.lexsort((ids, -scores)) if i != q][:20]
+    assert sorted(got) == sorted(want)
+    assert sum(met) < 0.2 * asked.sum() * 4000
+
+
 def test_topk_is_brute_force(shipped):
     deal = random.Random(7)
     vectors = [(i, [deal.choice([-1.0, -0.5, 0.0, 0.25, 1.0]) for _ in range(6)], 1) for i in range(700)]
