@@ -1,10 +1,10 @@
 """Exact top-k by inner product: queries and data are both held in cover trees, which are searched together.
 
-Vectors become blocks of bounded size, cut along a small top tree: centres that cover a bounded sample. Each block of
-data and each block of queries is one cover tree. A pair of nodes can be left out when the largest inner product that
-their centres and covering radii allow lies below the worst k-th score of the node's queries. Blocks of queries first
-meet the data of their own cell, which gives every query a k-th score to start from; then all other data, where the
-same bound leaves out whole pairs of blocks. Nothing that could hold a result is left out.
+The vectors are cut along a tree of cells, level by level, until a cell is a block of bounded size. Each block of data and
+each block of queries is one cover tree. A pair of nodes can be left out when the largest inner product that their centres
+and covering radii allow lies below the worst k-th score of the node's queries. Blocks of queries first meet the data of
+their own cell, which gives every query a k-th score to start from. Then they go down the tree of cells by the same bound,
+so that only pairs of blocks that may matter are formed. Nothing that could hold a result is left out.
 """
 
 from __future__ import annotations
@@ -18,9 +18,11 @@ from pyspark.sql import functions as F
 
 from footfall.llm.common import stored
 
-#: Vectors that the top tree's centres are chosen from, and how many centres there are at most.
+#: Vectors that the centres of a cell are chosen from, about, and how many centres there are at most.
 SAMPLE, CENTRES = 2_000, 32
-#: Vectors in a block of data or of queries; a cell of more vectors has more blocks.
+#: Step between the numbers of cells, levels of cells at most, and cells that a level cuts at most.
+FAN, DEPTH, CUT_CELLS = CENTRES + 1, 10, 1_000
+#: Vectors in a block of data or of queries; cells of more are cut.
 BLOCK, QUERY_BLOCK = 8_192, 2_048
 #: Points of a node of a cover tree that is not opened any more.
 LEAF = 32
@@ -179,46 +181,118 @@ def search(q_ids: np.ndarray, q: np.ndarray, d_ids: np.ndarray, d: np.ndarray, k
     ]
 
 
-def _centres(rows: DataFrame, dims: int) -> np.ndarray:
-    """Centres far from one another that cover a bounded sample: the top of the tree."""
-    chosen = rows.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(SAMPLE)  # without the vectors
-    sample = rows.join(F.broadcast(chosen), "id", "left_semi").dropDuplicates(["id"]).orderBy(F.xxhash64("id"), "id").collect()
-    points = np.array([r.v for r in sample], float).reshape(-1, dims)
-    if not len(points):
-        return np.zeros((1, dims))
+def _net(points: np.ndarray) -> np.ndarray:
+    """At most ``CENTRES`` of ``points``, each the farthest from those before it; equal points give one."""
     chosen = [0]
     nearest = ((points - points[0]) ** 2).sum(axis=1)
-    while len(chosen) < min(CENTRES, len(points)) and nearest.max() > 0:
+    while len(chosen) < CENTRES and nearest.max() > 0:
         chosen.append(int(nearest.argmax()))
         nearest = np.minimum(nearest, ((points - points[chosen[-1]]) ** 2).sum(axis=1))
     return points[chosen]
 
 
-def _cell(v: Column, centres: np.ndarray) -> Column:
-    @F.pandas_udf("int")
-    def nearest(vectors: pd.Series) -> pd.Series:
-        x = np.array(vectors.tolist(), float).reshape(len(vectors), -1)
-        distance = (centres**2).sum(axis=1) - 2 * x @ centres.T
-        return pd.Series(distance.argmin(axis=1).astype(np.int32))
+def _cell(cell: Column, v: Column, centres: dict[int, np.ndarray]) -> Column:
+    """The cell below ``cell`` whose centre is nearest; a cell without centres stays."""
 
-    return nearest(v)
+    @F.pandas_udf("long")
+    def nearest(cells: pd.Series, vectors: pd.Series) -> pd.Series:
+        out = cells.to_numpy(np.int64).copy()
+        for one in np.unique(out):
+            if one in centres:
+                of_cell, net = np.flatnonzero(cells == one), centres[one]
+                x = np.array(vectors.iloc[of_cell].tolist(), float)
+                out[of_cell] = one * FAN + 1 + ((net**2).sum(axis=1) - 2 * x @ net.T).argmin(axis=1)
+        return pd.Series(out)
+
+    return nearest(cell, v)
+
+
+def _grown(rows: DataFrame) -> tuple[DataFrame, int]:
+    """``rows`` with the ``cell`` each lies in, and the depth of the tree of cells.
+
+    Level by level, cells of more than ``BLOCK`` vectors are cut along centres taken from a hash sample of them, of about
+    ``SAMPLE`` vectors a cell. Cells n * FAN + 1 and on lie below cell n. A level cuts the ``CUT_CELLS`` largest cells; what
+    is still large after ``DEPTH`` levels is cut into slices by hash, which costs time but loses nothing.
+    """
+    rows, settled, depth = rows.withColumn("cell", F.lit(0).cast("long")), [], 0
+    while depth < DEPTH:
+        large = rows.where(~F.col("cell").isin(settled)).groupBy("cell").count().where(F.col("count") > BLOCK)
+        large = large.orderBy(F.col("count").desc(), "cell").limit(CUT_CELLS).collect()
+        if not large:
+            break
+        counts = F.broadcast(rows.sparkSession.createDataFrame(large, "cell long, n long"))
+        sample = rows.join(counts, "cell").where(F.pmod(F.xxhash64("id", "v", "cell"), "n") < SAMPLE)
+
+        def centres(frame: pd.DataFrame) -> pd.DataFrame:
+            net = _net(np.array(frame.sort_values("id")["v"].tolist(), float))
+            return pd.DataFrame([{"cell": int(frame["cell"].iloc[0]), "centres": net.tolist()}])
+
+        found = sample.select("cell", "id", "v").groupBy("cell").applyInPandas(centres, "cell long, centres array<array<double>>")
+        nets = {r.cell: np.array(r.centres) for r in found.collect()}  # at most CUT_CELLS times CENTRES vectors
+        settled += [r.cell for r in large if len(nets.get(r.cell, ())) < 2]
+        nets = {c: net for c, net in nets.items() if len(net) > 1}
+        if nets:
+            depth += 1
+            rows = stored(rows.withColumn("cell", _cell(F.col("cell"), F.col("v"), nets)), "topk-rows")
+    return rows, depth
+
+
+def _nodes(blocks: DataFrame) -> DataFrame:
+    """Every cell that blocks lie in or below, with the cell above it, a centre, and a radius that covers those blocks."""
+    steps = [F.floor(F.col("cell") / F.lit(FAN**n)).cast("long") for n in range(DEPTH + 1)]
+    paths = blocks.select("block", "centre", "radius", F.explode(F.array_distinct(F.array(*steps))).alias("node"))
+    middles = paths.groupBy("node").agg(F.min_by("centre", "block").alias("middle"))
+    apart = F.aggregate(F.zip_with("middle", "centre", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
+    reach = F.max(F.sqrt(apart) + F.col("radius")).alias("d_radius")
+    nodes = paths.join(middles, "node").groupBy("node").agg(F.first("middle").alias("d_centre"), reach)
+    above = F.floor(F.col("node") / FAN).cast("long").alias("above")
+    return nodes.where(F.col("node") > 0).select("node", above, "d_centre", "d_radius")
+
+
+def _may_matter() -> Column:
+    """Whether points below the data's node may reach the least k-th score of the block of queries. A block with a query
+    of fewer than k results so far needs all data."""
+    total = lambda x: F.aggregate(x, F.lit(0.0), lambda s, a: s + a)
+    norm = lambda c: F.sqrt(total(F.transform(c, lambda a: a * a)))
+    dot = total(F.zip_with("q_centre", "d_centre", lambda a, b: a * b))
+    wide = F.col("q_radius") * norm("d_centre") + F.col("d_radius") * norm("q_centre") + F.col("q_radius") * F.col("d_radius")
+    most = dot + wide
+    return F.col("least").isNull() | (most + 1e-9 * (F.abs(dot) + wide) + 1.0 >= F.col("least"))
+
+
+def _descend(heads: DataFrame, data: DataFrame, depth: int) -> DataFrame:
+    """``q_block``, ``d_block``: pairs from different cells that may matter. Blocks of queries go down the tree of cells
+    level by level; only pairs of a block and a cell that pass the bound are kept and opened."""
+    tops = data.select(F.col("block").alias("d_block"), "cell", F.col("centre").alias("d_centre"), F.col("radius").alias("d_radius"))
+    nodes = stored(_nodes(data), "topk-nodes")
+    frontier, found = heads.withColumn("at", F.lit(0).cast("long")), None
+    for level in range(depth + 1):
+        if level:
+            below = frontier.join(nodes, F.col("at") == F.col("above")).where(_may_matter())
+            frontier = stored(below.select(*heads.columns, F.col("node").alias("at")), "topk-frontier")
+        met = frontier.join(tops, (F.col("at") == F.col("cell")) & (F.col("q_cell") != F.col("cell"))).where(_may_matter())
+        met = met.select("q_block", "d_block")
+        found = met if found is None else found.unionByName(met)
+    return found
 
 
 def _blocks(rows: DataFrame, size: int, kind: str) -> DataFrame:
-    """``rows`` packed: one row per block with ids, vectors, centre and radius. Blocks of a cell are equal slices of it."""
-    counts = rows.groupBy("cell").count().select("cell", F.ceil(F.col("count") / size).cast("int").alias("slices"))
-    dealt = rows.join(F.broadcast(counts), "cell")  # at most CENTRES rows
+    """``rows`` packed: one row per block with ids, vectors, centre and radius. A block is a cell of the tree; one of more
+    than ``size`` vectors is cut into equal slices by hash."""
+    counts = rows.groupBy("cell").agg(F.ceil(F.count("*") / size).cast("int").alias("slices"))
+    large = counts.where(F.col("slices") > 1)
+    dealt = rows.join(large, "cell", "left").withColumn("slices", F.coalesce("slices", F.lit(1)))
     dealt = dealt.withColumn("slice", F.pmod(F.xxhash64("id", F.lit(kind)), F.col("slices").cast("long")).cast("int"))
 
     def pack(frame: pd.DataFrame) -> pd.DataFrame:
         v = np.array(frame["v"].tolist(), np.int64)
         centre = v.mean(axis=0)
-        radius = float(np.sqrt(((v - centre) ** 2).sum(axis=1)).max())
-        name = int(frame["cell"].iloc[0]) * (1 << 32) + int(frame["slice"].iloc[0])
-        one = {"block": name, "cell": int(frame["cell"].iloc[0]), "ids": frame["id"].to_numpy(np.int64).tobytes(), "v": v.tobytes(), "centre": centre.tolist(), "radius": radius}
+        radius = float(np.sqrt(((v - centre) ** 2).sum(axis=1)).max()) * (1 + 1e-12)
+        cell, part = int(frame["cell"].iloc[0]), int(frame["slice"].iloc[0])
+        one = {"block": f"{cell}-{part}", "cell": cell, "ids": frame["id"].to_numpy(np.int64).tobytes(), "v": v.tobytes(), "centre": centre.tolist(), "radius": radius}
         return pd.DataFrame([one])
 
-    schema = "block long, cell int, ids binary, v binary, centre array<double>, radius double"
+    schema = "block string, cell long, ids binary, v binary, centre array<double>, radius double"
     return stored(dealt.groupBy("cell", "slice").applyInPandas(pack, schema), f"topk-{kind}")
 
 
@@ -243,10 +317,13 @@ def _best(found: DataFrame, k: int) -> DataFrame:
 
 
 def _of_dims(rows: DataFrame, queries: Column, dims: int, k: int) -> DataFrame:
-    centres = _centres(rows, dims)
-    rows = stored(rows.withColumn("cell", _cell(F.col("v"), centres)), "topk-rows")
-    data = _blocks(rows, BLOCK, "data")
-    asked = _blocks(rows.where(queries), QUERY_BLOCK, "queries")
+    # of equal vectors, which have equal scores, only the smallest ids can be found: one more than k, as none finds itself
+    equal = F.row_number().over(Window.partitionBy("v").orderBy("id"))
+    named = rows.select("id", "v", equal.alias("place")).where(F.col("place") <= k + 1).select("id", "v", F.lit(True).alias("sought"))
+    asked_rows = rows.where(queries).select("id", "v", F.lit(True).alias("asks"))
+    rows, depth = _grown(stored(named.join(asked_rows, ["id", "v"], "full"), "topk-parts"))
+    data = _blocks(rows.where("sought"), BLOCK, "data")
+    asked = _blocks(rows.where("asks"), QUERY_BLOCK, "queries")
     d = data.select(F.col("block").alias("d_block"), F.col("cell").alias("d_cell"), F.col("ids").alias("d_ids"), F.col("v").alias("d_v"))
     q = asked.select(F.col("block").alias("q_block"), F.col("cell").alias("q_cell"), F.col("ids").alias("q_ids"), F.col("v").alias("q_v"))
     near = q.join(d, F.col("q_cell") == F.col("d_cell")).withColumn("floors", F.lit(None).cast("array<struct<query_id:long,floor:long>>"))
@@ -254,18 +331,12 @@ def _of_dims(rows: DataFrame, queries: Column, dims: int, k: int) -> DataFrame:
     first = stored(_searched(spread(near), dims, k), "topk-near")
     # the k-th score of each query that has k results already
     floors = _best(first, k).where(F.col("rank") == k).select("query_id", F.col("score").alias("floor"))
-    of_block = rows.where(queries).select("id", "cell").join(floors, F.col("id") == F.col("query_id"))
     places = asked.select(F.col("block").alias("q_block"), "ids")
-    per_block = stored(_members(places).join(of_block.select("query_id", "floor"), "query_id").groupBy("q_block").agg(F.collect_list(F.struct("query_id", "floor")).alias("floors"), F.count("*").alias("known"), F.min("floor").alias("least")), "topk-floors")
+    per_block = stored(_members(places).join(floors, "query_id").groupBy("q_block").agg(F.collect_list(F.struct("query_id", "floor")).alias("floors"), F.count("*").alias("known"), F.min("floor").alias("least")), "topk-floors")
     heads = asked.select(F.col("block").alias("q_block"), F.col("cell").alias("q_cell"), F.col("centre").alias("q_centre"), F.col("radius").alias("q_radius"), (F.octet_length("ids") / 8).alias("n"))
     heads = heads.join(per_block.select("q_block", "known", "least"), "q_block", "left")
-    tops = data.select(F.col("block").alias("d_block"), F.col("cell").alias("d_cell"), F.col("centre").alias("d_centre"), F.col("radius").alias("d_radius"))
-    dot = F.aggregate(F.zip_with("q_centre", "d_centre", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-    norm = lambda c: F.sqrt(F.aggregate(F.transform(c, lambda a: a * a), F.lit(0.0), lambda s, x: s + x))
-    most = dot + F.col("q_radius") * norm("d_centre") + F.col("d_radius") * norm("q_centre") + F.col("q_radius") * F.col("d_radius")
-    # heads of blocks only: a row for thousands of vectors. A block with a query of fewer than k results meets all data.
-    open_ = F.col("known").isNull() | (F.col("known") < F.col("n")) | (most * (1 + 1e-9) + 1.0 >= F.col("least"))
-    far = heads.join(tops, (F.col("q_cell") != F.col("d_cell")) & open_).select("q_block", "d_block")
+    least = F.when(F.col("known") >= F.col("n"), F.col("least"))
+    far = _descend(heads.select("q_block", "q_cell", "q_centre", "q_radius", least.alias("least")), data, depth)
     pairs = far.join(q.drop("q_cell"), "q_block").join(d.drop("d_cell"), "d_block").join(per_block.select("q_block", "floors"), "q_block", "left")
     return _best(first.unionByName(_searched(spread(pairs), dims, k)), k).select("query_id", "rank", "vec_id", "score")
 
@@ -279,7 +350,7 @@ def _members(blocks: DataFrame) -> DataFrame:
                 found = np.frombuffer(ids, np.int64)
                 yield pd.DataFrame({"q_block": np.full(len(found), block), "query_id": found})
 
-    return blocks.mapInPandas(run, "q_block long, query_id long")
+    return blocks.mapInPandas(run, "q_block string, query_id long")
 
 
 def top(vectors: DataFrame, queries: Column, k: int = 20) -> DataFrame:

@@ -364,6 +364,27 @@ def test_topk_is_brute_force(shipped):
     assert topk.top(topk.quantised(frame.limit(0)), F.col("id") % 20 == 0).count() == 0
 
 
+def test_topk_over_a_tree_of_cells_is_brute_force(shipped, monkeypatch):
+    """Cells are cut more than once, and a third of the rows are one vector."""
+    for name, value in (("BLOCK", 60), ("QUERY_BLOCK", 10), ("SAMPLE", 40)):
+        monkeypatch.setattr(topk, name, value)
+    deal = np.random.default_rng(9)
+    middles = deal.normal(size=(6, 5))
+    x = np.floor(64 * (middles[deal.integers(0, 6, 3000)] + 0.2 * deal.normal(size=(3000, 5)))).astype(int)
+    x[::3] = x[3]
+    rows = shipped.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<long>")
+    want = []
+    for q in range(0, 3000, 20):
+        scores = x @ x[q]
+        first = [i for i in np.lexsort((np.arange(3000), -scores)) if i != q][:5]
+        want += [(q, n, int(i), int(scores[i])) for n, i in enumerate(first, 1)]
+    grown, depth = topk._grown(rows)
+    assert depth > 1
+    assert sorted(tuple(r) for r in topk.top(rows, F.col("id") % 20 == 0, k=5).collect()) == sorted(want)
+    heads = grown.groupBy("cell").count().orderBy(F.desc("count")).collect()
+    assert len(heads) > 40
+
+
 def test_rules_count_like_the_definitions(docs, empty):
     found = rules.judged(rules.count(docs), []).join(docs.select("doc_id", "text"), "doc_id").collect()
     for r in found:
