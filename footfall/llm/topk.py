@@ -24,6 +24,8 @@ SAMPLE, CENTRES = 2_000, 32
 FAN, DEPTH, CUT_CELLS = CENTRES + 1, 10, 1_000
 #: Vectors in a block of data or of queries; cells of more are cut.
 BLOCK, QUERY_BLOCK = 8_192, 2_048
+#: Blocks of queries that a block of data meets in one group, on average.
+TOGETHER = 8
 #: Points of a node of a cover tree that is not opened any more.
 LEAF = 32
 #: Data that the queries of a leaf meet before their k-th scores are looked at again.
@@ -148,12 +150,13 @@ def _meet(best, own_rows, a, b, ids, own, spans: np.ndarray, bound: np.ndarray,
         at = end
 
 
-def search(q_ids: np.ndarray, q: np.ndarray, d_ids: np.ndarray, d: np.ndarray, k: int, floor: np.ndarray) -> list[tuple[int, int, int]]:
-    """``(query, id, score)`` of the ``k`` best of each query in a block of data, where they reach the query's ``floor``."""
+def search(q_ids: np.ndarray, q: np.ndarray, d_ids: np.ndarray, d: np.ndarray, k: int, floor: np.ndarray, tree: CoverTree | None = None) -> list[tuple[int, int, int]]:
+    """``(query, id, score)`` of the ``k`` best of each query in a block of data, where they reach the query's ``floor``.
+    ``tree`` is that of the data where it is there already."""
     dims = q.shape[1]
     largest = float(np.abs(q).max(initial=0)) * float(np.abs(d).max(initial=0)) * dims
     kind = float if largest < EXACT else object
-    left, right = CoverTree(q.astype(float)), CoverTree(d.astype(float))
+    left, right = CoverTree(q.astype(float)), tree or CoverTree(d.astype(float))
     qo, do = left.order, right.order
     a, b = (x.astype(float) if kind is float else x.astype(object) for x in (q[qo], d[do]))
     ids, own, best = d_ids[do], q_ids[qo], _Best(len(q), k, floor[qo], kind)
@@ -265,7 +268,7 @@ def _descend(heads: DataFrame, data: DataFrame, depth: int) -> DataFrame:
     level by level; only pairs of a block and a cell that pass the bound are kept and opened."""
     tops = data.select(F.col("block").alias("d_block"), "cell", F.col("centre").alias("d_centre"), F.col("radius").alias("d_radius"))
     nodes = stored(_nodes(data), "topk-nodes")
-    frontier, found = heads.withColumn("at", F.lit(0).cast("long")), None
+    frontier, found = stored(heads.withColumn("at", F.lit(0).cast("long")), "topk-heads"), None
     for level in range(depth + 1):
         if level:
             below = frontier.join(nodes, F.col("at") == F.col("above")).where(_may_matter())
@@ -273,7 +276,7 @@ def _descend(heads: DataFrame, data: DataFrame, depth: int) -> DataFrame:
         met = frontier.join(tops, (F.col("at") == F.col("cell")) & (F.col("q_cell") != F.col("cell"))).where(_may_matter())
         met = met.select("q_block", "d_block")
         found = met if found is None else found.unionByName(met)
-    return found
+    return stored(found, "topk-pairs")
 
 
 def _blocks(rows: DataFrame, size: int, kind: str) -> DataFrame:
@@ -296,19 +299,28 @@ def _blocks(rows: DataFrame, size: int, kind: str) -> DataFrame:
     return stored(dealt.groupBy("cell", "slice").applyInPandas(pack, schema), f"topk-{kind}")
 
 
-def _searched(pairs: DataFrame, dims: int, k: int) -> DataFrame:
-    """Results of pairs of blocks: ``q_ids``, ``q_v``, ``d_ids``, ``d_v`` and the known ``floor`` of each query."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            for r in frame.itertuples(index=False):
-                q_ids, d_ids = np.frombuffer(r.q_ids, np.int64), np.frombuffer(r.d_ids, np.int64)
-                q, d = np.frombuffer(r.q_v, np.int64).reshape(-1, dims), np.frombuffer(r.d_v, np.int64).reshape(-1, dims)
+def _searched(pairs: DataFrame, q: DataFrame, d: DataFrame, dims: int, k: int) -> DataFrame:
+    """Results of ``pairs`` of ``q_block`` and ``d_block``. ``q`` and ``d`` hold the blocks, ``q`` with the known ``floors`` of
+    its queries. A block of data meets about ``TOGETHER`` blocks of queries in a group, and its tree is built once there."""
+    parts = pairs.groupBy("d_block").agg(F.ceil(F.count("*") / TOGETHER).alias("parts"))
+    part = F.pmod(F.xxhash64("q_block"), F.col("parts")).alias("part")
+    asked = pairs.join(parts, "d_block").select("q_block", "d_block", part).join(q, "q_block").select("d_block", "part", "q_ids", "q_v", "floors")
+    data = d.join(parts, "d_block").select("d_block", "d_ids", "d_v", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+
+    def run(asked: pd.DataFrame, data: pd.DataFrame) -> pd.DataFrame:
+        rows: list[tuple[int, int, int]] = []
+        for block in data.itertuples(index=False):
+            d_ids, d = np.frombuffer(block.d_ids, np.int64), np.frombuffer(block.d_v, np.int64).reshape(-1, dims)
+            tree = CoverTree(d.astype(float))
+            for r in asked.itertuples(index=False):
+                q_ids, q = np.frombuffer(r.q_ids, np.int64), np.frombuffer(r.q_v, np.int64).reshape(-1, dims)
                 known = {} if r.floors is None else {x["query_id"]: x["floor"] for x in r.floors}
                 floor = np.array([float(known.get(x, -np.inf)) for x in q_ids.tolist()])
-                yield pd.DataFrame(search(q_ids, q, d_ids, d, k, floor), columns=["query_id", "vec_id", "score"])
+                rows += search(q_ids, q, d_ids, d, k, floor, tree)
+        return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"])
 
-    return pairs.select("q_ids", "q_v", "d_ids", "d_v", "floors").mapInPandas(run, "query_id long, vec_id long, score long")
+    groups = asked.groupBy("d_block", "part").cogroup(data.groupBy("d_block", "part"))
+    return groups.applyInPandas(run, "query_id long, vec_id long, score long")
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
@@ -326,9 +338,9 @@ def _of_dims(rows: DataFrame, queries: Column, dims: int, k: int) -> DataFrame:
     asked = _blocks(rows.where("asks"), QUERY_BLOCK, "queries")
     d = data.select(F.col("block").alias("d_block"), F.col("cell").alias("d_cell"), F.col("ids").alias("d_ids"), F.col("v").alias("d_v"))
     q = asked.select(F.col("block").alias("q_block"), F.col("cell").alias("q_cell"), F.col("ids").alias("q_ids"), F.col("v").alias("q_v"))
-    near = q.join(d, F.col("q_cell") == F.col("d_cell")).withColumn("floors", F.lit(None).cast("array<struct<query_id:long,floor:long>>"))
-    spread = lambda pairs: pairs.repartition(F.col("q_block"), F.col("d_block"))
-    first = stored(_searched(spread(near), dims, k), "topk-near")
+    near = q.join(d, F.col("q_cell") == F.col("d_cell")).select("q_block", "d_block")
+    unknown = F.lit(None).cast("array<struct<query_id:long,floor:long>>").alias("floors")
+    first = stored(_searched(near, q.select("q_block", "q_ids", "q_v", unknown), d, dims, k), "topk-near")
     # the k-th score of each query that has k results already
     floors = _best(first, k).where(F.col("rank") == k).select("query_id", F.col("score").alias("floor"))
     places = asked.select(F.col("block").alias("q_block"), "ids")
@@ -337,8 +349,8 @@ def _of_dims(rows: DataFrame, queries: Column, dims: int, k: int) -> DataFrame:
     heads = heads.join(per_block.select("q_block", "known", "least"), "q_block", "left")
     least = F.when(F.col("known") >= F.col("n"), F.col("least"))
     far = _descend(heads.select("q_block", "q_cell", "q_centre", "q_radius", least.alias("least")), data, depth)
-    pairs = far.join(q.drop("q_cell"), "q_block").join(d.drop("d_cell"), "d_block").join(per_block.select("q_block", "floors"), "q_block", "left")
-    return _best(first.unionByName(_searched(spread(pairs), dims, k)), k).select("query_id", "rank", "vec_id", "score")
+    known = q.join(per_block.select("q_block", "floors"), "q_block", "left").select("q_block", "q_ids", "q_v", "floors")
+    return _best(first.unionByName(_searched(far, known, d, dims, k)), k).select("query_id", "rank", "vec_id", "score")
 
 
 def _members(blocks: DataFrame) -> DataFrame:
