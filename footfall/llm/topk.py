@@ -338,7 +338,7 @@ def _of_dims(rows: DataFrame, queries: Column, dims: int, k: int) -> DataFrame:
     asked = _blocks(rows.where("asks"), QUERY_BLOCK, "queries")
     d = data.select(F.col("block").alias("d_block"), F.col("cell").alias("d_cell"), F.col("ids").alias("d_ids"), F.col("v").alias("d_v"))
     q = asked.select(F.col("block").alias("q_block"), F.col("cell").alias("q_cell"), F.col("ids").alias("q_ids"), F.col("v").alias("q_v"))
-    near = q.join(d, F.col("q_cell") == F.col("d_cell")).select("q_block", "d_block")
+    near = stored(q.join(d, F.col("q_cell") == F.col("d_cell")).select("q_block", "d_block"), "topk-own")
     unknown = F.lit(None).cast("array<struct<query_id:long,floor:long>>").alias("floors")
     first = stored(_searched(near, q.select("q_block", "q_ids", "q_v", unknown), d, dims, k), "topk-near")
     # the k-th score of each query that has k results already
