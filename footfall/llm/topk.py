@@ -211,13 +211,13 @@ def _cell(cell: Column, v: Column, centres: dict[int, np.ndarray]) -> Column:
 
 
 def _grown(rows: DataFrame) -> tuple[DataFrame, int]:
-    """``rows`` with the ``cell`` each lies in, and the depth of the tree of cells.
+    """``rows``, all of ``cell`` 0, with the cell each lies in, and the depth of the tree of cells.
 
     Level by level, cells of more than ``BLOCK`` vectors are cut along centres taken from a hash sample of them, of about
     ``SAMPLE`` vectors a cell. Cells n * FAN + 1 and on lie below cell n. A level cuts the ``CUT_CELLS`` largest cells; what
     is still large after ``DEPTH`` levels is cut into slices by hash, which costs time but loses nothing.
     """
-    rows, settled, depth = rows.withColumn("cell", F.lit(0).cast("long")), [], 0
+    settled, depth = [], 0
     while depth < DEPTH:
         large = rows.where(~F.col("cell").isin(settled)).groupBy("cell").count().where(F.col("count") > BLOCK)
         large = large.orderBy(F.col("count").desc(), "cell").limit(CUT_CELLS).collect()
@@ -333,7 +333,8 @@ def _of_dims(rows: DataFrame, queries: Column, dims: int, k: int) -> DataFrame:
     equal = F.row_number().over(Window.partitionBy("v").orderBy("id"))
     named = rows.select("id", "v", equal.alias("place")).where(F.col("place") <= k + 1).select("id", "v", F.lit(True).alias("sought"))
     asked_rows = rows.where(queries).select("id", "v", F.lit(True).alias("asks"))
-    rows, depth = _grown(stored(named.join(asked_rows, ["id", "v"], "full"), "topk-parts"))
+    both = named.join(asked_rows, ["id", "v"], "full").withColumn("cell", F.lit(0).cast("long"))
+    rows, depth = _grown(stored(both, "topk-parts"))
     data = _blocks(rows.where("sought"), BLOCK, "data")
     asked = _blocks(rows.where("asks"), QUERY_BLOCK, "queries")
     d = data.select(F.col("block").alias("d_block"), F.col("cell").alias("d_cell"), F.col("ids").alias("d_ids"), F.col("v").alias("d_v"))

@@ -378,7 +378,7 @@ def test_topk_over_a_tree_of_cells_is_brute_force(shipped, monkeypatch):
         scores = x @ x[q]
         first = [i for i in np.lexsort((np.arange(3000), -scores)) if i != q][:5]
         want += [(q, n, int(i), int(scores[i])) for n, i in enumerate(first, 1)]
-    grown, depth = topk._grown(rows)
+    grown, depth = topk._grown(rows.withColumn("cell", F.lit(0).cast("long")))
     assert depth > 1
     assert sorted(tuple(r) for r in topk.top(rows, F.col("id") % 20 == 0, k=5).collect()) == sorted(want)
     heads = grown.groupBy("cell").count().orderBy(F.desc("count")).collect()
