@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -155,6 +156,37 @@ def test_quality_ranks_good_texts_higher(shipped, empty):
     assert none.scores(x[:1])[0] == pytest.approx(quality.CUT)
 
 
+def test_quality_is_learned_from_every_labelled_text(shipped):
+    """Blocks hold every row of both labels, whichever is rarer, and the model is that of all rows at once."""
+    deal = np.random.default_rng(3)
+    good = [(1, bytes([0, k]), [float(v) for v in deal.normal(0.3, 0.2, len(quality.FEATURES))]) for k in range(60)]
+    bad = [(0, bytes([1, k]), [float(v) for v in deal.normal(0.0, 0.2, len(quality.FEATURES))]) for k in range(3)]
+    for sides in ([*good, *bad], [(1 - label, digest, x) for label, digest, x in [*good, *bad]]):
+        sizes = {x: sum(label == x for label, _, _ in sides) for x in (0, 1)}
+        rows = shipped.createDataFrame(sides, "label int, digest binary, x array<double>")
+        found = quality.blocks(rows, sizes, pairs=64).collect()
+        assert len(found) == 8 and all(r.good and r.bad and len(r.good) * len(r.bad) <= 64 for r in found)
+        for label, held in ((1, [x for r in found for x in r.good]), (0, [x for r in found for x in r.bad])):
+            assert {tuple(x) for x in held} == {tuple(x) for own, _, x in sides if own == label}
+            assert len(held) == max(sizes[label], len(found))
+
+
+def test_quality_fits_a_table_as_it_fits_rows_in_memory(shipped):
+    """Copies count once, held-out rows never; every other labelled text moves the model."""
+    deal = random.Random(8)
+    words = [[deal.choice(SENTENCE.split()) for _ in range(deal.randint(5, 60))] for _ in range(300)]
+    texts = [(i, " ".join(w if i % 4 else [x + "!!" if deal.random() < 0.4 else x for x in w]), "s") for i, w in enumerate(words)]
+    texts += [(1000 + i, t, s) for i, t, s in texts[:40]]
+    labels = [(i, int(i % 4 != 0), 0) for i in [*range(300), *range(1000, 1040)]]
+    docs = shipped.createDataFrame(rows_of(texts), SCHEMA)
+    model = quality.train(docs, shipped.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    learned = sorted({(t, int(i % 4 != 0)) for i, t, _ in texts if zlib.crc32(str(i).encode()) % 5})
+    x, label = np.array([quality.features(t) for t, _ in learned]), np.array([y for _, y in learned])
+    plain = quality.rank(x, label)
+    assert np.allclose(model.mean, plain.mean) and np.allclose(model.spread, plain.spread)
+    assert np.allclose(model.scores(x), plain.scores(x), atol=1e-6)
+
+
 def edits(a: str, b: str) -> int:
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
