@@ -124,3 +124,10 @@ def test_a_name_is_taken_once(spark):
     won = side_by_side(lambda n: tables.create_once(spark, path, str(n)), range(16))
     assert sum(won) == 1
     assert tables.text_of(spark, path) == str(won.index(True))
+
+
+def test_a_file_of_compaction_stays_small_enough_to_sort_in_one_task():
+    """One task sorts the rows of one file, in some fifteen times the bytes of the file."""
+    assert tables.files_for(1) == 1
+    for size in (128 << 20, 10 << 30):
+        assert 15 * size / tables.files_for(size) <= 512 << 20
