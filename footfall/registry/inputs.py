@@ -87,28 +87,33 @@ def dirty_fact(spark: SparkSession, sf_dir: str, name: str, browser: Callable[[S
     return spark.read.schema(LAYOUTS["fact_events"].schema).parquet(path).drop("event_month", "load_id")
 
 
+def topic(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """One clean feed published as a folder of JSON lines; no other feed is built for it."""
+
+    def make() -> str:
+        path = f"{fresh_folder(spark, 'topics')}/{FEEDS[name].topic}"
+        publish_lines(fixtures.FEED_BUILDERS[name](spark, sf_dir), FEEDS[name], path)
+        return path
+
+    return _once(spark, sf_dir, f"topic {name}", make)
+
+
 def topics(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """The four clean feeds published as folders of JSON lines."""
+    return dict(zip(FEEDS, side_by_side(lambda name: topic(spark, sf_dir, name), FEEDS)))
 
-    def make() -> dict[str, str]:
-        root = fresh_folder(spark, "topics")
-        paths = {feed.name: f"{root}/{feed.topic}" for feed in FEEDS.values()}
-        side_by_side(
-            lambda feed: publish_lines(fixtures.FEED_BUILDERS[feed.name](spark, sf_dir), feed, paths[feed.name]),
-            FEEDS.values(),
-        )
-        return paths
 
-    return _once(spark, sf_dir, "topics", make)
+def bad_topic(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """One feed as JSON lines with odd lines among them."""
 
+    def make() -> str:
+        path = f"{fresh_folder(spark, 'bad-topics')}/{FEEDS[name].topic}"
+        fixtures.bad_json(spark, sf_dir, FEEDS[name]).write.text(path)
+        return path
 
-def bad_topics(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """The four feeds as JSON lines with odd lines among them."""
+    return _once(spark, sf_dir, f"bad topic {name}", make)
 
-    def make() -> dict[str, str]:
-        root = fresh_folder(spark, "bad-topics")
-        paths = {feed.name: f"{root}/{feed.topic}" for feed in FEEDS.values()}
-        side_by_side(lambda feed: fixtures.bad_json(spark, sf_dir, feed).write.text(paths[feed.name]), FEEDS.values())
-        return paths
 
-    return _once(spark, sf_dir, "bad-topics", make)
+def bad_topics(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """The four feeds as JSON lines with odd lines among them."""
+    return dict(zip(FEEDS, side_by_side(lambda name: bad_topic(spark, sf_dir, name), FEEDS)))

@@ -7,6 +7,7 @@ import pytest
 from footfall import registry
 from footfall.plans import quality, reports
 from footfall.registry import inputs
+from footfall.sources import fixtures
 from footfall.sources.fixtures import CLOCK
 
 WRITERS = {  # run their own jobs and read back a table
@@ -47,6 +48,13 @@ def test_top_lists_keep_only_k_rows_per_task(spark, small_dir):
     assert "TakeOrderedAndProject" in plan(reports.top_pages(inputs.fact(spark, small_dir)))
 
 
+def test_a_peek_builds_one_topic_and_looks_only_for_what_it_saw(spark, small_dir, monkeypatch):
+    monkeypatch.setattr(inputs, "_MADE", {})
+    monkeypatch.setattr(fixtures, "FEED_BUILDERS", {"browser": fixtures.browser})
+    text = plan(registry.queries()["peek_topic"](spark, small_dir))
+    assert "LeftSemi, BuildRight" in text  # the topic meets the broadcast lines before anything of it is shuffled
+
+
 def test_fact_shuffles_each_side_once(spark, small_dir):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
