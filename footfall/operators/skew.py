@@ -7,6 +7,7 @@ task receives more than about half an average partition of one key. With no hot
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from math import ceil
 
@@ -46,25 +47,32 @@ def hot_keys(df: DataFrame, key: str, *, share: float | None = None, min_rows: i
     One pass over one column with a sketch of fixed size. Which keys it finds affects the balance of a join
     only, never its result. The slices of all keys together are about twice the number of partitions.
     """
+    return hot_keys_of(df, [key], share=share, min_rows=min_rows)[key]
+
+
+def hot_keys_of(
+    df: DataFrame, keys: Sequence[str], *, share: float | None = None, min_rows: int | None = None
+) -> dict[str, HotKeys]:
+    """``hot_keys`` of several columns, in one pass over all of them."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     share = HOT_SHARE if share is None else share
     min_rows = HOT_ROWS if min_rows is None else min_rows
     limit = ceil(1 / share)
-    found = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.expr(f"approx_top_k(`{key}`, {limit}, {max(_TRACKED, limit)})").alias("top"),
-    ).first()
-    total = found["rows"]
+    tops = [F.expr(f"approx_top_k(`{key}`, {limit}, {max(_TRACKED, limit)})") for key in keys]
+    total, *found = df.agg(F.count(F.lit(1)), *tops).first()
     if total < min_rows:
-        return HotKeys()
+        return {key: HotKeys() for key in keys}
     least = max(min_rows, share * total, total / partitions)
-    return HotKeys(
-        tuple(
-            (entry["item"], max(2, ceil(2 * partitions * entry["count"] / total)))
-            for entry in found["top"] or []
-            if entry["item"] is not None and entry["count"] >= least
+    return {
+        key: HotKeys(
+            tuple(
+                (entry["item"], max(2, ceil(2 * partitions * entry["count"] / total)))
+                for entry in top or []
+                if entry["item"] is not None and entry["count"] >= least
+            )
         )
-    )
+        for key, top in zip(keys, found)
+    }
 
 
 def join(left: DataFrame, right: DataFrame, key: str, how: str, hot: HotKeys | None = None) -> DataFrame:

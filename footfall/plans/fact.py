@@ -13,6 +13,7 @@ from footfall.functions.values import fill_blanks, is_blank
 from footfall.operators import skew
 from footfall.operators.dedup import latest_per_key
 from footfall.operators.joins import join_device, join_geo, join_location, new_events_only
+from footfall.operators.sieve import thinned
 from footfall.schemas import (
     BROWSER,
     DEVICE,
@@ -22,6 +23,14 @@ from footfall.schemas import (
     GEO_COLUMNS,
     LOCATION,
     LOCATION_COLUMNS,
+    Feed,
+)
+
+#: The feeds that enrich an event, and the fact columns of each.
+SIDES: tuple[tuple[Feed, list[str]], ...] = (
+    (DEVICE, DEVICE_COLUMNS),
+    (GEO, GEO_COLUMNS),
+    (LOCATION, LOCATION_COLUMNS),
 )
 
 
@@ -84,19 +93,26 @@ def _side_is_blank(columns: list[str]) -> Column:
     return reduce(and_, blank)
 
 
+def late_rows(fact: DataFrame, side: DataFrame, feed: Feed, columns: list[str]) -> DataFrame:
+    """The latest row of ``side`` for every key of a fact row without any of its ``columns``, and for a few other keys.
+
+    The feed is thinned out by a bitmap of the keys asked for, so that of a feed of any size hardly more is shuffled than
+    what fact rows lack.
+    """
+    asking = fact.filter(_side_is_blank(columns))
+    rows = thinned(side.select(*feed.columns, "inserted_at"), asking, feed.key)
+    return latest_per_key(fill_blanks(rows), feed.key)
+
+
 def lacks_side() -> Column:
     """True for a fact row without any device, geography or page value."""
-    return reduce(or_, [_side_is_blank(columns) for columns in (DEVICE_COLUMNS, GEO_COLUMNS, LOCATION_COLUMNS)])
+    return reduce(or_, [_side_is_blank(columns) for _, columns in SIDES])
 
 
 def repair_fact(fact: DataFrame, device: DataFrame, geo: DataFrame, location: DataFrame) -> DataFrame:
     """Fact rows with their blank sides filled from rows that arrived later, and whether that ``changed`` them."""
-    sides = (
-        (device, DEVICE, DEVICE_COLUMNS, "_device"),
-        (geo, GEO, GEO_COLUMNS, "_geo"),
-        (location, LOCATION, LOCATION_COLUMNS, "_location"),
-    )
-    hot = {key: skew.hot_keys(fact, key) for key in ("click_id", "event_id")}
+    sides = [(side, feed, columns, f"_{feed.name}") for side, (feed, columns) in zip((device, geo, location), SIDES)]
+    hot = skew.hot_keys_of(fact, ("click_id", "event_id"))
     rows = fact
     for side, feed, columns, found in sides:
         latest = latest_per_key(fill_blanks(side.select(*feed.columns, "inserted_at")), feed.key)

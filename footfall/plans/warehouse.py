@@ -24,7 +24,7 @@ from footfall.operators import rollups
 from footfall.operators.dedup import key_counts, latest_per_key
 from footfall.operators.sieve import thinned
 from footfall.plans import dims, lease
-from footfall.plans.fact import fact_events, lacks_side, repair_fact
+from footfall.plans.fact import SIDES, fact_events, lacks_side, late_rows, repair_fact
 from footfall.sources import tables
 from footfall.workspace import side_by_side
 
@@ -491,16 +491,27 @@ class Warehouse:
     def repair(self, as_of=None, days: int = schemas.STAGING_CLEAR_DAYS) -> int:
         """Fill fact rows whose enrichment arrived after them, and rebuild the states of their months.
 
-        Looks at the rows with a blank side of the last ``days``, as long as staging keeps the other feeds.
+        Looks at the rows with a blank side of the last ``days``, as long as staging keeps the other feeds. The feeds'
+        rows that such a row asks for are stored first, so that the feeds are not shuffled as a whole.
         """
-        window = before(as_of, days=days)
+        # Read once: what is looked up and what is kept as it is must be told apart by the same clock.
+        clock = self.spark.range(1).select(before(as_of, days=days).cast("string")).first()[0]
+        window = F.lit(clock).cast("timestamp_ntz")
+        recent = self.read("fact_events").filter(F.col("event_month") >= event_month(window))
+        recent = recent.filter(F.col("event_timestamp") >= window)
         open_rows = F.coalesce(lacks_side() & (F.col("event_timestamp") >= window), F.lit(False))
-        recent = self.read("fact_events").filter(F.col("event_month") >= event_month(window)).filter(open_rows)
-        sides = [self.read(table) for table in STAGING_TABLES[1:]]
-        looked_up = tables.staging_path(self.path("fact_events"))
-        repair_fact(recent, *sides).write.partitionBy("event_month").parquet(looked_up)
+        scratch = tables.staging_path(self.path("fact_events"))
+
+        def store_late(side) -> DataFrame:
+            feed, columns = side
+            rows, path = late_rows(recent, self.read(feed.table), feed, columns), f"{scratch}/{feed.name}"
+            rows.write.parquet(path)
+            return tables.read(self.spark, path, rows.schema)
+
+        late = side_by_side(store_late, SIDES)
+        repair_fact(recent.filter(open_rows), *late).write.partitionBy("event_month").parquet(f"{scratch}/looked_up")
         schema = T.StructType([*schemas.FACT_SCHEMA.fields, T.StructField("changed", T.BooleanType())])
-        result = tables.read(self.spark, looked_up, schema)
+        result = tables.read(self.spark, f"{scratch}/looked_up", schema)
         # One row per month of the window.
         months = result.groupBy("event_month").agg(F.count_if("changed").alias("n")).filter("n > 0").collect()
         for row in months:
@@ -515,7 +526,7 @@ class Warehouse:
             self._write("fact_events", whole, replaces=own, clustered=True, files=files)
             self._rebuild_states(month)
             tables.delete(self.spark, note)
-        tables.delete(self.spark, looked_up)
+        tables.delete(self.spark, scratch)
         return sum(row["n"] for row in months)
 
     def deduplicate(self, table: str = "fact_events", key: str = "event_id", version: str = "created_at") -> int:

@@ -15,7 +15,7 @@ from footfall.plans import warehouse as wh_module
 from footfall.plans.fact import fact_events
 from footfall.plans.warehouse import Warehouse
 from footfall.registry.inputs import stage_feeds
-from footfall.schemas import BROWSER, DEVICE, FACT_COLUMNS, FEEDS, HOURLY_KEYS
+from footfall.schemas import BROWSER, DEVICE, FACT_COLUMNS, FEEDS, HOURLY_KEYS, LOCATION
 from footfall.sources import fixtures, tables
 from footfall.workspace import fresh_folder, side_by_side
 
@@ -184,6 +184,48 @@ def test_repair_after_late_rows(wh, small_dir, full):
     assert wh.repair(CLOCK, days=31) == 0
 
 
+def test_repair_looks_up_only_what_blank_sides_ask_for(wh, small_dir, full, monkeypatch):
+    """Of the feeds only rows of keys that a fact row lacks reach the joins with it."""
+    early, late = fixtures.late_device(wh.spark, small_dir)
+    stage_feeds(wh, small_dir, device=early)
+    wh.load("one", as_of=CLOCK)
+    wh.stage(DEVICE, late, "late")
+    seen, look_up = [], wh_module.repair_fact
+
+    def counting(fact, *sides):
+        seen.extend(side.count() for side in sides)
+        return look_up(fact, *sides)
+
+    monkeypatch.setattr(wh_module, "repair_fact", counting)
+    assert wh.repair(CLOCK, days=31) == 84
+    assert seen == [late.count(), 0, 0]  # every other click, and every page, is in the fact already or never came
+    assert (fact_rows(wh), hourly(wh)) == full
+
+
+def test_repair_of_repeated_and_nameless_events(spark, tmp_path):
+    """Events twice, without a click and without an id, and late rows twice: all as if the rows had been there in time;
+    in a merged month too."""
+    browser = [event("a", click="c1")] * 2 + [event("b", click=None), event(None, click="c2"), event("", click="c2"), event("d", click="c9")]
+    device = [{"click_id": "c1", "os": "x"}, {"click_id": None, "os": "y"}, {"click_id": "c2", "os": "z"}, {"click_id": "c7", "os": "w"}]
+    location = [{"event_id": "d", "page_url": "p"}, {"event_id": "", "page_url": "q"}]
+    for merged in (False, True):
+        got = []
+        for before_load in (True, False):
+            wh = Warehouse(spark, str(tmp_path / f"{merged}-{before_load}"))
+            wh.stage(BROWSER, staged(spark, BROWSER, browser), "b")
+            sides = [(DEVICE, staged(spark, DEVICE, device)), (LOCATION, staged(spark, LOCATION, location))]
+            if before_load:
+                [wh.stage(feed, rows, "s") for feed, rows in sides]
+            wh.load("one", dedup=False, as_of=CLOCK)
+            if merged:
+                wh._merge("fact_events", wh.folders("fact_events"), 1)
+            if not before_load:
+                [wh.stage(feed, rows, n) for n in ("s", "again") for feed, rows in sides]
+                assert wh.repair(CLOCK, days=60) == 6
+            got.append((fact_rows(wh), hourly(wh)))
+        assert got[0] == got[1]
+
+
 def test_repair_that_dies_before_the_states(wh, small_dir, full, monkeypatch):
     early, late = fixtures.late_device(wh.spark, small_dir)
     stage_feeds(wh, small_dir, device=early)
