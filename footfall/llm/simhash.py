@@ -62,7 +62,8 @@ def links(prints: DataFrame, max_bits: int = 2) -> DataFrame:
     """Pairs ``a < b`` of different fingerprints (column ``fp``, each once) that differ in at most ``max_bits`` bits.
 
     A pair that shares more bytes than guaranteed meets in several lists; only the first of them, by the choice of
-    positions, gives it out.
+    positions, gives it out. Spark takes the postings to be as large as the fingerprints, a fraction of what they are, so
+    it is told to merge: it would broadcast them.
     """
     shared = BYTES - max_bits
     choices = list(combinations(range(BYTES), shared))
@@ -75,7 +76,7 @@ def links(prints: DataFrame, max_bits: int = 2) -> DataFrame:
     first = F.coalesce(*[F.when(a.bitwiseXOR(b).bitwiseAND(F.lit(m)) == 0, F.lit(i)) for i, m in enumerate(signed)])
     near = F.bit_count(a.bitwiseXOR(b)) <= max_bits
     pairs = posted.alias("l").join(
-        posted.alias("r"),
+        posted.alias("r").hint("merge"),
         (F.col("l.choice") == F.col("r.choice")) & (F.col("l.bytes") == F.col("r.bytes")) & (a < b) & near & (F.col("l.choice") == first),
     )
     return pairs.select(a.alias("a"), b.alias("b"))
