@@ -15,6 +15,8 @@ from footfall.llm.common import SLICES, WORD, own_name, stored, text_or_empty
 #: Hex digits a level of the histogram looks at: 4,096 buckets for each source.
 DIGITS = 3
 LEVELS = 11
+#: So many sources go to where the rows are; more are dealt over slices.
+SENT = 10_000
 ABOVE_ALL = "~"
 
 
@@ -93,9 +95,12 @@ def _thresholds(rows: DataFrame, goals: DataFrame) -> DataFrame:
 
 
 def _with(rows: DataFrame, per_source: DataFrame) -> DataFrame:
-    """``rows`` with the columns of their source. Slices keep a join of any kind even where one source has most rows."""
+    """``rows`` with the columns of their source. Of many sources, slices keep the join even where one has most rows; Spark
+    takes the slices to be as large as the sources, so it is told to merge: it would broadcast them."""
+    if per_source.limit(SENT + 1).count() <= SENT:
+        return rows.join(F.broadcast(per_source), "src")
     dealt = per_source.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))))
-    return rows.withColumn("slice", F.pmod(F.xxhash64("key"), F.lit(SLICES)).cast("int")).join(dealt, ["src", "slice"]).drop("slice")
+    return rows.withColumn("slice", F.pmod(F.xxhash64("key"), F.lit(SLICES)).cast("int")).join(dealt.hint("merge"), ["src", "slice"]).drop("slice")
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: int = 2) -> DataFrame:
