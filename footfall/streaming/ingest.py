@@ -49,16 +49,20 @@ def ingest_stream(
         parsed = drop_repeats(parsed, feed, dedup_within)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        # Parsed once for both tables; one micro-batch is as large as the source's limit per trigger.
-        batch.persist()
+        # Parsed once for both tables, and stored: one micro-batch is as large as the source's limit per trigger, which no
+        # executor's memory holds. The text of a line is kept where it cannot be loaded. The same batch again replaces it.
+        scratch = f"{tables.beside(warehouse.path(feed.table), tables.STAGED)}-batch-{batch_id}"
+        found = batch.withColumn("value", F.when(F.col("problem").isNotNull(), F.col("value")))
         try:
-            warehouse.stage(feed, accepted(batch, feed, keep=["inserted_at"]), str(batch_id))
-            rejected = quarantined(batch, feed).withColumn("batch_id", F.lit(str(batch_id)))
+            found.write.mode("overwrite").parquet(scratch)
+            rows = tables.read(warehouse.spark, scratch, found.schema)
+            warehouse.stage(feed, accepted(rows, feed, keep=["inserted_at"]), str(batch_id))
+            rejected = quarantined(rows, feed).withColumn("batch_id", F.lit(str(batch_id)))
             tables.write_by_partition(rejected, warehouse.path(QUARANTINE), ["topic", "batch_id"])
             # Counted over the stored parse, not observed in the write: a map task that runs again would count twice.
-            warehouse.log_batch(feed, batch.agg(*outcome_counts("consumed")), str(batch_id), run_id)
+            warehouse.log_batch(feed, rows.agg(*outcome_counts("consumed")), str(batch_id), run_id)
         finally:
-            batch.unpersist()
+            tables.delete(warehouse.spark, scratch)
 
     writer = parsed.writeStream.trigger(availableNow=True)
     return writer.option("checkpointLocation", f"{checkpoint}/{feed.topic}").foreachBatch(store).start()

@@ -149,6 +149,25 @@ def test_a_topic_comes_in_bounded_batches(wh):
     assert wh.read(BROWSER.table).count() == 20
 
 
+def test_a_batch_is_parsed_to_disk_not_held_in_memory(wh, monkeypatch):
+    held = lambda: len(wh.spark.sparkContext._jsc.getPersistentRDDs())
+    before, during, log = held(), [], Warehouse.log_batch
+
+    def seen(self, *args):
+        during.append(held())
+        log(self, *args)
+
+    monkeypatch.setattr(Warehouse, "log_batch", seen)
+    put(wh, "a", [line("1"), " ", '{"event_id": "2', line("")])
+    drain(wh)
+    assert during == [before]
+    assert as_set(wh.read(BROWSER.table), "event_id") == [("1",)]
+    aside = wh.spark.read.parquet(wh.path(QUARANTINE))
+    assert as_set(aside, "problem", "raw") == [("blank", " "), ("corrupt", '{"event_id": "2'), ("keyless", line(""))]
+    assert as_set(wh.read("ingest_log"), "consumed", "inserted", "failed", "skipped") == [(4, 1, 1, 2)]
+    assert not tables.exists(wh.spark, wh.path("_staged/events_browser_raw-batch-0"))
+
+
 def test_publishing_tells_what_it_sent(wh):
     rows = staged(wh.spark, BROWSER, [event("1"), event("2"), event("")])
     assert messages.publish_lines(rows, BROWSER, wh.path("topic/a")) == messages.Published(sent=3, keyless=1)
